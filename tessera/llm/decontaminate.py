@@ -71,7 +71,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int = 4, keep:
     shape = index.agg(F.sum(F.length(F.to_json("span_words")) + F.length(F.to_json("items")) + 200).alias("bytes"), F.collect_set(F.when(F.col("m") < span, F.col("m"))).alias("short")).first()
     keep = keep or []
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(c) for c in keep], F.lit(0).alias("none")).alias("kept"), words_column(text_col).alias("words"))
-    rows = _winnowed(rows, k, w).withColumn("pick", F.array_distinct("pick"))
+    rows = _winnowed(rows.withColumn("n_words", F.size("words")), k, w).withColumn("pick", F.array_distinct("pick"))
     # What verifies a hit: the words that any span around the kept k-gram can cover.
     around = f"""transform(pick, p -> struct({span} as m, p, kh[p] as h, greatest(p - {w - 1}, 0) as c0,
         slice(words, greatest(p - {w - 1}, 0) + 1, least(p + {span}, size(words)) - greatest(p - {w - 1}, 0)) as ctx))"""
@@ -82,7 +82,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int = 4, keep:
     ]
     # One probe without a place stands for the document itself; its hash is spread so that it makes no hot key.
     itself = "array(struct(-1 as m, -1 as p, xxhash64(row) as h, 0 as c0, cast(array() as array<string>) as ctx))"
-    probes = rows.select("row", "kept", F.size("words").alias("n_words"), F.expr(f"explode(concat({', '.join([itself, around, *shorts])}))").alias("x"))
+    probes = rows.select("row", "kept", "n_words", F.expr(f"explode(concat({', '.join([itself, around, *shorts])}))").alias("x"))
     probes = probes.select("row", F.when(F.col("x.p") < 0, F.col("kept")).alias("kept"), F.when(F.col("x.p") < 0, F.col("n_words")).alias("n_words"), "x.*")
     index = index.select(F.col("m").alias("im"), F.col("h").alias("ih"), "j", "span_words", "items")
     if (shape["bytes"] or 0) <= BROADCAST_BYTES:

@@ -43,7 +43,7 @@ LINE_FAILS = rf"""
 
 
 def _measured(rows: DataFrame) -> DataFrame:
-    """Adds the base counts and __line_chars, __lost_chars, __text (what the line rules leave)."""
+    """Adds the base counts and __text (what the line rules leave)."""
     rows = rows.withColumn("__s", F.coalesce(F.col("__raw").cast("string"), F.lit("")))
     rows = rows.withColumn("__w", F.array_remove(F.split("__s", SPACE_CLASS), "")).withColumn("__lines", F.split("__s", "\n"))
     rows = rows.withColumn("__h", F.expr("transform(__w, x -> xxhash64(x))"))
@@ -69,12 +69,10 @@ def _measured(rows: DataFrame) -> DataFrame:
             "n_symbols": (F.size(F.split("__s", SYMBOLS, -1)) - 1).cast("long"),
             "n_repeat_words": F.expr(covered),
             "__full": F.expr(r"filter(__lines, l -> l rlike '[^\\x20\\x09-\\x0D]')"),
-            "__verdicts": F.expr(f"transform(__lines, l -> {LINE_FAILS})"),
+            "__text": F.array_join(F.expr(f"filter(__lines, l -> not {LINE_FAILS})"), "\n"),
         }
     )
-    rows = rows.withColumn("n_dup_lines", (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"))
-    rows = rows.withColumn("__good", F.expr("filter(__lines, (l, i) -> not __verdicts[i])"))
-    return rows.withColumn("__text", F.array_join("__good", "\n"))
+    return rows.withColumn("n_dup_lines", (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"))
 
 
 def _judged(rows: DataFrame, min_words: int, max_repeat: int, max_lost: float) -> DataFrame:
@@ -82,7 +80,9 @@ def _judged(rows: DataFrame, min_words: int, max_repeat: int, max_lost: float) -
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     left = F.length(F.array_join(F.array_remove(F.split("__text", SPACE_CLASS), ""), "")).cast("long")
     lost: Column = F.col("word_chars") - left
-    return rows.withColumns({"base_failed": failed, "lost_chars": lost}).withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("word_chars")))
+    # The row number keeps a later filter above these columns; pushed below, it would repeat all of them.
+    rows = rows.withColumns({"base_failed": failed, "lost_chars": lost, "__number": F.monotonically_increasing_id()})
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("word_chars")))
 
 
 def quality(docs: DataFrame, min_words: int = 20, max_repeat: int = 30, max_lost: float = 0.3) -> DataFrame:
@@ -94,7 +94,7 @@ def quality(docs: DataFrame, min_words: int = 20, max_repeat: int = 30, max_lost
 def clean(docs: DataFrame, text_col: str = "text", min_words: int = 20, max_repeat: int = 30, max_lost: float = 0.3) -> DataFrame:
     """The accepted rows of docs, their texts without the lines that fail a rule; the same columns."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text_col).alias("__raw"))
-    rows = _judged(whole, min_words, max_repeat, max_lost).where("kept")
+    rows = _judged(whole, min_words, max_repeat, max_lost).where("kept and __number >= 0")
     return rows.select(*[(F.col("__text") if c == text_col else F.col("__row")[c]).alias(c) for c in docs.columns])
 
 
