@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontaminate import op6_decontamination
+from tessera.llm.html_text import op10_html_text
 from tessera.llm.packing import op2_packing
 from tessera.llm.quality_rules import op5_quality_rules
 from tessera.llm.simhash import op9_simhash
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_decontamination": op6_decontamination,
         "op9_simhash": op9_simhash,
+        "op10_html_text": op10_html_text,
     }
 
 
