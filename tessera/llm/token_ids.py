@@ -34,66 +34,78 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+class _Chunks(dict):
+    """Ids of chunks, worked out at the first use."""
+
+    def __init__(self, tokenizer):
+        self._tokenizer, self._tokenize, self._marks = tokenizer, tokenizer.model.tokenize, {}
+        self.line_feed = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def letters(self, core: str) -> bytes:
+        """Ids of one pre-token, written in byte-level characters, straight from the file's merge model."""
+        ids = array("I", [t.id for t in self._tokenize(core)])
+        return ids.tobytes() if _LITTLE else np.asarray(ids, "<u4").tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        first = chunk[0]
+        bare = first == "\n" or first == "\r"
+        word = chunk[1:] if bare else chunk
+        core = word.rstrip(_PUNCTUATION)
+        if core.isalpha():  # letters make one pre-token, the marks after them another
+            ids = None if bare else self.get(core)
+            if ids is None:
+                raw = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LEVEL)
+                ids = self.letters(raw if bare else "\u0120" + raw)
+            if core != word:
+                marks = word[len(core) :]
+                ids += self._marks.get(marks) or self._marks.setdefault(marks, self.whole(marks))
+        else:
+            ids = self.whole(word if bare else " " + word)
+        if first == "\n":
+            ids = self.line_feed + ids
+        self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         self._tokenizer = load_tokenizer(path)
-        self._tokenize = self._tokenizer.model.tokenize
-        self._known: dict[str, bytes] = {}
-        self._rests: dict[str, bytes] = {}
-        self._line_feed = self._whole("\n")
-        # Chunk by chunk encoding needs a line feed that is one token of its own and splits nothing else.
-        self._chunked = len(self._line_feed) == 4 and self._whole("a\n\u00e9 b") == b"".join((self._whole("a"), self._line_feed, self._model_ids("\u00e9", False), self._model_ids("b", True)))
-
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self._known = known = _Chunks(self._tokenizer)
+        # Chunk by chunk encoding needs a line feed that is a token of its own, and byte-level letters.
+        parts = (known.whole("a"), known.line_feed, known.letters("\u00c3\u00a9"), known.letters("\u0120b"))
+        self._chunked = len(known.line_feed) == 4 and known.whole("a\n\u00e9 b") == b"".join(parts)
 
     @staticmethod
     def _chunks(text: str) -> list[str] | None:
-        """The text's chunks: "word" stands for " word", a leading line feed for itself; None: irregular."""
+        """The text's chunks: "word" stands for " word", "\\nword" for itself, "\\rword" for the text's
+        first word; None if words aren't parted by single spaces and line feeds."""
         words = text.split()
         if not words or sum(map(len, words)) + len(words) - 1 != len(text) or text.count(" ") + text.count("\n") != len(words) - 1:
             return None
-        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
-
-    def _model_ids(self, core: str, spaced: bool) -> bytes:
-        """Ids of one pre-token of letters, straight from the file's merge model."""
-        if not core.isascii():
-            core = core.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        ids = array("I", [t.id for t in self._tokenize("\u0120" + core if spaced else core)])
-        return ids.tobytes() if _LITTLE else np.asarray(ids, "<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        known = self._known
-        for c in chunks - known.keys():
-            fed = c[0] == "\n"
-            word = c[1:] if fed else c
-            core = word.rstrip(_PUNCTUATION)
-            if core.isalpha():  # letters make one pre-token, the marks after them another
-                ids = self._model_ids(core, not fed)
-                if core != word:
-                    rest = word[len(core) :]
-                    ids += self._rests.get(rest) or self._rests.setdefault(rest, self._whole(rest))
-                known[c] = self._line_feed + ids if fed else ids
-            else:
-                known[c] = self._whole(c if fed else " " + c)
+        if "\n" in text:
+            words = text.replace("\n", " \n").split(" ")
+        words[0] = "\r" + words[0]
+        return words
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text (None: no ids)."""
-        split = [self._chunks(t) if t and self._chunked else None for t in texts]
-        if len(self._known) > MEMORY_ENTRIES:
-            self._known.clear()
-            self._rests.clear()
-        for at in range(0, len(split), 512):
-            self._learn(set().union(*(c for c in split[at : at + 512] if c)))
-        get = self._known.__getitem__
+        known = self._known
+        get = known.__getitem__
         out = []
-        for text, chunks in zip(texts, split, strict=True):
+        for text in texts:
+            chunks = self._chunks(text) if text and self._chunked else None
             if chunks:
-                out.append(b"".join(map(get, chunks))[4:])  # without the line feed put before the text
+                out.append(b"".join(map(get, chunks)))
             else:
-                out.append(self._whole(text) if text else b"")
+                out.append(known.whole(text) if text else b"")
+            if len(known) > MEMORY_ENTRIES:
+                self._known = known = _Chunks(self._tokenizer)
+                get = known.__getitem__
         return out
 
 
