@@ -115,6 +115,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int =
     )
 
 
+def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", span: int = 8, k: int = 4, min_items: int = 1) -> DataFrame:
+    """docs without the rows that hold spans of min_items benchmark items or more; the same columns.
+
+    The verdict depends on the text alone, so it is carried by the text's digest, not by a row number.
+    """
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keyed = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
+    bad = hits(keyed, benchmark, span, k, ["digest"]).where(F.size("items") >= min_items).select("digest").distinct()
+    mark = "__tessera_digest"
+    return docs.withColumn(mark, digest).join(bad.withColumnRenamed("digest", mark), mark, "left_anti").drop(mark)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items: spans of 8 words, found by 4-grams in windows of 5."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 8, 4, 2)
