@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,8 +184,6 @@ def judge(df: DataFrame, row_columns: list[str], messages: str = "messages", lab
 
 def text_kernel(kernel: Callable[..., Any], kind: T.DataType | str) -> Callable[..., Column]:
     """A Column function of text columns from a kernel, by Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf(kind)
     def call(*columns: pd.Series) -> pd.Series:
         return pd.Series([kernel(*(None if isinstance(v, float) else v for v in row)) for row in zip(*columns)], dtype=object)

@@ -180,7 +180,7 @@ def test_cascade():
 
 def test_broken_private_tests_are_no_failure_of_the_judge():
     """Text that is neither JSON nor packed JSON means no tests, not an error."""
-    assert judge.guarded({"private_test_cases": "!!", "answer": "4"}, said("The answer is 4"))[:4] == ("math", "math_rule", True, "pass")
+    assert judge.guarded({"private_test_cases": "!!", "answer": "4"}, said("The answer is 4"))[:4] == ("code_unverified", "code_safeguard_v1", None, "not_applicable")
 
 
 def test_large_outputs_do_not_block():
