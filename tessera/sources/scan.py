@@ -78,7 +78,7 @@ def scan_jsonl(spark: SparkSession, files: list[str], schema: T.StructType | Non
     w = Window.partitionBy("source_file").orderBy("block", "order")
     rows = lines.where(valid("value")).select("value", "source_file", (F.row_number().over(w) - 1).cast("long").alias("source_row"))
     if schema is None:
-        schema = spark.read.json(rows.select("value").rdd.map(lambda r: r[0])).schema
+        schema = spark.read.option("mode", "DROPMALFORMED").json(files).schema
     return rows.select(F.from_json("value", schema).alias("row"), "source_file", "source_row").select("row.*", "source_file", "source_row")
 
 
