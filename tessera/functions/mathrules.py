@@ -42,6 +42,11 @@ EXPRESSION_THEN = (
 
 _WRAPPERS = tuple(re.compile(p) for p in WRAPPERS)
 _ANSWERS = tuple(re.compile(p) for p in ANSWERS)
+_FINAL = SUBSTITUTIONS + tuple((e, "") for e in REMOVED)
+_EXPRESSION_LAST = (("+\\inity", "\\infty"), ("and", ""), ("\\mathbf", ""))
+_BARE_FRACTION, _BARE_ROOT, _ROOT = re.compile(r"frac([^{])(.)"), re.compile(r"sqrt([^{])"), re.compile(r"\\sqrt(\w+)")
+_UNIT, _MBOX = re.compile(r"\\text{.*?}$"), re.compile(r"\\mbox{.*?}")
+_ZEROS, _LAST_ZEROS = re.compile(r"(\d+)\.0+([^\d])"), re.compile(r"(\d+)\.0+$")
 _WHOLE_FRACTION = re.compile(r"(-?[1-9][0-9]*|0)/(-?[1-9][0-9]*|0)")
 
 
@@ -66,7 +71,7 @@ def boxed(text: str) -> str | None:
 
 def final_answer(text: str) -> str:
     """A final answer without units, wrappers and introductions."""
-    text = _rewrite(text, SUBSTITUTIONS + tuple((e, "") for e in REMOVED))
+    text = _rewrite(text, _FINAL)
     for wrapper in _WRAPPERS:
         text = wrapper.sub(r"\1", text)
     for pattern in _ANSWERS:
@@ -75,8 +80,7 @@ def final_answer(text: str) -> str:
     text = text.strip()
     if "rac" in text and "\\frac" not in text:
         text = text.replace("rac", "\\frac")
-    text = re.sub(r"frac([^{])(.)", r"frac{\1}{\2}", text)
-    text = re.sub(r"sqrt([^{])", r"sqrt{\1}", text).replace("$", "")
+    text = _BARE_ROOT.sub(r"sqrt{\1}", _BARE_FRACTION.sub(r"frac{\1}{\2}", text)).replace("$", "")
     digits = text.replace(",", "")
     return digits if digits.isdigit() else text
 
@@ -106,29 +110,28 @@ def _fractions(text: str) -> str:
 def expression(text: str) -> str:
     """An expression in one spelling: of fractions, roots, units, decimals and spaces."""
     text = _rewrite(str(text).strip().replace("\n", "").rstrip("."), EXPRESSION_FIRST)
-    text = re.sub(r"\\text{.*?}$", "", text).strip() or text
+    text = _UNIT.sub("", text).strip() or text
     text = _rewrite(text, EXPRESSION_THEN)
     if "\\infty" not in text:
         text = text.replace("inf", "\\infty")
-    text = _rewrite(text, (("+\\inity", "\\infty"), ("and", ""), ("\\mathbf", "")))
-    text = _rewrite(re.sub(r"\\mbox{.*?}", "", text), (("'", ""), ('"', "")))
+    text = _rewrite(text, _EXPRESSION_LAST)
+    text = _rewrite(_MBOX.sub("", text), (("'", ""), ('"', "")))
     if "i" not in text:
         text = text.replace("j", "i")
-    text = re.sub(r"(\d+)\.0+([^\d])", r"\1\2", text)
-    text = re.sub(r"(\d+)\.0+$", r"\1", text)
+    text = _LAST_ZEROS.sub(r"\1", _ZEROS.sub(r"\1\2", text))
     if text.startswith("."):
         text = "0" + text
     left, equals, right = text.partition("=")
     if equals and "=" not in right and len(left) <= 2:
         text = right
-    text = _fractions(re.sub(r"\\sqrt(\w+)", r"\\sqrt{\1}", text).replace(" ", ""))
+    text = _fractions(_ROOT.sub(r"\\sqrt{\1}", text).replace(" ", ""))
     whole = _WHOLE_FRACTION.fullmatch(text)
     return rf"\frac{{{whole[1]}}}{{{whole[2]}}}" if whole else text
 
 
 def equivalent(a: str | None, b: str | None) -> bool:
     """Whether two answers are the same in any of the spellings above; two missing ones are."""
-    if a is None or b is None:
-        return a is b
+    if a is None or b is None or a == b:
+        return a == b
     spellings = (expression, lambda t: final_answer(expression(t)), final_answer, lambda t: t)
     return any(spell(a) == spell(b) for spell in spellings)

@@ -9,6 +9,7 @@ given as Columns at the end.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 from typing import Any
 
 import pandas as pd
@@ -35,6 +36,7 @@ Verdict = tuple[str | None, str | None, bool | None, str, dict[str, Any] | None]
 SymbolicCheck = Callable[[str, str], tuple[bool, bool | None, dict[str, Any]]]
 
 
+@cache
 def symbolic_check() -> SymbolicCheck | None:
     """The optional symbolic checker of mathematical answers, if its packages are there."""
     try:
@@ -73,9 +75,9 @@ def _by_unit_tests(row: dict, answer: str, _: str | None) -> Verdict | None:
 
 
 def _by_completion(row: dict, answer: str, _: str | None) -> Verdict | None:
-    program = codetext.completion_program(row, codetext.program(answer))
-    if not program:
+    if codetext.completion_program(row, "") is None:
         return None
+    program = codetext.completion_program(row, codetext.program(answer))
     status = sandbox.run_program(program, PROGRAM_SECONDS)
     return "code_humaneval", None, status == "pass", status, {"timeout_seconds": PROGRAM_SECONDS}
 
@@ -166,6 +168,13 @@ def guarded(row: dict[str, Any], messages: list[dict[str, Any]], label: str | No
         return type_hint(row, label), "judge_subprocess_guard_v1", None, "failed", detail
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where it comes from fewer files than there are; costly Python follows, so the
+    shuffle pays. Input of many files stays where it is."""
+    cores, files = df.sparkSession.sparkContext.defaultParallelism, df.inputFiles()
+    return df.repartition(cores) if 0 < len(files) < cores else df
+
+
 def judge(df: DataFrame, row_columns: list[str], messages: str = "messages", label: str | None = None) -> DataFrame:
     """df and the verdict's columns; judge_detail is canonical JSON, so figures of any shape share a column."""
     schema = T.StructType([*df.schema.fields, *VERDICT.fields])
@@ -179,7 +188,7 @@ def judge(df: DataFrame, row_columns: list[str], messages: str = "messages", lab
             kinds = (pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([v[k] for v in out], t) for k, t in enumerate(kinds))], names=names)
 
-    return df.mapInArrow(each, schema)
+    return spread(df).mapInArrow(each, schema)
 
 
 def text_kernel(kernel: Callable[..., Any], kind: T.DataType | str) -> Callable[..., Column]:
