@@ -16,7 +16,7 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Chunks remembered by a Python worker. Beyond it the memory is emptied: results do not change.
-MEMORY_ENTRIES = 500_000
+MEMORY_ENTRIES = 1_000_000
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Byte-level files write each byte as a visible character: printable Latin-1 as itself, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
