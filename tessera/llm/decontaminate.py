@@ -127,6 +127,20 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", span:
     return docs.withColumn(mark, digest).join(bad.withColumnRenamed("digest", mark), mark, "left_anti").drop(mark)
 
 
+def oracle_sql(span: int = 8, min_items: int = 2) -> str:
+    """contamination() in DuckDB's SQL, by all windows in the place of fingerprints."""
+    words = lambda c: f"regexp_extract_all(translate(coalesce({c}, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words("text")} AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item, least(len(w), {span}) AS m, array_to_string(w[i:i + least(len(w), {span}) - 1], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {span - 2}, 2))) AS i FROM b WHERE len(w) > 0)),
+    d AS (SELECT row_number() OVER () AS k, doc_id, {words("text")} AS w FROM documents),
+    dw AS (SELECT k, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM (SELECT k, m, w, unnest(range(1, greatest(len(w) - m + 2, 1))) AS i FROM d, (SELECT DISTINCT m FROM bw))),
+    h AS (SELECT dw.k, dw.i, dw.m, bw.item FROM dw JOIN bw USING (m, g)),
+    c AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT k, i, m FROM h)) GROUP BY k),
+    n AS (SELECT k, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT k, item FROM h) GROUP BY k)
+    SELECT doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(n.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n.n, 0) >= {min_items} AS contaminated
+    FROM d LEFT JOIN c USING (k) LEFT JOIN n USING (k)"""
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items: spans of 8 words, found by 4-grams in windows of 5."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 8, 4, 2)

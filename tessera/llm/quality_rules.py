@@ -9,6 +9,7 @@ Line rules:
   punctuation  more than a fifth of the line's word characters are symbols of [#*$%&|<>], or there is an
                exclamation or question mark for every second word
   navigation   three or more words are a lone | or > or » and those are over a fifth of the words
+  stutter      more than half of the words repeat the word before them
   boilerplate  a line of at most 30 words with one of BOILERPLATE in it
 
 Nulls and empty texts: no words, base_failed. Lines without words are neither kept nor lost. Repeated
@@ -38,6 +39,7 @@ LINE_FAILS = rf"""
       5 * x.symbols > length(array_join(x.w, ''))
       or 2 * (x.shouts - 1) >= size(x.w) and x.shouts > 3
       or (size(filter(x.w, y -> y in ('|', '>', '»'))) >= 3 and 5 * size(filter(x.w, y -> y in ('|', '>', '»'))) > size(x.w))
+      or 2 * size(filter(x.w, (y, i) -> i > 0 and y = x.w[greatest(i - 1, 0)])) > size(x.w)
       or size(x.w) <= 30 and l rlike '(?i){"|".join(BOILERPLATE)}'
     )[0]"""
 
@@ -98,6 +100,28 @@ def clean(docs: DataFrame, text_col: str = "text", min_words: int = 20, max_repe
     return rows.select(*[(F.col("__text") if c == text_col else F.col("__row")[c]).alias(c) for c in docs.columns])
 
 
+def oracle_sql(min_words: int = 20, max_repeat: int = 30, max_lost: float = 0.3) -> str:
+    """quality()'s figures and verdicts in DuckDB's SQL."""
+    word = r"[^\x20\x09-\x0D]+"
+    words = lambda c: f"regexp_extract_all({c}, '{word}')"
+    lone = "list_filter(w, lambda y: y IN ('|', '>', '»'))"
+    return f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT k, doc_id, t, {words("t")} AS w, string_split(t, chr(10)) AS lines FROM d),
+    win AS (SELECT k, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS g FROM (SELECT k, w, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 1))) AS i FROM w)),
+    twice AS (SELECT k, i FROM win SEMI JOIN (SELECT k, g FROM win GROUP BY k, g HAVING count(*) > 1) x USING (k, g)),
+    rep AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + {WINDOW})) AS p FROM twice) GROUP BY k),
+    l AS (SELECT k, l, {words("l")} AS w, len(regexp_extract_all(l, '{SYMBOLS}')) AS symbols, len(regexp_extract_all(l, '[!?]')) AS marks FROM (SELECT k, unnest(lines) AS l FROM w)),
+    good AS (SELECT k, sum(length(array_to_string(w, '')))::BIGINT AS chars FROM l WHERE NOT (5 * symbols > length(array_to_string(w, ''))
+      OR (2 * marks >= len(w) AND marks > 2) OR (len({lone}) >= 3 AND 5 * len({lone}) > len(w))
+      OR 2 * len(list_filter(range(2, greatest(len(w) + 1, 2)), lambda i: w[i] = w[i - 1])) > len(w)
+      OR (len(w) <= 30 AND regexp_matches(l, '(?i){"|".join(BOILERPLATE)}'))) GROUP BY k),
+    f AS (SELECT w.doc_id, len(w.w) AS n_words, length(array_to_string(w.w, '')) AS word_chars, len(regexp_extract_all(t, '{SYMBOLS}')) AS n_symbols,
+      len(list_filter(lines, lambda x: regexp_matches(x, '{word}'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '{word}')))) AS n_dup_lines,
+      coalesce(rep.n, 0) AS n_repeat_words, coalesce(good.chars, 0) AS chars FROM w LEFT JOIN rep USING (k) LEFT JOIN good USING (k))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {min_words} OR 100 * n_repeat_words > {max_repeat} * n_words AS base_failed,
+      NOT (n_words < {min_words} OR 100 * n_repeat_words > {max_repeat} * n_words) AND word_chars - chars <= {max_lost}::DOUBLE * word_chars AS kept FROM f"""
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, by the rules above."""
     return quality(table(spark, sf_dir, "documents")).drop("lost_chars", "clean_text")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import decontaminate, quality_rules
 from tessera.llm.decontaminate import op6_decontamination
 from tessera.llm.html_text import op10_html_text
 from tessera.llm.language_model import op7_language_model
@@ -34,4 +35,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Of the queries that SQL can express; the others are held against plain Python in tests/llm."""
+    return {"op5_quality_rules": quality_rules.oracle_sql(), "op6_decontamination": decontaminate.oracle_sql()}

@@ -15,6 +15,7 @@ def line_fails(line):
         5 * symbols > sum(map(len, w))
         or (2 * marks >= len(w) and marks >= 3)
         or (lone >= 3 and 5 * lone > len(w))
+        or 2 * sum(a == b for a, b in zip(w, w[1:])) > len(w)
         or (len(w) <= 30 and any(b in line.lower() for b in q.BOILERPLATE))
     )
 
@@ -47,6 +48,8 @@ def cases():
         prose + "\n" + prose + "\nend",
         "one line\none line\n\n\n \none line",
         " ".join(f"w{i}" for i in range(20)),
+        " ".join(f"w{i // 6}" for i in range(48)),
+        prose + "\nthe the the the\n" + prose.upper(),
         " ".join(f"w{i}" for i in range(19)),
     ]
     return documents() + [(500 + i, t, "en", 1, "x", 2.5) for i, t in enumerate(extra)]
