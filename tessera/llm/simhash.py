@@ -8,6 +8,13 @@ the not yet reached fingerprints verifies the Hamming distance with numpy and em
 fingerprint reached, never all pairs: a dense group is taken in a few steps. Components come from
 minimum labels with pointer jumping on written tables.
 
+Similar texts: at a Jaccard similarity of 0.8 of their five-word shingles, fingerprints differ in about 15
+percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore also takes wide
+fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's hash. Two texts are
+candidates if any word agrees on two of six blocks (a pair at similarity 0.8 misses all of them about once
+in fifty, at 0.85 about once in a thousand); the walk within a key compares the next two words of the
+fingerprint, and each of its links is verified on all bits: at most ``max_share`` of them may differ.
+
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
 word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
 smallest doc_id in it; a null doc_id keeps its row and takes its component's id (null if there is no
@@ -58,6 +65,32 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > len(bits), bitorder="little").view("<u8")[0])
 
 
+def wide_fingerprint(text: str | None, shingle: int = 5, width: int = 8, seed: int = 42) -> list[int]:
+    """width signed 64-bit words: the SimHash of a text's distinct shingles under as many hashes."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if not words or not width:
+        return [0] * width
+    joined, ends, at = b" ".join(words), [], -1
+    for n in map(len, words):
+        at += n + 1
+        ends.append(at)
+    starts, k = [0, *[e + 1 for e in ends[:-1]]], min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array(list({digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :])}), np.uint64)
+    counts = np.zeros((width, 64), np.int64)
+    salts = (np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    for at in range(0, len(hashes), 255):
+        x = hashes[None, at : at + 255] + salts  # the finaliser of a well-known 64-bit generator spreads each salt's sums
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(width, -1, 8), axis=2, bitorder="little")
+        counts += bits.sum(axis=1, dtype=np.uint8)
+    return np.packbits(2 * counts > len(hashes), axis=1, bitorder="little").view("<i8").ravel().tolist()
+
+
 def with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int = 4, seed: int = 42) -> DataFrame:
     """docs and its texts' fingerprints as signed 64-bit integers in column name."""
     from pyspark.sql import types as T
@@ -186,16 +219,134 @@ def near_duplicates(docs: DataFrame, distance: int = 4, blocks: int = 6, shingle
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42) -> DataFrame:
+#: Blocks of a word of a wide fingerprint, two of which make a key.
+_WIDE_BLOCKS = [(64 * k // 6, 64 * (k + 1) // 6) for k in range(6)]
+_WIDE_CHOICES = list(combinations(range(6), 2))
+#: Differing bits of the two words compared within a key, of 128.
+_SKETCH_BITS = 32
+
+
+def _nearest_walk(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (from, to) of a spanning forest over the 128-bit sketches (x, y) of one key: a sketch that the
+    front of the walk reaches is linked to the nearest one there."""
+    left, a, b = np.arange(len(x)), [], []
+    while len(left) > 1:
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            some, front = front[:_WALK], front[_WALK:]
+            least, by = np.full(len(left), 129, np.int64), np.zeros(len(left), np.int64)
+            for f in some.tolist():
+                bits = np.bitwise_count(x[left] ^ x[f]).astype(np.int64) + np.bitwise_count(y[left] ^ y[f])
+                closer = bits < least
+                least[closer], by[closer] = bits[closer], f
+            near = least <= most
+            if near.any():
+                a.append(by[near])
+                b.append(left[near])
+                front, left = np.concatenate([front, left[near]]), left[~near]
+    none = np.empty(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def wide_links(prints: DataFrame, max_share: float = 0.2) -> DataFrame:
+    """(a, b): verified links between the nodes of prints (node: long, wide: array of 64-bit words, all distinct)."""
+    width = len(prints.select("wide").head(1)[0][0]) if not prints.isEmpty() else 1
+    keyed = prints.select("node", "wide").mapInArrow(_wide_keys, "key int, node long, x long, y long")
+    keyed = keyed.repartition("key").sortWithinPartitions("key", "node")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 4
+
+        def of(key: np.ndarray, node: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            x, y = x.view(np.uint64), y.view(np.uint64)
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            lengths = np.diff(np.append(starts, len(key)))
+            pair = starts[lengths == 2]  # most keys that are shared at all are shared by two
+            good = np.bitwise_count(x[pair] ^ x[pair + 1]).astype(np.int64) + np.bitwise_count(y[pair] ^ y[pair + 1]) <= _SKETCH_BITS
+            a, b = [node[pair[good]]], [node[pair[good] + 1]]
+            for k in np.flatnonzero(lengths > 2).tolist():
+                run = slice(starts[k], starts[k] + lengths[k])
+                i, j = _nearest_walk(x[run], y[run], _SKETCH_BITS)
+                a.append(node[run][i])
+                b.append(node[run][j])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a, b)], names=["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                rows = [np.concatenate([h, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for h, c in zip(held, batch.columns, strict=True)]
+                last = np.flatnonzero(rows[0] != rows[0][-1])
+                cut = int(last[-1]) + 1 if len(last) else 0
+                held = [r[cut:] for r in rows]
+                if cut:
+                    yield of(*(r[:cut] for r in rows))
+        if len(held[0]):
+            yield of(*held)
+
+    pairs = keyed.mapInArrow(walk, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"))
+    differ = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= int(max_share * 64 * width)).select("a", "b")
+
+
+def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node = batch.column(0).to_numpy()
+        wide = np.array(batch.column(1).to_pylist(), np.int64).view(np.uint64)
+        for at in range(0, len(node), 2000):
+            some, words = node[at : at + 2000], wide[at : at + 2000]
+            width = words.shape[1]
+            for k in range(width):
+                blocks = [((words[:, k] >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)).astype(np.int64) for a, b in _WIDE_BLOCKS]
+                keys = [(((k * len(_WIDE_CHOICES) + c) << 22) | (blocks[i] << 11) | blocks[j]) for c, (i, j) in enumerate(_WIDE_CHOICES)]
+                n = len(keys)
+                x, y = words[:, (k + 1) % width].view(np.int64), words[:, (k + 2) % width].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).astype(np.int32)), pa.array(np.tile(some, n)), pa.array(np.tile(x, n)), pa.array(np.tile(y, n))], names=["key", "node", "x", "y"]
+                )
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5) -> DataFrame:
     """docs with one row of each group of near-duplicates: the one with the smallest id (nulls last),
-    of repeated ids the first row written."""
-    row, fp = "__tessera_row", "__tessera_fp"
-    full = written(with_fingerprint(docs, text_col, fp, shingle, seed).withColumn(row, F.monotonically_increasing_id()), "dedup")
-    small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(fp).alias("fp"))
+    of repeated ids the first row written. Texts are linked by fingerprints at most ``distance`` bits apart
+    and, for width > 0, by wide fingerprints."""
+    row, fp, wide = "__tessera_row", "__tessera_fp", "__tessera_wide"
+    full = with_fingerprint(docs, text_col, fp, shingle, seed)
+    full = _with_wide(full, text_col, wide, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
+    full = written(full, "dedup")
+    small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(wide).alias("wide"))
     order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
-    firsts = small.groupBy("fp").agg(F.min(order).alias("first"))
-    group = firsts.join(classes(small, distance, blocks), "fp", "left").groupBy(F.coalesce("label", "fp")).agg(F.min("first").alias("first"))
-    return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp)
+    # A node for each distinct pair of fingerprints: exact copies meet here.
+    nodes = written(small.groupBy("fp", "wide").agg(F.min("row").alias("node"), F.min(order).alias("first")), "nodes")
+    of_print = nodes.groupBy("fp").agg(F.min("node").alias("of"))
+    same = nodes.join(of_print, "fp").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
+    close = links(nodes.select("fp").distinct(), distance, blocks)
+    for side in ("a", "b"):
+        close = close.join(of_print.select(F.col("fp").alias(side), F.col("of").alias(f"n{side}")), side)
+    edges = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    if width:
+        # Nodes of one wide fingerprint are one for the walk.
+        of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of")), "wide")
+        twin = nodes.join(of_wide, "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
+        edges = edges.unionByName(twin).unionByName(wide_links(of_wide.select(F.col("of").alias("node"), "wide"), max_share))
+    labels = components(written(edges, "links"))
+    group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
+    return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp, wide)
+
+
+def _with_wide(docs: DataFrame, text_col: str, name: str, shingle: int, width: int, seed: int) -> DataFrame:
+    from pyspark.sql import types as T
+
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = pa.array([wide_fingerprint(t, shingle, width, seed) for t in batch.column(at).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=schema.fieldNames())
+
+    return docs.mapInArrow(add, schema)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
