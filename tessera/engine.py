@@ -42,10 +42,12 @@ def run(spark: SparkSession, s: Settings, client: Callable[[], Client] | None =
     model, key, size, seconds = s.model, s.api_key, s.max_tokens, s.llm_timeout
     open_client = client or (lambda: ChatClient(model, key, size, seconds))
     # Paid for once: written before the judge and both streams read it.
-    generated = staged(generate.generate(todo, open_client, s.urls, s.concurrency), work)
+    alive = generate.process_alive(s.list_command) if s.list_command else None
+    generated = staged(generate.generate(todo, open_client, s.urls, s.concurrency, alive), work)
     answers, failures = generate.split(generated)
     sinks.append_failures(failures, s.failure_path)
     made = [c for c in ("messages", "finish_reason", "usage", "prompt_text", *KEY) if c in answers.columns]
     judged = judge.judge(answers, [c for c in answers.columns if c not in made], label=s.label_field)
     sinks.append_records(staged(records.build(judged), work), s.output_dir, s.segment_size_mb << 20)
+    sinks.delete(spark, work)  # only after both streams are written: what a broken run has paid for stays
     return resume.progress(spark, s.output_dir)

@@ -71,6 +71,23 @@ def listed_ports(listing: str) -> set[int]:
     return {int(p) for p in re.findall(r"--port[=\s]+(\d+)", listing)}
 
 
+def process_alive(command: str, seconds: float = 10.0) -> Callable[[str], Awaitable[bool | None]]:
+    """A check of local backends by the output of a command that lists server processes: whether the address's
+    port is in it; None where the command fails or the address names no port."""
+    import shlex
+    import subprocess
+
+    async def alive(url: str) -> bool | None:
+        port = urlparse(url).port
+        try:
+            done = await asyncio.to_thread(subprocess.run, shlex.split(command), capture_output=True, text=True, timeout=seconds)
+        except (OSError, ValueError, subprocess.TimeoutExpired):
+            return None
+        return None if done.returncode or port is None else port in listed_ports(done.stdout)
+
+    return alive
+
+
 class Pool:
     """Backends and how many requests each holds; a request goes to the one with the fewest.
 

@@ -68,15 +68,21 @@ def scan_parquet(spark: SparkSession, files: list[str], skip_broken: bool = Fals
 def scan_jsonl(spark: SparkSession, files: list[str], schema: T.StructType | None = None) -> DataFrame:
     """Valid rows of JSON-lines files with source_file and source_row (over valid lines, from 0).
 
-    Rows are numbered within a file by block and order of reading, after lines that are blank or no JSON
-    are gone; each file is numbered by itself. Without a schema one is inferred over all files.
+    Rows are numbered after lines that are blank or no JSON are gone: within each split of a file, plus the
+    lines of the splits before it, so one large file is no one task's work. Without a schema one is inferred
+    over all files.
     """
     lines = spark.read.text(files).select(
         "value", source_file().alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("order")
     )
-    valid = text_kernel(valid_line, "boolean")
-    w = Window.partitionBy("source_file").orderBy("block", "order")
-    rows = lines.where(valid("value")).select("value", "source_file", (F.row_number().over(w) - 1).cast("long").alias("source_row"))
+    valid = lines.where(text_kernel(valid_line, "boolean")("value"))
+    # A row for each split.
+    before = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = valid.groupBy("source_file", "block").agg(F.count(F.lit(1)).alias("n"))
+    bases = counts.select("source_file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    within = Window.partitionBy("source_file", "block").orderBy("order")
+    numbered = valid.withColumn("number", F.row_number().over(within) - 1).join(bases, ["source_file", "block"])
+    rows = numbered.select("value", "source_file", (F.col("base") + F.col("number")).cast("long").alias("source_row"))
     if schema is None:
         schema = spark.read.option("mode", "DROPMALFORMED").json(files).schema
     return rows.select(F.from_json("value", schema).alias("row"), "source_file", "source_row").select("row.*", "source_file", "source_row")

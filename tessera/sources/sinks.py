@@ -28,6 +28,12 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append_records(records: DataFrame, output_dir: str, segment_bytes: int = 4 << 20) -> None:
     """Append records to the stream of all and the correct ones to theirs, then their keys to the index.
 
@@ -74,4 +80,4 @@ def write_summary(summary: dict[str, Any], path: str | None = None) -> str:
     return text
 
 
-__all__ = ["KEY", "append_failures", "append_records", "has_files", "index_path", "read_records", "stream_path", "write_summary"]
+__all__ = ["KEY", "append_failures", "append_records", "delete", "has_files", "index_path", "read_records", "stream_path", "write_summary"]

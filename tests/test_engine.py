@@ -366,3 +366,47 @@ def test_conform_fills_and_casts(spark):
     df = spark.createDataFrame([(1, {"b": 1})], "source_row int, judge_detail map<string,int>")
     row = conform(df, RECORD).first()
     assert row.source_row == 1 and row.judge_detail == '{"b":1}' and row.messages is None and conform(df, RECORD).schema == RECORD
+
+
+# --- load
+
+
+def test_load_run(spark, tmp_path):
+    from tessera.plans import loadtest
+
+    asked = loadtest.prompts(spark, 20, 100)
+    assert {len(r.prompt) for r in asked.collect()} == {100} and asked.select("prompt").distinct().count() == 20
+
+    def client():
+        class Picky(generate.MockClient):
+            async def complete(self, url, prompt):
+                if ":7001/" in url:
+                    raise generate.ConnectionLost("no")
+                return await super().complete(url, prompt)
+
+        return Picky()
+
+    loadtest.drive(asked, client, [7000, 7001], 4).write.parquet(f"{tmp_path}/done")
+    figures = loadtest.report(spark.read.parquet(f"{tmp_path}/done"))
+    assert figures["total"] == 20 and figures["failed"] == 10 and figures["port_success"] == {7000: 10, 7001: 0} and figures["rps"] > 0
+    assert loadtest.report(spark.read.parquet(f"{tmp_path}/done").where("false"))["rps"] == 0.0
+
+
+def test_process_listing(tmp_path):
+    script = tmp_path / "ls.sh"
+    script.write_text("echo serve --port 7001\n")
+    alive = generate.process_alive(f"sh {script}")
+    assert [asyncio.run(alive(u)) for u in ("http://h:7001/v1", "http://h:7002/v1", "http://h/v1")] == [True, False, None]
+    assert asyncio.run(generate.process_alive("/no/such/command")("http://h:1/v1")) is None
+
+
+def test_one_large_file_is_numbered_over_its_splits(spark, tmp_path):
+    lines(f"{tmp_path}/big.jsonl", [{"k": k} if k % 7 else "" for k in range(4000)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = scan.scan_jsonl(spark, [f"{tmp_path}/big.jsonl"])
+        assert spark.read.text(f"{tmp_path}/big.jsonl").rdd.getNumPartitions() > 5
+        assert [(r.source_row, r.k) for r in rows.orderBy("source_row").collect()] == list(enumerate(k for k in range(4000) if k % 7))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
