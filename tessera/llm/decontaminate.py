@@ -92,7 +92,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int = 4, keep:
     spans = F.when(F.col("span_words").isNotNull(), F.struct((F.col("p") - F.col("j")).alias("s"), F.col("m").alias("l")))
     return (
         found.groupBy("row")
-        .agg(F.max("kept").alias("kept"), F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(spans)).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+        .agg(F.first("kept", ignorenulls=True).alias("kept"), F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(spans)).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
         .select(*[F.col("kept")[c].alias(c) for c in keep], F.col("n_words").cast("long").alias("n_words"), "spans", "items")
     )
 
