@@ -46,17 +46,23 @@ def has_reasoning(messages: Column) -> Column:
     return F.exists(messages, lambda m: F.coalesce(trimmed(m["reasoning_content"]).isNotNull(), F.lit(False)))
 
 
+#: Control characters whose escapes hold a letter.
+_LETTERED = [n for n in range(0x20) if f"{n:04x}" != f"{n:04X}" and n not in (0x0A, 0x0C, 0x0D)]
+
+
 def json_text(value: Column) -> Column:
     """A JSON string of a text as Python writes it: letters as they are, control characters in lower-case hex.
 
-    to_json() writes them in upper case, so the few texts that hold such characters get theirs back lowered.
+    to_json() writes those in upper case; the few texts that hold one get their escapes lowered, but not what
+    looks like an escape behind a backslash of the text's own.
     """
     quoted = F.substring(F.to_json(F.struct(value.alias("s"))), 6, 2147483647)
     quoted = F.left(quoted, F.length(quoted) - 1)
-    for n in (*range(0x00, 0x08), 0x0B, *range(0x0E, 0x20)):
-        if f"{n:04x}" != f"{n:04X}":
-            quoted = F.when(value.contains(chr(n)), F.replace(quoted, F.lit(f"\\u{n:04X}"), F.lit(f"\\u{n:04x}"))).otherwise(quoted)
-    return F.when(value.isNull(), "null").otherwise(quoted)
+    lowered = quoted
+    for n in _LETTERED:
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u{n:04X}", rf"$1\\u{n:04x}")
+    rare = value.rlike("[" + "".join(rf"\x{n:02x}" for n in _LETTERED) + "]")
+    return F.when(value.isNull(), "null").when(rare, lowered).otherwise(quoted)
 
 
 def canonical_messages(messages: Column) -> Column:
