@@ -76,7 +76,7 @@ def task_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.make_tasks(_rows(spark, sf_dir), "question", 3)[0].select(*KEY, "prompt_text")
 
 
-@query(f"{_T} SELECT source_file, source_row, 0 AS rollout_index, 'empty_or_unsupported_input:question' AS reason FROM r WHERE {_PROMPT} IS NULL")
+@query(f"{_T} SELECT source_file, source_row, 0::BIGINT AS rollout_index, 'empty_or_unsupported_input:question' AS reason FROM r WHERE {_PROMPT} IS NULL")
 def prompt_empty_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.make_tasks(_rows(spark, sf_dir), "question", 3)[1]
 
@@ -255,7 +255,7 @@ def math_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
 _E = given(e=inputs.EXAMPLES)
 
 
-@query(f"{_E} SELECT source_file, source_row, CASE source_row % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS n_examples FROM e")
+@query(f"{_E} SELECT source_file, source_row, (CASE source_row % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END)::BIGINT AS n_examples FROM e")
 def example_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = text_kernel(lambda t: len(examples.parse(t)), "long")
     return inputs.load(spark, sf_dir, inputs.EXAMPLES).select("source_file", "source_row", count("input").alias("n_examples"))
@@ -418,7 +418,7 @@ _FOUND = f"""{given(r=inputs.HYDRATE, l=inputs.LOOKUP)}, k AS (SELECT *, CASE WH
     h AS (SELECT k.id, k.input, k.input_output, k.d, l.question, coalesce(l.tests, '') AS tests FROM k LEFT JOIN l ON l.dataset = k.d AND l.split = k.sp AND l.index = TRY_CAST(trim(k.index) AS BIGINT)),
     o AS (SELECT id, coalesce(nullif(trim(question), ''), input) AS input, CASE WHEN d IS NULL THEN coalesce(input_output, '') ELSE tests END AS input_output,
       CASE WHEN d IS NULL THEN '' ELSE d || '_source_dataset' END AS generated_test_source, 'source_dataset_v1' AS generated_test_parser,
-      CASE WHEN d IS NOT NULL AND tests <> '' THEN 1 ELSE 0 END AS generated_test_count, CASE WHEN d IS NOT NULL AND tests <> '' THEN 'hydrated' ELSE 'missing' END AS generated_test_status FROM h)"""
+      (CASE WHEN d IS NOT NULL AND tests <> '' THEN 1 ELSE 0 END)::BIGINT AS generated_test_count, CASE WHEN d IS NOT NULL AND tests <> '' THEN 'hydrated' ELSE 'missing' END AS generated_test_status FROM h)"""
 
 
 def _hydrated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -515,7 +515,7 @@ def generate_mock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_T} SELECT {_NAME} || ':' || source_file || ':' || source_row || ':rollout_' || k AS sample_id, 2 AS turn_count, length({_PROMPT}) + 16 AS content_chars, 'math' AS judge_type, 'math_rule' AS judge_backend, false AS is_correct,
+    f"""{_T} SELECT {_NAME} || ':' || source_file || ':' || source_row || ':rollout_' || k AS sample_id, 2::BIGINT AS turn_count, length({_PROMPT}) + 16 AS content_chars, 'math' AS judge_type, 'math_rule' AS judge_backend, false AS is_correct,
     len(regexp_split_to_array({_PROMPT}, '\\s+')) AS prompt_tokens FROM r, range(2) t(k) WHERE {_PROMPT} IS NOT NULL"""
 )
 def records_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
