@@ -185,6 +185,8 @@ _SHARDS = T.StructType(
     ]
 )
 _SHARD_NAMES = [f.name for f in _SHARDS.fields]
+#: Chunks that a worker's encoder remembers here: more than by default, as this job runs alone and its time is short.
+ENCODER_ENTRIES = 1_000_000
 #: Ids after which a shard is closed; a longer document makes a shard of its own.
 SHARD_IDS = 1 << 20
 
@@ -196,7 +198,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, end, ids_of = TaskContext.get().partitionId(), end_id.to_bytes(4, "little"), encoder(file).encode
+        part, end, ids_of = TaskContext.get().partitionId(), end_id.to_bytes(4, "little"), encoder(file, ENCODER_ENTRIES).encode
         doc_ids: list[int | None] = []
         held: list[bytes] = []
         size = before = shard = 0

@@ -15,8 +15,9 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Chunks remembered by a Python worker. Beyond it the memory is emptied: results do not change.
-MEMORY_ENTRIES = 1_000_000
+#: Chunks remembered by a Python worker (a hundred thousand take about 20 MB). Beyond it the memory is emptied:
+#: results do not change, chunks met again are worked out again.
+MEMORY_ENTRIES = 300_000
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Byte-level files write each byte as a visible character: printable Latin-1 as itself, the others from U+0100 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -73,8 +74,8 @@ class _Chunks(dict):
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
-        self._tokenizer = load_tokenizer(path)
+    def __init__(self, path: str, entries: int | None = None):
+        self._tokenizer, self._entries = load_tokenizer(path), entries or MEMORY_ENTRIES
         self._known = known = _Chunks(self._tokenizer)
         # Chunk by chunk encoding needs a line feed that is a token of its own, and byte-level letters.
         parts = (known.whole("a"), known.line_feed, known.letters("\u00c3\u00a9"), known.letters("\u0120b"))
@@ -103,20 +104,20 @@ class ChunkEncoder:
                 out.append(b"".join(map(get, chunks)))
             else:
                 out.append(known.whole(text) if text else b"")
-            if len(known) > MEMORY_ENTRIES:
+            if len(known) > self._entries:
                 self._known = known = _Chunks(self._tokenizer)
                 get = known.__getitem__
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, int | None], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, entries: int | None = None) -> ChunkEncoder:
+    """One encoder for each Python worker, file and size of memory."""
+    if (path, entries) not in _ENCODERS:
+        _ENCODERS[path, entries] = ChunkEncoder(path, entries)
+    return _ENCODERS[path, entries]
 
 
 def default_tokenizer() -> str:
