@@ -226,12 +226,14 @@ _WIDE_CHOICES = list(combinations(range(6), 2))
 _SKETCH_BITS = 32
 
 
-def _nearest_walk(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (from, to) of a spanning forest over the 128-bit sketches (x, y) of one key: a sketch that the
-    front of the walk reaches is linked to the nearest one there."""
+def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (from, to) of links that connect the 128-bit sketches (x, y) of one key, as far as their labels
+    don't: what the front of the walk reaches is linked to the nearest one there, and brings all that share its
+    label along."""
     left, a, b = np.arange(len(x)), [], []
     while len(left) > 1:
-        front, left = left[:1], left[1:]
+        mine = label[left] == label[left[0]]
+        front, left = left[mine], left[~mine]
         while len(front) and len(left):
             some, front = front[:_WALK], front[_WALK:]
             least, by = np.full(len(left), 129, np.int64), np.zeros(len(left), np.int64)
@@ -243,30 +245,36 @@ def _nearest_walk(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray,
             if near.any():
                 a.append(by[near])
                 b.append(left[near])
-                front, left = np.concatenate([front, left[near]]), left[~near]
+                reached = np.isin(label[left], label[left[near]])
+                front, left = np.concatenate([front, left[reached]]), left[~reached]
     none = np.empty(0, np.int64)
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def wide_links(prints: DataFrame, max_share: float = 0.2) -> DataFrame:
-    """(a, b): verified links between the nodes of prints (node: long, wide: array of 64-bit words, all distinct)."""
-    width = len(prints.select("wide").head(1)[0][0]) if not prints.isEmpty() else 1
-    keyed = prints.select("node", "wide").mapInArrow(_wide_keys, "key int, node long, x long, y long")
+def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float) -> DataFrame:
+    """(a, b): verified links between the nodes of prints (node, label: long, wide: array of 64-bit words) by
+    keys of the given words. Nodes of one label are taken to be linked already."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _wide_keys(batches, words)
+
+    keyed = prints.select("node", "label", "wide").mapInArrow(keys, "key int, node long, label long, x long, y long")
     keyed = keyed.repartition("key").sortWithinPartitions("key", "node")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 4
+        held = [np.empty(0, np.int64)] * 5
 
-        def of(key: np.ndarray, node: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        def of(key: np.ndarray, node: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
             x, y = x.view(np.uint64), y.view(np.uint64)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lengths = np.diff(np.append(starts, len(key)))
             pair = starts[lengths == 2]  # most keys that are shared at all are shared by two
-            good = np.bitwise_count(x[pair] ^ x[pair + 1]).astype(np.int64) + np.bitwise_count(y[pair] ^ y[pair + 1]) <= _SKETCH_BITS
-            a, b = [node[pair[good]]], [node[pair[good] + 1]]
+            bits = np.bitwise_count(x[pair] ^ x[pair + 1]).astype(np.int64) + np.bitwise_count(y[pair] ^ y[pair + 1])
+            good = pair[(bits <= _SKETCH_BITS) & (label[pair] != label[pair + 1])]
+            a, b = [node[good]], [node[good + 1]]
             for k in np.flatnonzero(lengths > 2).tolist():
                 run = slice(starts[k], starts[k] + lengths[k])
-                i, j = _nearest_walk(x[run], y[run], _SKETCH_BITS)
+                i, j = _nearest_walk(x[run], y[run], label[run], _SKETCH_BITS)
                 a.append(node[run][i])
                 b.append(node[run][j])
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a, b)], names=["a", "b"])
@@ -288,23 +296,22 @@ def wide_links(prints: DataFrame, max_share: float = 0.2) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= int(max_share * 64 * width)).select("a", "b")
 
 
-def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        node = batch.column(0).to_numpy()
-        wide = np.array(batch.column(1).to_pylist(), np.int64).view(np.uint64)
+        node, label = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        wide = np.array(batch.column(2).to_pylist(), np.int64).view(np.uint64)
         for at in range(0, len(node), 2000):
-            some, words = node[at : at + 2000], wide[at : at + 2000]
+            some, its, words = node[at : at + 2000], label[at : at + 2000], wide[at : at + 2000]
             width = words.shape[1]
-            for k in range(width):
+            for k in of_words:
                 blocks = [((words[:, k] >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)).astype(np.int64) for a, b in _WIDE_BLOCKS]
                 keys = [(((k * len(_WIDE_CHOICES) + c) << 22) | (blocks[i] << 11) | blocks[j]) for c, (i, j) in enumerate(_WIDE_CHOICES)]
                 n = len(keys)
                 x, y = words[:, (k + 1) % width].view(np.int64), words[:, (k + 2) % width].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).astype(np.int32)), pa.array(np.tile(some, n)), pa.array(np.tile(x, n)), pa.array(np.tile(y, n))], names=["key", "node", "x", "y"]
-                )
+                columns = [np.concatenate(keys).astype(np.int32), *(np.tile(v, n) for v in (some, its, x, y))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y"])
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5) -> DataFrame:
@@ -329,8 +336,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # Nodes of one wide fingerprint are one for the walk.
         of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of")), "wide")
         twin = nodes.join(of_wide, "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
-        edges = edges.unionByName(twin).unionByName(wide_links(of_wide.select(F.col("of").alias("node"), "wide"), max_share))
+        prints = of_wide.select(F.col("of").alias("node"), "wide")
+        edges = edges.unionByName(twin).unionByName(wide_links(prints.withColumn("label", F.col("node")), [0], width, max_share))
     labels = components(written(edges, "links"))
+    if width > 1:
+        # The other words' keys only have to link what the first word's have not: a dense group is one label by now.
+        known = prints.join(labels, "node", "left").select("node", "wide", F.coalesce("label", "node").alias("label"))
+        more = wide_links(written(known, "known"), list(range(1, width)), width, max_share)
+        tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
+        labels = components(written(tree.unionByName(more), "links"))
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
     return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp, wide)
 
