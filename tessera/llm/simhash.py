@@ -13,7 +13,8 @@ percent of their bits, far more than blocks of 64 bits can bear. deduplicate() t
 fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's hash. Two texts are
 candidates if any word agrees on two of six blocks (a pair at similarity 0.8 misses all of them about once
 in fifty, at 0.85 about once in a thousand); the walk within a key compares the next two words of the
-fingerprint, and each of its links is verified on all bits: at most ``max_share`` of them may differ.
+fingerprint, and each of its links is verified on all bits: at most ``max_share`` of them may differ. Links
+that the bits leave in doubt are then settled by the shingles themselves.
 
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
 word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
@@ -65,20 +66,27 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > len(bits), bitorder="little").view("<u8")[0])
 
 
-def wide_fingerprint(text: str | None, shingle: int = 5, width: int = 8, seed: int = 42) -> list[int]:
-    """width signed 64-bit words: the SimHash of a text's distinct shingles under as many hashes."""
+def _shingle_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
+    """Hashes of a text's distinct shingles, ascending; of fewer words the whole sequence is one."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words or not width:
-        return [0] * width
+    if not words:
+        return np.empty(0, np.uint64)
     joined, ends, at = b" ".join(words), [], -1
     for n in map(len, words):
         at += n + 1
         ends.append(at)
     starts, k = [0, *[e + 1 for e in ends[:-1]]], min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(list({digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :])}), np.uint64)
+    return np.array(sorted({digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :])}), np.uint64)
+
+
+def wide_fingerprint(text: str | None, shingle: int = 5, width: int = 8, seed: int = 42) -> list[int]:
+    """width signed 64-bit words: the SimHash of a text's distinct shingles under as many hashes."""
+    hashes = _shingle_hashes(text, shingle, seed)
+    if not len(hashes) or not width:
+        return [0] * width
     counts = np.zeros((width, 64), np.int64)
     salts = (np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
     for at in range(0, len(hashes), 255):
@@ -224,6 +232,8 @@ _WIDE_BLOCKS = [(64 * k // 6, 64 * (k + 1) // 6) for k in range(6)]
 _WIDE_CHOICES = list(combinations(range(6), 2))
 #: Differing bits of the two words compared within a key, of 128.
 _SKETCH_BITS = 32
+#: Runs of one key of a wide fingerprint up to this length are compared pair by pair, longer ones walked.
+_SHORT_WIDE_RUN = 16
 
 
 def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +262,8 @@ def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) ->
 
 
 def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float) -> DataFrame:
-    """(a, b): verified links between the nodes of prints (node, label: long, wide: array of 64-bit words) by
-    keys of the given words. Nodes of one label are taken to be linked already."""
+    """(a, b, share): links between the nodes of prints (node, label: long, wide: array of 64-bit words) by keys
+    of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _wide_keys(batches, words)
@@ -268,16 +278,22 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
             x, y = x.view(np.uint64), y.view(np.uint64)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lengths = np.diff(np.append(starts, len(key)))
-            pair = starts[lengths == 2]  # most keys that are shared at all are shared by two
-            bits = np.bitwise_count(x[pair] ^ x[pair + 1]).astype(np.int64) + np.bitwise_count(y[pair] ^ y[pair + 1])
-            good = pair[(bits <= _SKETCH_BITS) & (label[pair] != label[pair + 1])]
-            a, b = [node[good]], [node[good + 1]]
-            for k in np.flatnonzero(lengths > 2).tolist():
+            runs = np.repeat(np.arange(len(starts)), lengths)
+            short = lengths[runs] <= _SHORT_WIDE_RUN
+            a, b = [], []
+            for d in range(1, min(_SHORT_WIDE_RUN, len(key))):  # few share most keys: each pair of them is compared
+                i = np.flatnonzero((runs[d:] == runs[:-d]) & short[d:] & (label[d:] != label[:-d]))
+                bits = np.bitwise_count(x[i] ^ x[i + d]).astype(np.int64) + np.bitwise_count(y[i] ^ y[i + d])
+                good = i[bits <= _SKETCH_BITS]
+                a.append(node[good])
+                b.append(node[good + d])
+            for k in np.flatnonzero(lengths > _SHORT_WIDE_RUN).tolist():
                 run = slice(starts[k], starts[k] + lengths[k])
                 i, j = _nearest_walk(x[run], y[run], label[run], _SKETCH_BITS)
                 a.append(node[run][i])
                 b.append(node[run][j])
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a, b)], names=["a", "b"])
+            none = [np.empty(0, np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(none + v)) for v in (a, b)], names=["a", "b"])
 
         for batch in batches:
             if batch.num_rows:
@@ -293,7 +309,38 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
     pairs = keyed.mapInArrow(walk, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"))
     differ = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= int(max_share * 64 * width)).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
+
+
+#: Up to this share of differing bits texts are similar beyond doubt (0.8 would be four deviations off).
+_SURE_SHARE = 0.11
+
+
+def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """(a, b) of the pairs (a, b, share) whose texts (texts: node, text) have a Jaccard similarity of at least
+    ``least`` by their distinct shingles; only pairs beyond _SURE_SHARE are looked at."""
+    doubtful = pairs.where(F.col("share") > _SURE_SHARE).select("a", "b")
+    wanted = doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_shingle_hashes(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "h"])
+
+    sets = written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h binary"), "shingles")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                good.append(both >= least * (len(p) + len(q) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("h").alias(f"h{n}"))
+    checked = doubtful.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "hb").mapInArrow(keep, "a long, b long")
+    return pairs.where(F.col("share") <= _SURE_SHARE).select("a", "b").unionByName(checked)
 
 
 def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterator[pa.RecordBatch]:
@@ -314,14 +361,14 @@ def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterat
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y"])
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """docs with one row of each group of near-duplicates: the one with the smallest id (nulls last),
     of repeated ids the first row written. Texts are linked by fingerprints at most ``distance`` bits apart
-    and, for width > 0, by wide fingerprints."""
+    and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints."""
     row, fp, wide = "__tessera_row", "__tessera_fp", "__tessera_wide"
-    full = with_fingerprint(docs, text_col, fp, shingle, seed)
-    full = _with_wide(full, text_col, wide, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
+    full = _with_both(docs, text_col, fp, wide, shingle, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
     full = written(full, "dedup")
+    texts = full.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
     small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(wide).alias("wide"))
     order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
     # A node for each distinct pair of fingerprints: exact copies meet here.
@@ -337,28 +384,36 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of")), "wide")
         twin = nodes.join(of_wide, "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
         prints = of_wide.select(F.col("of").alias("node"), "wide")
-        edges = edges.unionByName(twin).unionByName(wide_links(prints.withColumn("label", F.col("node")), [0], width, max_share))
+        edges = edges.unionByName(twin)
+        pairs = written(wide_links(prints.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
+        edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
     labels = components(written(edges, "links"))
     if width > 1:
         # The other words' keys only have to link what the first word's have not: a dense group is one label by now.
         known = prints.join(labels, "node", "left").select("node", "wide", F.coalesce("label", "node").alias("label"))
-        more = wide_links(written(known, "known"), list(range(1, width)), width, max_share)
+        pairs = written(wide_links(written(known, "known"), list(range(1, width)), width, max_share), "pairs")
+        more = similar(pairs, texts, least, wide_shingle)
         tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
         labels = components(written(tree.unionByName(more), "links"))
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
     return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp, wide)
 
 
-def _with_wide(docs: DataFrame, text_col: str, name: str, shingle: int, width: int, seed: int) -> DataFrame:
+def _with_both(docs: DataFrame, text_col: str, fp: str, wide: str, shingle: int, wide_shingle: int, width: int, seed: int) -> DataFrame:
+    """docs and both fingerprints of its texts, in one pass: a second one would take a second Python worker a task."""
     from pyspark.sql import types as T
 
     at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))])
+    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType()), T.StructField(wide, T.ArrayType(T.LongType()))])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = pa.array([wide_fingerprint(t, shingle, width, seed) for t in batch.column(at).to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=schema.fieldNames())
+            for k in range(0, batch.num_rows, 1000):
+                some = batch.slice(k, 1000)
+                texts = some.column(at).to_pylist()
+                fps = pa.array(np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64))
+                prints = pa.array([wide_fingerprint(t, wide_shingle, width, seed) for t in texts], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*some.columns, fps, prints], names=schema.fieldNames())
 
     return docs.mapInArrow(add, schema)
 
