@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.schema import KEY
-from tessera.sources.sinks import has_files, index_path, read_records, stream_path
+from tessera.sources.sinks import has_files, index_path, read_records
 
 
 def parse_index(lines: DataFrame) -> DataFrame:
@@ -83,5 +83,3 @@ def next_index(names: DataFrame, pattern: str = r"segment_(\d+)") -> int:
     top = names.agg(F.max(F.regexp_extract("name", pattern, 1).try_cast("long"))).first()[0]
     return 0 if top is None else top + 1
 
-
-__all__ = ["completed", "failed", "of_files", "parse_index", "progress", "read_index", "rebuild_index", "stream_path"]

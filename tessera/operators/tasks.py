@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.jsontext import decoded, prompt_text
+from tessera.functions.jsontext import prompt_text
 from tessera.operators.judge import text_kernel
 from tessera.operators.schema import KEY
 
@@ -95,5 +95,3 @@ def new_failures(failures: DataFrame, known: DataFrame | None) -> DataFrame:
     fresh = failures if known is None else failures.join(known.select(*KEY), KEY, "left_anti")
     return fresh.dropDuplicates(KEY)
 
-
-__all__ = ["decoded", "make_tasks", "new_failures", "pending", "prompt", "rollouts", "with_request"]

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.schema import FAILURE, KEY, RECORD, conform
+from tessera.operators.schema import FAILURE, RECORD, conform
 
 
 def stream_path(output_dir: str, stream: str, kind: str) -> str:
@@ -79,5 +79,3 @@ def write_summary(summary: dict[str, Any], path: str | None = None) -> str:
         os.replace(f.name, path)
     return text
 
-
-__all__ = ["KEY", "append_failures", "append_records", "delete", "has_files", "index_path", "read_records", "stream_path", "write_summary"]
