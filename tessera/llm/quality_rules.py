@@ -7,7 +7,7 @@ in windows of eight words that occur twice or more in it.
 
 Line rules:
   punctuation  more than a fifth of the line's word characters are symbols of [#*$%&|<>], or there is an
-               exclamation or question mark for every second word
+               exclamation or question mark for every second word, three at least
   navigation   three or more words are a lone | or > or » and those are over a fifth of the words
   stutter      more than half of the words repeat the word before them
   boilerplate  a line of at most 30 words with one of BOILERPLATE in it
@@ -37,7 +37,7 @@ LINE_FAILS = rf"""
         'symbols', size(split(l, '{SYMBOLS}', -1)) - 1,
         'shouts', size(split(l, '[!?]', -1)) - 1)), x ->
       5 * x.symbols > length(array_join(x.w, ''))
-      or 2 * (x.shouts - 1) >= size(x.w) and x.shouts > 3
+      or 2 * x.shouts >= size(x.w) and x.shouts > 2
       or (size(filter(x.w, y -> y in ('|', '>', '»'))) >= 3 and 5 * size(filter(x.w, y -> y in ('|', '>', '»'))) > size(x.w))
       or 2 * size(filter(x.w, (y, i) -> i > 0 and y = x.w[greatest(i - 1, 0)])) > size(x.w)
       or size(x.w) <= 30 and l rlike '(?i){"|".join(BOILERPLATE)}'

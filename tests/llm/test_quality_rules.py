@@ -45,6 +45,7 @@ def cases():
         "\n".join(["home | news | sport | contact | about | more"] * 2 + [f"x{i} | y{i} | z{i} | w{i}" for i in range(9)]),
         prose + "\nAll rights reserved.\n" + prose + "\n" + prose,
         " ".join(f"W{i}!!" for i in range(50)),
+        prose + "\nReally? Yes! No! Oh my\nOh! No! Not a\nWhat? Oh! a b\n" + prose.lower(),
         prose + "\n" + prose + "\nend",
         "one line\none line\n\n\n \none line",
         " ".join(f"w{i}" for i in range(20)),
