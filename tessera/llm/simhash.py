@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_written, id_and_text, table, written
+from tessera.llm.common import id_and_text, table, written
 
 #: Runs of one key up to this length are compared offset by offset, longer ones walked.
 _SHORT_RUN = 8
@@ -189,24 +189,28 @@ def links(fingerprints: DataFrame, distance: int = 4, blocks: int = 6) -> DataFr
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of edges (a, b: long): label is the smallest node reachable.
 
-    Rounds of hooking (a node and its label take the smallest label across an edge) and pointer
-    jumping, each written to the shared folder; the number of rounds grows with the logarithm of the
-    longest chain. Every round ends in partial aggregates, so a node with many edges is no hot spot.
+    In each round every node takes the smallest of its neighbours and itself, then that one's choice, and
+    the graph is contracted to the edges between different labels: a dense group is gone after a round, a
+    chain shrinks by a factor. Each round is written to the shared folder, and a node with many edges meets
+    them in partial aggregates only.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    each, labels = written(edges.select(*pair).where("a <> b").distinct(), "edges"), None
     while True:
-        # What a sees across its edges goes to a and to a's label.
-        seen = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
-        seen = seen.where("lb < la").select(F.explode(F.array("a", "la")).alias("node"), F.col("lb").alias("label"))
-        if seen.isEmpty():
-            return labels
-        hooked = written(labels.unionByName(seen).groupBy("node").agg(F.min("label").alias("label")), "hooked")
+        ends = each.select(F.explode(F.array("a", "b")).alias("node"), F.col("a").alias("label"))
+        hooked = written(ends.groupBy("node").agg(F.min("label").alias("label")), "hooked")
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = written(hooked.join(up, "label", "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label")), "labels")
-        drop_written(labels)
-        drop_written(hooked)
-        labels = jumped
+        step = written(hooked.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "step")
+        if labels is None:
+            labels = step
+        else:
+            up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            labels = written(labels.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
+        for end in ("a", "b"):
+            each = each.join(step.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
+        each = written(each.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b").select(*pair).distinct(), "edges")
+        if each.isEmpty():
+            return labels
 
 
 def classes(prints: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:

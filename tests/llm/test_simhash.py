@@ -111,8 +111,9 @@ def test_similar_texts_leave_one_of_each_group(spark):
             j = len(s & t) / len(s | t)
             assert (j >= 0.8) == (a[0] == b[0] or group[a[0]] == group[b[0]]) or group[a[0]] == group[b[0]] and j > 0.6
     kept = [r.doc_id for r in simhash.deduplicate(frame(spark, rows)).collect()]
-    # The first of each group always; of the copies, whose similarity is just above 0.8, a key may miss one in fifty.
-    assert {10 * g for g in range(25)} <= set(kept) and len(kept) <= 27
+    # The first of each group always. The copies' similarity to it is 0.81 and below 0.7 among themselves: at
+    # that edge the keys miss about one link in twenty.
+    assert {10 * g for g in range(25)} <= set(kept) and len(kept) <= 31
 
 
 def test_share_of_differing_bits_follows_similarity():
@@ -126,3 +127,42 @@ def test_share_of_differing_bits_follows_similarity():
     bits = lambda a, b: sum((p ^ q).bit_count() if p ^ q >= 0 else ((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(a, b))
     f = [simhash.wide_fingerprint(" ".join(t)) for t in (base, near, far)]
     assert len(f[0]) == 8 and bits(f[0], f[0]) == 0 and bits(f[0], f[1]) < 102 < bits(f[0], f[2]) and simhash.wide_fingerprint(None) == [0] * 8
+
+
+def test_walk_connects_what_labels_do_not():
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 2**63, (3, 2)).astype(np.uint64)
+    x, y, group = [], [], []
+    for g, (p, q) in enumerate(centres):
+        for _ in range(40):
+            flip = np.uint64(0)
+            for b in rng.choice(64, 4, replace=False).tolist():
+                flip |= np.uint64(1) << np.uint64(b)
+            x.append(p ^ flip)
+            y.append(q)
+            group.append(g)
+    order = rng.permutation(len(x))
+    x, y, group = np.array(x, np.uint64)[order], np.array(y, np.uint64)[order], np.array(group)[order]
+    for label in (np.arange(len(x)), np.where(group == 0, -1, np.arange(len(x))), np.full(len(x), 7)):
+        a, b = simhash._nearest_walk(x, y, label, 20)
+        root = {int(v): int(v) for v in set(label.tolist())}
+
+        def find(v):
+            while root[v] != v:
+                v = root[v]
+            return v
+
+        for i, j in zip(a.tolist(), b.tolist()):
+            assert label[i] != label[j] and group[i] == group[j]
+            root[find(int(label[i]))] = find(int(label[j]))
+        for g in range(3):
+            assert len({find(int(v)) for v in label[group == g].tolist()}) == 1
+
+
+def test_doubtful_links_are_settled_by_shingles(spark):
+    words = [f"w{k}" for k in range(100)]
+    texts = {1: words, 2: ["x", *words[1:]], 3: words[:60] + [f"z{k}" for k in range(40)], 4: None}
+    frame_ = spark.createDataFrame([(k, t and " ".join(t)) for k, t in texts.items()], "node long, text string")
+    pairs = spark.createDataFrame([(1, 2, 0.15), (1, 3, 0.15), (2, 3, 0.05), (1, 4, 0.2)], "a long, b long, share double")
+    assert sorted(map(tuple, simhash.similar(pairs, frame_, 0.8, 5).collect())) == [(1, 2), (2, 3)]
+    assert simhash.similar(pairs.where("false"), frame_, 0.8, 5).collect() == []
