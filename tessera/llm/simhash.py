@@ -316,8 +316,8 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
 
 
-#: Up to this share of differing bits texts are similar beyond doubt (0.8 would be four deviations off).
-_SURE_SHARE = 0.11
+#: Up to this share of 512 differing bits texts are similar beyond doubt (0.8 would be six deviations off).
+_SURE_SHARE = 0.05
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:

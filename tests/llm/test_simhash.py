@@ -166,3 +166,11 @@ def test_doubtful_links_are_settled_by_shingles(spark):
     pairs = spark.createDataFrame([(1, 2, 0.15), (1, 3, 0.15), (2, 3, 0.05), (1, 4, 0.2)], "a long, b long, share double")
     assert sorted(map(tuple, simhash.similar(pairs, frame_, 0.8, 5).collect())) == [(1, 2), (2, 3)]
     assert simhash.similar(pairs.where("false"), frame_, 0.8, 5).collect() == []
+
+
+def test_links_just_under_the_bound_are_looked_at(spark):
+    words = [f"w{k}" for k in range(100)]
+    texts = [(1, " ".join(words)), (2, " ".join(w if k % 33 else "x" for k, w in enumerate(words)))]
+    pairs = spark.createDataFrame([(1, 2, 0.105)], "a long, b long, share double")
+    assert len(shingles(texts[0][1]) & shingles(texts[1][1])) / len(shingles(texts[0][1]) | shingles(texts[1][1])) < 0.8
+    assert simhash.similar(pairs, spark.createDataFrame(texts, "node long, text string"), 0.8, 5).collect() == []
