@@ -9,12 +9,18 @@ fingerprint reached, never all pairs: a dense group is taken in a few steps. Com
 minimum labels with pointer jumping on written tables.
 
 Similar texts: at a Jaccard similarity of 0.8 of their five-word shingles, fingerprints differ in about 15
-percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore also takes wide
-fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's hash. Two texts are
-candidates if any word agrees on two of six blocks (a pair at similarity 0.8 misses all of them about once
-in fifty, at 0.85 about once in a thousand); the walk within a key compares the next two words of the
-fingerprint, and each of its links is verified on all bits: at most ``max_share`` of them may differ. Links
-that the bits leave in doubt are then settled by the shingles themselves.
+percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore works in two passes.
+The first only saves work: wide fingerprints, ``width`` words of 64 bits from as many mixes of each distinct
+shingle's hash, meet where the first word agrees on two of six blocks, and most members of a dense group become
+one label. The walk within a key compares the next two words; its links are verified on all bits, of which at
+most ``max_share`` may differ, and by the shingles where the bits leave doubt. What it misses or drops is left
+to the second pass.
+
+The second pass is a prefix join and misses nothing by its keys: all shingles are put into one order, rare ones
+first; of n shingles the first n - ceil(least n) + 1 are keys, and two texts of similarity ``least`` share one.
+All pairs of a key's texts with different labels are compared by size, by the key's places in both texts (what
+follows must be able to make up the overlap) and, from _LEAST_SKETCHED shingles on, by 128 bits, of which a pair
+at 0.8 differs in 19 and _LOOSE_BITS are seven deviations off. What is left is settled by the shingles.
 
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
 word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
@@ -347,6 +353,139 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> D
     return pairs.where(F.col("share") <= _SURE_SHARE).select("a", "b").unionByName(checked)
 
 
+#: Differing bits, of 128, beyond which the prefix join passes a pair over, and the shingles from which it does.
+_LOOSE_BITS, _LEAST_SKETCHED = 48, 32
+#: Texts whose shingles are counted to tell common ones, the count there from which one is, and how many are told.
+_COUNTED, _COMMON, _MOST_COMMON = 10_000, 4, 100_000
+
+
+def _common_shingles(texts: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of common shingles, ascending, and the rank of each by its count among _COUNTED of the n texts (node,
+    text). Any ranks give right links; these keep the keys' runs short."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                each = [_shingle_hashes(t, shingle) for t in batch.column(1).slice(k, 500).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each).view(np.int64))], names=["h"])
+
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(-(-n // _COUNTED) or 1)) == 0).select("node", "text")
+    count = some.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= _COMMON)
+    top = [r.h for r in count.orderBy(F.desc("count"), "h").limit(_MOST_COMMON).collect()]
+    h = np.array(top[::-1], np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], order
+
+
+def _prefix(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """Of a text's distinct shingles, ascending, those that are its keys, in the common order."""
+    n, (h, rank) = len(hashes), common
+    if len(h) and n:
+        at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
+        known = h[at] == hashes
+        hashes = np.concatenate([hashes[~known], hashes[known][np.argsort(rank[at[known]])]])
+    return hashes[: n - int(np.ceil(least * n - 1e-9)) + 1]
+
+
+def _can_be(m: np.ndarray, n: np.ndarray, p: np.ndarray, q: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """If texts of m and n shingles, whose first common key is at places p and q, can have a similarity of ``least``:
+    x and y have their differing bits."""
+    overlap = least / (1 + least) * (m + n) - 1e-9
+    bits = np.bitwise_count(x).astype(np.int64) + np.bitwise_count(y)
+    return (np.minimum(m - p, n - q) >= overlap) & (np.minimum(m, n) >= overlap) & ((bits <= _LOOSE_BITS) | (np.minimum(m, n) < _LEAST_SKETCHED))
+
+
+def _prefix_pairs(label: np.ndarray, size: np.ndarray, place: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the pairs of one key's texts that have different labels and can have a similarity of ``least``."""
+    kinds, of, count = np.unique(label, return_inverse=True, return_counts=True)
+    none, a, b = np.empty(0, np.int64), [], []
+    if len(kinds) < 2:
+        return none, none
+    # By size, so that a text's partners are a slice; pairs within the largest label are left out from the start.
+    order = np.argsort(size, kind="stable")
+    of, size, place, x, y = of[order], size[order], place[order], x[order], y[order]
+    most = int(np.argmax(count))
+    large = np.flatnonzero(of == most)
+    low = np.searchsorted(size, least * size - 1e-9)
+    high = np.searchsorted(size, size / least + 1e-9, side="right")
+    for i in np.flatnonzero(of != most).tolist():
+        others = np.arange(low[i], i)  # smaller ones of any label, larger ones of the largest
+        others = np.concatenate([others, large[np.searchsorted(large, i) : np.searchsorted(large, high[i])]])
+        others = others[of[others] != of[i]]
+        others = others[_can_be(size[i], size[others], place[i], place[others], x[i] ^ x[others], y[i] ^ y[others], least)]
+        if len(others):
+            a.append(np.full(len(others), order[i]))
+            b.append(order[others])
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def prefix_pairs(known: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """(a, b): pairs of nodes with different labels that include all whose texts (texts: node, text) have a Jaccard
+    similarity of at least ``least``. known: node, label: long, wide: array of 64-bit words."""
+    common = _common_shingles(texts.join(known, "node", "left_semi"), known.count(), shingle)
+    size = F.size("wide")
+    word = lambda k: F.element_at("wide", (F.lit(k) % size + 1).cast("int"))
+    both = known.select("node", "label", word(1).alias("x"), word(2).alias("y")).join(texts, "node").select("node", "label", "x", "y", "text")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                each = [_shingle_hashes(t, shingle) for t in some.column(4).to_pylist()]
+                first = [_prefix(h, common, least) if len(h) else h for h in each]
+                n = [len(f) for f in first]
+                columns = [np.concatenate(first).view(np.int64), *(np.repeat(some.column(k).to_numpy(), n) for k in range(4)), np.repeat(np.array([len(h) for h in each], np.int32), n), np.concatenate([np.arange(k, dtype=np.int32) for k in n])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y", "size", "place"])
+
+    keyed = both.mapInArrow(keys, "key long, node long, label long, x long, y long, size int, place int")
+    keyed = keyed.repartition("key").sortWithinPartitions("key", "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 7
+
+        def of(key: np.ndarray, node: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+            x, y = x.view(np.uint64), y.view(np.uint64)
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            lengths = np.diff(np.append(starts, len(key)))
+            runs = np.repeat(np.arange(len(starts)), lengths)
+            short = lengths[runs] <= _SHORT_WIDE_RUN
+            a, b = [], []
+            for d in range(1, min(_SHORT_WIDE_RUN, len(key))):  # few share most keys: these are compared offset by offset
+                i = np.flatnonzero((runs[d:] == runs[:-d]) & short[d:] & (label[d:] != label[:-d]))
+                i = i[_can_be(size[i], size[i + d], place[i], place[i + d], x[i] ^ x[i + d], y[i] ^ y[i + d], least)]
+                a.append(node[i])
+                b.append(node[i + d])
+            for k in np.flatnonzero(lengths > _SHORT_WIDE_RUN).tolist():
+                run = slice(starts[k], starts[k] + lengths[k])
+                i, j = _prefix_pairs(label[run], size[run], place[run], x[run], y[run], least)
+                if len(i):
+                    a.append(node[run][i])
+                    b.append(node[run][j])
+                if sum(map(len, a)) > 1_000_000:
+                    yield pairs(a, b)
+                    a, b = [], []
+            yield pairs(a, b)
+
+        def pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+            none = [np.empty(0, np.int64)]
+            a, b = np.concatenate(none + a), np.concatenate(none + b)
+            once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in once], names=["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                rows = [np.concatenate([h, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for h, c in zip(held, batch.columns, strict=True)]
+                last = np.flatnonzero(rows[0] != rows[0][-1])
+                cut = int(last[-1]) + 1 if len(last) else 0
+                held = [r[cut:] for r in rows]
+                if cut:
+                    yield from of(*(r[:cut] for r in rows))
+        if len(held[0]):
+            yield from of(*held)
+
+    return keyed.mapInArrow(compare, "a long, b long").distinct()
+
+
 def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
@@ -368,7 +507,7 @@ def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterat
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """docs with one row of each group of near-duplicates: the one with the smallest id (nulls last),
     of repeated ids the first row written. Texts are linked by fingerprints at most ``distance`` bits apart
-    and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints."""
+    and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints and a prefix join."""
     row, fp, wide = "__tessera_row", "__tessera_fp", "__tessera_wide"
     full = _with_both(docs, text_col, fp, wide, shingle, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
     full = written(full, "dedup")
@@ -392,11 +531,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = written(wide_links(prints.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
         edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
     labels = components(written(edges, "links"))
-    if width > 1:
-        # The other words' keys only have to link what the first word's have not: a dense group is one label by now.
-        known = prints.join(labels, "node", "left").select("node", "wide", F.coalesce("label", "node").alias("label"))
-        pairs = written(wide_links(written(known, "known"), list(range(1, width)), width, max_share), "pairs")
-        more = similar(pairs, texts, least, wide_shingle)
+    if width:
+        # The prefix join only has to link what the first pass has not: a dense group is one label by now.
+        known = written(prints.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "wide"), "known")
+        pairs = written(prefix_pairs(known, texts, least, wide_shingle), "pairs")
+        more = similar(pairs.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
         tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
         labels = components(written(tree.unionByName(more), "links"))
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))

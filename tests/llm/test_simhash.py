@@ -174,3 +174,45 @@ def test_links_just_under_the_bound_are_looked_at(spark):
     pairs = spark.createDataFrame([(1, 2, 0.105)], "a long, b long, share double")
     assert len(shingles(texts[0][1]) & shingles(texts[1][1])) / len(shingles(texts[0][1]) | shingles(texts[1][1])) < 0.8
     assert simhash.similar(pairs, spark.createDataFrame(texts, "node long, text string"), 0.8, 5).collect() == []
+
+
+def plain_kept(rows, least=0.8):
+    """Ids left of texts linked by similarity or one 64-bit fingerprint: the first of each component."""
+    sets, label = [shingles(r[1]) for r in rows], list(range(len(rows)))
+    place = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    has = np.zeros((len(rows), len(place)), np.float32)
+    for k, s in enumerate(sets):
+        has[k, [place[g] for g in s]] = 1
+    both, size = has @ has.T, has.sum(axis=1)
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    prints = np.array([simhash.fingerprint(r[1]) for r in rows], np.uint64)
+    for i, j in np.argwhere((both >= least * (size[:, None] + size - both) - 1e-3) | (prints[:, None] == prints)).tolist():
+        label[max(find(i), find(j))] = min(find(i), find(j))
+    return {rows[i][0] for i in range(len(rows)) if find(i) == i}
+
+
+def test_pairs_within_a_large_family_are_found(spark):
+    """A family below the bound to each other, with planted pairs above it: each pair leaves one, the others stay."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(240)]
+    rows = []
+    for k in range(1050):
+        text = list(base)
+        for at in range(0, 240, 60):
+            text[at + rng.randrange(5, 55)] = word()
+        rows.append([k, text])
+    for k in range(60):
+        text = list(rows[k * 7][1])
+        for at in rng.sample(range(0, 240, 10), 3 + k % 3):
+            text[at] = word()
+        rows.append([2000 + k, text])
+    rows = [(i, " ".join(t), "en", 1, "x", 2.5) for i, t in rows]
+    want = plain_kept(rows)
+    got = [r.doc_id for r in simhash.deduplicate(frame(spark, rows), distance=0, blocks=1).collect()]
+    assert len(got) == len(want) and set(got) == want
