@@ -28,6 +28,10 @@ from tessera.llm.common import table
 
 #: Elements whose content is never text of the page.
 HIDDEN = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "textarea", "button", "head")
+#: Those of them whose content has no tags: unclosed, they reach to the page's end.
+RAW = ("script", "style", "textarea")
+#: Elements that do not end an unclosed head.
+_IN_HEAD = frozenset("title base link meta script style noscript template object".split())
 #: Elements that end a block.
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul video audio canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,7 +50,7 @@ _ENDED_BY = {"p": BLOCK, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd"))
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    rf"|<({'|'.join(HIDDEN)})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
@@ -70,6 +74,7 @@ class _Open(NamedTuple):
     main: int
     furniture: int
     link: int
+    hidden: int
 
 
 def _marked(tag: str, attributes: str, main: int) -> tuple[int, int]:
@@ -91,7 +96,7 @@ def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     found: list[Block] = []
     stack: list[_Open] = []
-    top = _Open("", 0, 0, 0)
+    top = _Open("", 0, 0, 0, 0)
     parts: list[str] = []
     linked = 0
 
@@ -106,6 +111,8 @@ def blocks(page: str) -> list[Block]:
 
     def take(raw: str) -> None:
         nonlocal linked
+        if top.hidden:
+            return
         parts.append(raw)
         if top.link:
             linked += len(raw.split())
@@ -117,30 +124,34 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         tag = m[3] or m[6]
         if not tag:
-            if m[1] and m[1].lower() == "head":
-                close()
             continue
         tag, ends, attributes = tag.lower(), m[2] or m[5], m[4] or m[7] or ""
         if ends:
-            if tag in BLOCK:
-                close()
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), -1)
+            if tag in BLOCK and not (top.hidden and (depth < 0 or stack[depth].hidden)):
+                close()
             # An inline end tag does not close blocks around it.
-            if depth >= 0 and (tag in BLOCK or all(o.tag not in BLOCK for o in stack[depth + 1 :])):
+            if depth >= 0 and (tag in BLOCK or tag in HIDDEN or all(o.tag not in BLOCK for o in stack[depth + 1 :])):
                 del stack[depth:]
             elif tag == "a":
                 stack = [o._replace(link=0) for o in stack]
-            top = stack[-1] if stack else _Open("", 0, 0, 0)
+            top = stack[-1] if stack else _Open("", 0, 0, 0, 0)
             continue
-        if tag in BLOCK:
+        if tag not in _IN_HEAD and top.hidden and (stack[-1].tag == "head" or tag == "body"):
+            # The end tag of a head can be left out.
+            stack = stack[: next((k for k, o in enumerate(stack) if o.tag == "head"), len(stack))]
+            top = stack[-1] if stack else _Open("", 0, 0, 0, 0)
+        if tag == "head":
+            close()
+        if tag in BLOCK and not top.hidden:
             close()
             if stack and tag in _ENDED_BY.get(stack[-1].tag, ()):
                 stack.pop()
-                top = stack[-1] if stack else _Open("", 0, 0, 0)
+                top = stack[-1] if stack else _Open("", 0, 0, 0, 0)
         if tag in VOID or attributes.endswith("/"):
             continue
         main, furniture = _marked(tag, attributes, top.main)
-        stack.append(_Open(tag, int(top.main or main), int(top.furniture or furniture), int(top.link or tag == "a")))
+        stack.append(_Open(tag, int(top.main or main), int(top.furniture or furniture), int(top.link or tag == "a"), int(top.hidden or tag in HIDDEN)))
         top = stack[-1]
     if at < len(page):
         take(page[at:])

@@ -46,3 +46,13 @@ def test_time_grows_with_the_page_only():
     for junk in ("<a href='", "<div class=\"x", "<!-- ", "<p><b>", "</div>"):
         h.main_text(junk * 30000)
     assert time.time() - began < 20
+
+
+def test_hidden_elements_left_open_or_closed_at_once():
+    assert h.main_text(f"<html><head><title>t</title><meta charset=x><script>'<p>no'</script><body><article><p>{PROSE}</p></article>") == PROSE
+    assert h.main_text(f"<head><title>t</title><article><p>{PROSE}</p></article>") == PROSE
+    for tag in ("svg", "math"):
+        assert h.main_text(f"<article><p>one</p><{tag} class=i/><p>two</p><p>three <{tag}><title>no</title></{tag}>four</p></article>") == "one\ntwo\nthree four"
+    for tag in ("select", "button", "noscript", "object"):
+        assert h.main_text(f"<article><div>one <{tag}>no</div><p>two</p><p>x<{tag}><p>no</{tag}>y</p></article>") == "one\ntwo\nxy"
+    assert h.main_text("<article><p>one</p><textarea>no<p>no") == "one"
