@@ -216,3 +216,35 @@ def test_pairs_within_a_large_family_are_found(spark):
     want = plain_kept(rows)
     got = [r.doc_id for r in simhash.deduplicate(frame(spark, rows), distance=0, blocks=1).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_lone_pairs_at_the_bound_are_found(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for k in range(600):
+        base = [word() for _ in range(rng.choice((24, 94, 184, 229)))]
+        n = len(base) - 4
+        near = list(base)
+        for at in range(7, 7 + 10 * (n // 45) * (1 + (k % 3 == 0)), 10):  # five shingles each: 8 in 10 of all, or fewer
+            near[at] = word()
+        rows += [(2 * k, " ".join(base), "en", 1, "x", 2.5), (2 * k + 1, " ".join(near), "en", 1, "x", 2.5)]
+    sets = [shingles(r[1]) for r in rows]
+    share = [len(p & q) / len(p | q) for p, q in zip(sets[::2], sets[1::2])]
+    want = {r[0] for r, s in zip(rows, [s for s in share for _ in range(2)]) if r[0] % 2 == 0 or s < 0.8}
+    assert sum(0.8 <= s < 0.82 for s in share) > 200 and sum(s < 0.8 for s in share) > 100
+    got = [r.doc_id for r in simhash.deduplicate(frame(spark, rows)).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(7)
+    for _ in range(400):
+        n = int(rng.integers(1, 60))
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        h = np.sort(rng.choice(base, int(rng.integers(0, n + 1)), replace=False))
+        common = h, rng.permutation(len(h))
+        gone = int(rng.integers(0, n // 5 + 1))
+        p, q = np.sort(base), np.sort(np.concatenate([base[gone:], rng.integers(0, 2**63, int(rng.integers(0, n // 5 + 1))).astype(np.uint64)]))
+        if len(np.intersect1d(p, q)) >= 0.8 * len(np.union1d(p, q)) - 1e-9:
+            assert len(np.intersect1d(simhash._prefix(p, common, 0.8), simhash._prefix(q, common, 0.8)))
