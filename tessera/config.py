@@ -65,8 +65,10 @@ class Settings:
     config_path: str | None = None
     manifest_dir: str | None = None
     concurrency: int = 2048
-    judge_concurrency: int = 32
+    #: Verdicts at a time; 0: as many as the cluster has cores.
+    judge_concurrency: int = 0
     judge_timeout_sec: float = 20.0
+    #: Input files that a round works on at a time; 0: all.
     active_files: int = 6
     rollout_count: int = 1
     input_field: str = "question"
@@ -75,7 +77,9 @@ class Settings:
     max_tokens: int = 7000
     shard_size_mb: int = 200
     segment_size_mb: int = 4
+    #: Longest time in which a round takes new prompts before it commits; 0: until there are none left.
     segment_flush_interval_sec: float = 0.0
+    #: Answers that a task hands on at a time.
     batch_size: int = 1000
     write_retries: int = 3
 

@@ -38,11 +38,12 @@ MARKED = (
     r"\[BEGIN\](.*)",
 )
 
+# Patterns of fenced blocks, of the end of a marked answer and of blocks that hold numbers only.
 _FENCE = re.compile(r"```([A-Za-z0-9_+#-]*)\s*\n(.*?)```", re.DOTALL)
 _PLAIN_FENCE = re.compile(r"```\w*\n(.*?)```", re.DOTALL)
-_MARKED = tuple(re.compile(p, re.DOTALL) for p in MARKED)
 _DONE = re.compile(r"'?\s*\[?DONE\]?")
 _NUMBERS_ONLY = re.compile(r"[\d\s\.\-]+")
+_MARKED = tuple(re.compile(p, re.DOTALL) for p in MARKED)
 _TAGGED = 1000
 
 

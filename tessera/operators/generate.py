@@ -12,6 +12,7 @@ import hashlib
 import ipaddress
 import math
 import re
+import time
 from collections.abc import Awaitable, Callable, Iterator
 from typing import Any, Protocol
 from urllib.parse import urlparse
@@ -92,7 +93,8 @@ class Pool:
     """Backends and how many requests each holds; a request goes to the one with the fewest.
 
     alive(url) tells whether a backend that could not be reached still runs: False drops it, True and None
-    (unknown) keep it. A retry waits with its place in the limit still taken.
+    (unknown) keep it. Whoever feeds the pool keeps at most capacity() requests in flight; a retry waits with
+    its place still taken.
     """
 
     def __init__(self, urls: list[str], client: Client, limit: int, alive: Callable[[str], Awaitable[bool | None]] | None = None, sleep: Callable[[float], Awaitable[None]] = asyncio.sleep):
@@ -100,29 +102,15 @@ class Pool:
             raise ValueError("no backends")
         self.load = dict.fromkeys(urls, 0)
         self.total, self.limit, self.client, self.alive, self.sleep = len(self.load), limit, client, alive, sleep
-        self.busy, self._free = 0, asyncio.Condition()
+        self.busy = 0
 
     def capacity(self) -> int:
         return scaled_limit(self.limit, len(self.load), self.total)
 
-    async def _take(self) -> None:
-        async with self._free:
-            await self._free.wait_for(lambda: not self.load or self.busy < self.capacity())
-            if not self.load:
-                raise NoBackends("no backend is left")
-            self.busy += 1
-
-    async def _give(self) -> None:
-        async with self._free:
-            self.busy -= 1
-            self._free.notify_all()
-
-    async def _drop(self, url: str) -> None:
-        async with self._free:
-            self.load.pop(url, None)
-            self._free.notify_all()
-            if not self.load:
-                raise NoBackends("no backend is left")
+    def _drop(self, url: str) -> None:
+        self.load.pop(url, None)
+        if not self.load:
+            raise NoBackends("no backend is left")
 
     async def _attempt(self, prompt: str) -> dict[str, Any]:
         url = min(self.load, key=self.load.__getitem__, default=None)
@@ -133,7 +121,7 @@ class Pool:
             return await self.client.complete(url, prompt)
         except ConnectionLost:
             if self.alive is not None and await self.alive(url) is False:
-                await self._drop(url)
+                self._drop(url)
             raise
         finally:
             if url in self.load:
@@ -142,17 +130,16 @@ class Pool:
     async def generate(self, prompt: str) -> dict[str, Any] | None:
         """The messages, finish reason and usage; None for an answer without content."""
         for attempt in range(1, MAX_ATTEMPTS + 1):
-            await self._take()
+            self.busy += 1
             try:
-                try:
-                    answer = await self._attempt(prompt)
-                except (ConnectionLost, RateLimited):
-                    if attempt == MAX_ATTEMPTS:
-                        raise
-                    await self.sleep(min(max(2**attempt, 2), 10))
-                    continue
+                answer = await self._attempt(prompt)
+            except (ConnectionLost, RateLimited):
+                if attempt == MAX_ATTEMPTS:
+                    raise
+                await self.sleep(min(max(2**attempt, 2), 10))
+                continue
             finally:
-                await self._give()
+                self.busy -= 1
             if answer.get("content") is None:
                 return None
             blank = dict.fromkeys(MESSAGE_KEYS)
@@ -234,25 +221,83 @@ async def _one(pool: Pool, prompt: str) -> dict[str, Any]:
         return {"reason": f"worker_error:{type(e).__name__}:{e}"}
 
 
-def generate(tasks: DataFrame, client: Callable[[], Client], urls: list[str], limit: int = 64, alive: Callable[[str], Awaitable[bool | None]] | None = None) -> DataFrame:
+def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | None = None) -> Iterator[tuple[Any, dict[str, Any]]]:
+    """(key, result) of each (key, prompt) as it comes, with at most the pool's capacity of requests at a time.
+
+    Prompts are taken only as places get free, so a slow answer holds up no other one. After ``seconds`` no
+    more are taken; those taken are still waited for. Each result costs one wake-up, whatever waits.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    loop, finished, held = asyncio.new_event_loop(), asyncio.Queue(), set()
+    loop.set_default_executor(ThreadPoolExecutor(max_workers=max(1, pool.limit)))  # a blocking client needs a thread a request
+    began, more = time.monotonic(), True
+
+    async def one(key: Any, prompt: str) -> None:
+        try:
+            finished.put_nowait((key, await _one(pool, prompt)))
+        except BaseException as e:
+            finished.put_nowait((key, e))
+            raise
+
+    try:
+        while True:
+            while more and len(held) < pool.capacity():
+                following = next(prompts, None)
+                if following is None or seconds is not None and time.monotonic() - began > seconds:
+                    more = False
+                    break
+                task = loop.create_task(one(*following))
+                held.add(task)
+                task.add_done_callback(held.discard)
+            if not held and finished.empty():
+                return
+            key, result = loop.run_until_complete(finished.get())
+            if isinstance(result, BaseException):
+                raise result
+            yield key, result
+    finally:
+        left = list(held)
+        for task in left:
+            task.cancel()
+        if left:
+            loop.run_until_complete(asyncio.wait(left))
+        loop.close()
+
+
+def generate(tasks: DataFrame, client: Callable[[], Client], urls: list[str], limit: int = 64, alive: Callable[[str], Awaitable[bool | None]] | None = None, batch_size: int = 1000, seconds: float | None = None) -> DataFrame:
     """tasks (column prompt_text) with messages, finish_reason, usage and, where there is no answer, reason.
 
-    The limit is shared out over the partitions that can run at a time. Write the result before use.
+    The limit is shared out over the partitions that can run at a time. A partition has one pool, so what it
+    learns of its backends holds to its end; answers come in the order they arrive, batch_size rows at a time.
+    After ``seconds`` a partition asks nothing more: the tasks left have no row. Write the result before use.
     """
     slots = max(1, min(tasks.sparkSession.sparkContext.defaultParallelism, limit))
     share = max(1, limit // slots)
     schema = T.StructType([*tasks.schema.fields, *_GENERATED.fields])
+    message = pa.struct([(k, pa.string()) for k in MESSAGE_KEYS])
+    kinds = {"messages": pa.list_(message), "finish_reason": pa.string(), "usage": pa.string(), "reason": pa.string()}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        async def work(prompts: list[str]) -> list[dict[str, Any]]:
-            pool = Pool(urls, client(), share, alive)
-            return await asyncio.gather(*(_one(pool, p) for p in prompts))
-
-        for batch in batches:
-            found = asyncio.run(work(batch.column("prompt_text").to_pylist()))
-            message = pa.struct([(k, pa.string()) for k in MESSAGE_KEYS])
-            kinds = {"messages": pa.list_(message), "finish_reason": pa.string(), "usage": pa.string(), "reason": pa.string()}
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([f.get(k) for f in found], t) for k, t in kinds.items())], names=schema.fieldNames())
+        def prompts() -> Iterator[tuple[pa.RecordBatch, str]]:
+            for batch in batches:
+                for k, p in enumerate(batch.column("prompt_text").to_pylist()):
+                    yield batch.slice(k, 1), p
+
+        def packed(done: list[tuple[pa.RecordBatch, dict[str, Any]]]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches([r for r, _ in done]).combine_chunks()
+            columns = [c.combine_chunks() for c in rows.columns]
+            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            return pa.RecordBatch.from_arrays([*columns, *(pa.array([f.get(k) for _, f in done], t) for k, t in kinds.items())], names=schema.fieldNames())
+
+        done = []
+        for row, found in in_flight(Pool(urls, client(), share, alive), prompts(), seconds):
+            done.append((row, found))
+            if len(done) >= batch_size:
+                yield packed(done)
+                done = []
+        if done:
+            yield packed(done)
 
     return tasks.mapInArrow(each, schema)
 

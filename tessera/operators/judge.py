@@ -8,7 +8,10 @@ given as Columns at the end.
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 from typing import Any
 
@@ -158,37 +161,76 @@ def type_hint(row: dict[str, Any], label: str | None = None) -> str | None:
     return next((name for name, applies in kinds if applies()), None)
 
 
-def guarded(row: dict[str, Any], messages: list[dict[str, Any]], label: str | None = None) -> Verdict:
-    """verdict(), with a failure of the judge itself as a verdict of its own. Time is bounded by each
-    sandboxed run: its tests' limits added up, so a task of many tests is not cut short."""
+class _Late(BaseException):
+    """Raised by the alarm; no check's own handler of exceptions catches it."""
+
+
+@contextmanager
+def _alarm(seconds: float | None) -> Iterator[None]:
+    """An end to what runs inside, by the process's timer. It can only be set in a main thread, which is where
+    Spark's Python workers run; elsewhere there is no limit but the sandbox's."""
+    if not seconds or seconds <= 0 or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def ring(*_: Any) -> None:
+        raise _Late
+
+    before = signal.signal(signal.SIGALRM, ring)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
     try:
-        return verdict(row, messages, label)
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def guarded(row: dict[str, Any], messages: list[dict[str, Any]], label: str | None = None, seconds: float | None = None) -> Verdict:
+    """verdict(), with a failure of the judge itself and a verdict that takes longer than ``seconds`` as verdicts
+    of their own. Without a limit time is bounded by the sandbox alone: its tests' limits added up."""
+    try:
+        with _alarm(seconds):
+            return verdict(row, messages, label)
+    except _Late:
+        status, detail = "timeout", {"reason": "judge_process_timeout", "timeout_seconds": seconds}
     except Exception as e:
-        detail = {"reason": "judge_process_error", "error_type": type(e).__name__, "error_message": str(e)}
-        return type_hint(row, label), "judge_subprocess_guard_v1", None, "failed", detail
+        status, detail = "failed", {"reason": "judge_process_error", "error_type": type(e).__name__, "error_message": str(e)}
+    try:
+        with _alarm(seconds):
+            kind = type_hint(row, label)
+    except (_Late, Exception):  # what made the judge fail may make the hint fail too
+        kind = None
+    return kind, "judge_subprocess_guard_v1", None, status, detail
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over all cores where it comes from fewer files than there are; costly Python follows, so the
-    shuffle pays. Input of many files stays where it is."""
+def spread(df: DataFrame, most: int = 0) -> DataFrame:
+    """df over all cores, or ``most`` partitions if that is given, where it comes from fewer files than that;
+    costly Python follows, so the shuffle pays. Input of many files stays where it is, but for a given ``most``."""
     cores, files = df.sparkSession.sparkContext.defaultParallelism, df.inputFiles()
-    return df.repartition(cores) if 0 < len(files) < cores else df
+    wanted = min(cores, most) if most > 0 else cores
+    if 0 < len(files) < wanted:
+        return df.repartition(wanted)
+    return df.coalesce(most) if most > 0 else df
+
 
+def judge(df: DataFrame, row_columns: list[str], messages: str = "messages", label: str | None = None, seconds: float | None = None, most: int = 0, prefix: str = "") -> DataFrame:
+    """df and the verdict's columns; judge_detail is canonical JSON, so figures of any shape share a column.
 
-def judge(df: DataFrame, row_columns: list[str], messages: str = "messages", label: str | None = None) -> DataFrame:
-    """df and the verdict's columns; judge_detail is canonical JSON, so figures of any shape share a column."""
+    seconds bounds each verdict, most the verdicts at a time (0: as many as there are cores). A row's columns
+    are those named, with the prefix in df.
+    """
     schema = T.StructType([*df.schema.fields, *VERDICT.fields])
     names = schema.fieldNames()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.select(list(dict.fromkeys([*row_columns, messages]))).to_pylist()
-            out = [guarded({c: r[c] for c in row_columns}, r[messages] or [], label) for r in wanted]
+            wanted = batch.select(list(dict.fromkeys([*(prefix + c for c in row_columns), messages]))).to_pylist()
+            out = [guarded({c: r[prefix + c] for c in row_columns}, r[messages] or [], label, seconds) for r in wanted]
             out = [(*v[:4], None if v[4] is None else canonical(v[4])) for v in out]
             kinds = (pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([v[k] for v in out], t) for k, t in enumerate(kinds))], names=names)
 
-    return spread(df).mapInArrow(each, schema)
+    return spread(df, most).mapInArrow(each, schema)
 
 
 def text_kernel(kernel: Callable[..., Any], kind: T.DataType | str) -> Callable[..., Column]:

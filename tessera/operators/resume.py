@@ -29,7 +29,7 @@ def read_index(spark: SparkSession, output_dir: str, files: list[str] | None = N
     path = index_path(output_dir)
     if not has_files(spark, path):
         return None
-    keys = parse_index(spark.read.text(path))
+    keys = parse_index(spark.read.option("recursiveFileLookup", "true").text(path))
     if not keys.where("source_row is null").isEmpty():
         return None
     return of_files(keys, files).distinct()
@@ -67,7 +67,7 @@ def rebuild_index(spark: SparkSession, output_dir: str) -> int:
     """Write the index anew from the stored records; the number of keys."""
     keys = read_records(spark, output_dir, "all", KEY).select(F.translate("source_file", "\t", " ").alias("source_file"), "source_row", F.coalesce("rollout_index", F.lit(0)).alias("rollout_index")).distinct()
     keys.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(index_path(output_dir))
-    return spark.read.text(index_path(output_dir)).count()
+    return spark.read.option("recursiveFileLookup", "true").text(index_path(output_dir)).count()
 
 
 def failed(spark: SparkSession, path: str) -> DataFrame | None:

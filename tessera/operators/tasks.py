@@ -32,7 +32,8 @@ def trimmed(column: Column) -> Column:
 def prompt(df: DataFrame, column: str) -> Column:
     """The prompt in a column of text, a message, or a list of texts or messages.
 
-    Typed messages and plain text stay in the JVM; only texts that start like JSON go to the kernel.
+    Typed messages stay in the JVM. Of a text column only texts that start like JSON are sent to the kernel with
+    their content; other rows pass its worker as a null.
     """
     kind, c = df.schema[column].dataType, F.col(f"`{column}`")
     parse = text_kernel(prompt_text, "string")
@@ -91,7 +92,7 @@ def pending(tasks: DataFrame, completed: DataFrame | None = None, failed: DataFr
 
 
 def new_failures(failures: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Failures not on record yet, each key once, so that a rerun adds nothing."""
+    """Failures not on record yet, each key once (of several reasons the first by name), so that a rerun adds nothing."""
     fresh = failures if known is None else failures.join(known.select(*KEY), KEY, "left_anti")
-    return fresh.dropDuplicates(KEY)
+    return fresh.groupBy(*KEY).agg(F.min("reason").alias("reason"))
 

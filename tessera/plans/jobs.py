@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,7 @@ def source_rows(records: DataFrame, rows: DataFrame, columns: list[str]) -> Data
     return records.join(found, ["source_file", "source_row"], "left")
 
 
-def rejudge(records: DataFrame, rows: DataFrame, suspicious_only: bool = False) -> DataFrame:
+def rejudge(records: DataFrame, rows: DataFrame, suspicious_only: bool = False, label: str | None = None, seconds: float | None = None) -> DataFrame:
     """Records with structs old and new of their verdicts and changed. Records that are not judged again keep theirs.
 
     No record is dropped and nothing is cut off: a limit belongs in the report.
@@ -49,30 +51,11 @@ def rejudge(records: DataFrame, rows: DataFrame, suspicious_only: bool = False)
     kept = marked.where(~F.col("__again")).select(*records.columns, F.struct(*_VERDICT).alias("old"), F.struct(*_VERDICT).alias("new"))
     again = source_rows(marked.where("__again").drop("__again").withColumn("old", F.struct(*_VERDICT)), rows, have)
     flat = again.select(*[c for c in records.columns if c not in _VERDICT], "old", *[F.col(f"source.{c}").alias(f"row_{c}") for c in have])
-    judged = _judge_renamed(flat, have)
+    judged = judging.judge(flat, have, label=label, seconds=seconds, prefix="row_")  # a name may be a column of the record too
     again = judged.select(*[F.col(f"old.{c}").alias(c) if c in _VERDICT else F.col(c) for c in records.columns], "old", F.struct(*_VERDICT).alias("new"))
     return kept.unionByName(again).withColumn("changed", changed())
 
 
-def _judge_renamed(flat: DataFrame, have: list[str]) -> DataFrame:
-    """The judge over columns row_<name>, as name may be a column of the record too."""
-    import pyarrow as pa
-
-    schema = T.StructType([*flat.schema.fields, *VERDICT.fields])
-
-    def each(batches):
-        from tessera.functions.jsontext import canonical
-
-        for batch in batches:
-            rows = batch.select([f"row_{c}" for c in have] + ["messages"]).to_pylist()
-            out = [judging.guarded({c: r[f"row_{c}"] for c in have}, r["messages"] or []) for r in rows]
-            cols = [pa.array([v[k] for v in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.bool_(), pa.string()))]
-            detail = pa.array([None if v[4] is None else canonical(v[4]) for v in out], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, *cols, detail], names=schema.fieldNames())
-
-    return flat.mapInArrow(each, schema)
-
-
 def change_counts(rejudged: DataFrame) -> DataFrame:
     """(judge_status, is_correct, n) of the records whose verdict changed."""
     return rejudged.where("changed").groupBy(F.col("new.judge_status").alias("judge_status"), F.col("new.is_correct").alias("is_correct")).agg(F.count(F.lit(1)).alias("n"))
@@ -89,21 +72,47 @@ def rejudge_report(rejudged: DataFrame) -> dict[str, Any]:
     }
 
 
+def suspicious_segments(spark: SparkSession, output_dir: str, stream: str = "all") -> DataFrame:
+    """(segment) of the segments that hold a suspicious record: one partial aggregate, no shuffle of records."""
+    rows = sinks.read_segments(spark, output_dir, stream, ["dataset_name", "judge_type", "judge_status", "judge_detail", "messages"])
+    marked = rows.groupBy("segment").agg(F.bool_or(F.coalesce(judging.is_suspicious(), F.lit(False))).alias("suspicious"))
+    return marked.where("suspicious").select("segment")
+
+
+def rejudge_stored(spark: SparkSession, output_dir: str, suspicious_only: bool = False, label: str | None = None, seconds: float | None = None) -> dict[str, Any]:
+    """Judge stored records again by the rows they came from and put what changed in place; the report.
+
+    The new records are written beside the old ones before these go, as shards of a stream of their own name,
+    so a run that stops leaves the old ones.
+    """
+    records = sinks.read_records(spark, output_dir, "all")
+    files = [r[0] for r in records.select("source_file").distinct().collect()]  # as many as there are input files
+    found = rejudge(records, scan.scan(spark, files), suspicious_only, label, seconds)
+    work = f"{output_dir.rstrip('/')}/.work/rejudged-{uuid.uuid4().hex}"
+    found.write.parquet(work)
+    done = spark.read.schema(found.schema).parquet(work)
+    report = rejudge_report(done)
+    if report["changed_records"]:
+        sinks.replace_records(done.select(*[F.col(f"new.{c}").alias(c) if c in _VERDICT else F.col(c) for c in records.columns]), output_dir)
+        report |= rebuild_correct(spark, output_dir)
+    sinks.delete(spark, work)
+    return report
+
+
 def rebuild_correct(spark: SparkSession, output_dir: str) -> dict[str, int]:
     """Write the stream of correct records anew from that of all, and the index with it."""
     everything = sinks.read_records(spark, output_dir, "all")
-    good = everything.where(F.col("is_correct").eqNullSafe(True))
-    good.write.mode("overwrite").option("ignoreNullFields", "false").json(sinks.stream_path(output_dir, "correct", "segments"))
+    sinks.replace_records(everything.where(F.col("is_correct").eqNullSafe(True)), output_dir, "correct")
     counts = everything.agg(F.count(F.lit(1)).alias("scanned_records"), F.count_if(F.col("is_correct").eqNullSafe(True)).alias("written_records"), F.count_if(F.col("generation_finish_reason").eqNullSafe("length")).alias("overlong_records")).first()
     return counts.asDict() | {"index_keys": resume.rebuild_index(spark, output_dir)}
 
 
-def evaluate(rows: DataFrame) -> DataFrame:
+def evaluate(rows: DataFrame, label: str | None = None, seconds: float | None = None) -> DataFrame:
     """Rows of a dataset (column output as the answer) with verdicts."""
     have = [c for c in EVALUATED if c in rows.columns]
     answer = F.coalesce(F.col("output").cast("string"), F.lit("")) if "output" in have else F.lit("")
     said = rows.select("source_file", "source_row", *have, F.array(F.struct(F.lit("assistant").alias("role"), answer.alias("content"))).alias("messages"))
-    return judging.judge(said, have).withColumn("has_code_fence", answer.contains("```"))
+    return judging.judge(said, have, label=label, seconds=seconds).withColumn("has_code_fence", answer.contains("```"))
 
 
 def evaluation_report(evaluated: DataFrame, limit: int = 0) -> dict[str, Any]:
@@ -199,6 +208,56 @@ def hydrate(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     return out.drop("__dataset", "__split", "__index", "__question", "__tests")
 
 
+def load_lookup(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(dataset, split, index, question, tests) of datasets stored as Parquet, one folder or file a split: paths maps
+    "dataset/split" to it. Rows are numbered over the split's files in order of their names, as the index counts them.
+    """
+    frames = []
+    for name, path in paths.items():
+        dataset, _, split = name.partition("/")
+        question, tests = LOOKED_UP[dataset.lower()]
+        files = scan.list_files(spark, path, "*.parquet") or [path]
+        rows = scan.scan_parquet(spark, files)
+        counts = {r["source_file"]: r["n"] for r in rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        at, bases = 0, []
+        for f in files:
+            bases.append((f, at))
+            at += counts.get(f, 0)
+        known = F.broadcast(spark.createDataFrame(bases, "source_file string, base long"))  # a row a file of the split
+        column = lambda c: F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string")  # noqa: B023, E731
+        frames.append(rows.join(known, "source_file").select(F.lit(dataset).alias("dataset"), F.lit(split or "train").alias("split"), (F.col("base") + F.col("source_row")).alias("index"), column(question).alias("question"), column(tests).alias("tests")))
+    if not frames:
+        return spark.createDataFrame([], "dataset string, split string, index long, question string, tests string")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def hydrate_files(spark: SparkSession, input_root: str, output_root: str, splits: list[str], lookup: DataFrame, overwrite: bool = False) -> dict[str, Any]:
+    """Hydrate the splits' files, one folder a split; a split that is there already is left alone unless told to."""
+    rows = hydrated = done = 0
+    for split in splits:
+        files, target = scan.split_dirs(spark, input_root, [split]), f"{output_root.rstrip('/')}/{split}"
+        if not files or (sinks.has_files(spark, target) and not overwrite):
+            continue
+        hydrate(spark.read.option("mergeSchema", "true").parquet(*files), lookup).write.mode("overwrite").parquet(target)
+        row = hydrate_rate(spark.read.parquet(target)).first()
+        rows, hydrated, done = rows + row["rows"], hydrated + row["hydrated"], done + 1
+    return {"splits_processed": done, "rows": rows, "hydrated": hydrated, "hydrate_rate": hydrated / rows if rows else 0.0}
+
+
+def evaluate_files(spark: SparkSession, input_dir: str, pattern: str = "*.parquet", limit: int = 0, label: str | None = None, seconds: float | None = None) -> dict[str, Any]:
+    """The evaluation report of a folder's files. The verdicts are written once, as each figure reads them."""
+    rows = scan.scan(spark, scan.list_files(spark, input_dir, pattern))
+    if limit > 0:
+        rows = rows.orderBy("source_file", "source_row").limit(limit)
+    found = evaluate(rows, label, seconds)
+    path = f"{sinks.scratch(spark)}/evaluated-{uuid.uuid4().hex}"
+    found.write.parquet(path)
+    try:
+        return evaluation_report(spark.read.schema(found.schema).parquet(path))
+    finally:
+        sinks.delete(spark, path)
+
+
 def hydrate_rate(hydrated: DataFrame) -> DataFrame:
     """One row: rows, hydrated and their ratio."""
     row = hydrated.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("generated_test_status") == "hydrated").alias("hydrated"))

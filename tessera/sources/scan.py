@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import warnings
 from collections.abc import Iterable
 from urllib.parse import unquote, urlparse
 
@@ -89,9 +90,12 @@ def scan_jsonl(spark: SparkSession, files: list[str], schema: T.StructType | Non
 
 
 def scan(spark: SparkSession, files: list[str], skip_broken: bool = False) -> DataFrame:
-    """Rows of Parquet and JSON-lines files; files of other kinds are left out."""
+    """Rows of Parquet and JSON-lines files; files of other kinds are left out, with a warning."""
     from tessera.operators.schema import union_all
 
+    other = [f for f in files if not f.endswith((".parquet", ".jsonl"))]
+    if other:
+        warnings.warn(f"{len(other)} files are neither .parquet nor .jsonl and are left out, as {other[0]}", stacklevel=2)
     parquet = [f for f in files if f.endswith(".parquet")]
     lines = [f for f in files if f.endswith(".jsonl")]
     frames = ([scan_parquet(spark, parquet, skip_broken)] if parquet else []) + ([scan_jsonl(spark, lines)] if lines else [])

@@ -52,18 +52,30 @@ def read_manifest(spark: SparkSession, output_dir: str, stream: str) -> DataFram
     return spark.read.schema(_MANIFEST).parquet(path) if has_files(spark, path) else spark.createDataFrame([], _MANIFEST)
 
 
-def _segments(spark: SparkSession, path: str) -> DataFrame:
-    """(segment, bytes, records and token figures) of segment files."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("segment"), "value").where("trim(value) <> ''")
+def _figures(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(segment, records and token figures) of segment files. A blank line is no record."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_name").alias("segment"), "value").where("trim(value) <> ''")
     tokens = {f: F.get_json_object("value", f"$.{f}").try_cast("long") for f in TOKEN_FIELDS}
     return lines.groupBy("segment").agg(
-        F.sum(F.octet_length("value") + 1).alias("bytes"),
         F.count(F.lit(1)).alias("records"),
         *[F.count(v).alias(f"{f}_count") for f, v in tokens.items()],
         *[F.coalesce(F.sum(v), F.lit(0)).alias(f"{f}_sum") for f, v in tokens.items()],
     )
 
 
+def new_segments(spark: SparkSession, output_dir: str, stream: str) -> list[tuple[str, str, int]]:
+    """(path, name, bytes) of committed segments that no shard holds yet, by name: from the file system's listing,
+    less the manifest's names. No segment is opened."""
+    from tessera.sources.sinks import segment_files
+
+    every = segment_files(spark, output_dir, stream)
+    if not every:
+        return []
+    names = spark.createDataFrame(every, "path string, segment string, bytes long")
+    left = names.join(read_manifest(spark, output_dir, stream).select("segment"), "segment", "left_anti")
+    return [(r["path"], r["segment"], r["bytes"]) for r in left.orderBy("segment").collect()]
+
+
 def _drop_unlisted(spark: SparkSession, shards: str, batches: set[str]) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(shards)
@@ -84,15 +96,17 @@ def compact(spark: SparkSession, output_dir: str, stream: str = "correct", targe
         raise FileNotFoundError(f"no segments at {source}")
     known = read_manifest(spark, output_dir, stream)
     _drop_unlisted(spark, shards, {r[0] for r in known.select("batch").distinct().collect()})
-    every = _segments(spark, source)
-    # Segments are files of megabytes: their list is shorter than the data by that factor.
-    new = every.join(known.select("segment"), "segment", "left_anti").orderBy("segment").collect()
+    found = new_segments(spark, output_dir, stream)
+    paths = [path for path, _, _ in found]
+    figures = {r["segment"]: r.asDict() for r in _figures(spark, paths).collect()} if found else {}
+    blank = {"records": 0} | {f"{f}_{k}": 0 for f in TOKEN_FIELDS for k in ("count", "sum")}
+    new = [blank | figures.get(name, {}) | {"segment": name, "bytes": size} for _, name, size in found]
     if new:
         batch = uuid.uuid4().hex
         numbers = pack_sizes([r["bytes"] for r in new], target_bytes)
-        entries = [{**r.asDict(), "batch": batch, "shard": n} for r, n in zip(new, numbers)]
+        entries = [{**r, "batch": batch, "shard": n} for r, n in zip(new, numbers)]
         chosen = spark.createDataFrame(entries, _MANIFEST)
-        rows = spark.read.schema(RECORD).json(source).withColumn("segment", F.col("_metadata.file_name"))
+        rows = spark.read.schema(RECORD).json(paths).withColumn("segment", F.col("_metadata.file_name"))
         placed = rows.join(chosen.select("segment", "shard"), "segment").drop("segment")
         # One task and one file a shard.
         placed.repartition(numbers[-1] + 1, "shard").write.partitionBy("shard").parquet(f"{shards}/batch={batch}")
@@ -117,7 +131,7 @@ def compact_stream(spark: SparkSession, output_dir: str, stream: str, checkpoint
     """The same as a file stream: what has come since the last run, once, then it stops. Await the query."""
     from tessera.sources.sinks import stream_path
 
-    rows = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", max_files).json(stream_path(output_dir, stream, "segments"))
+    rows = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").json(stream_path(output_dir, stream, "segments"))
     target = stream_path(output_dir, stream, "stream_shards")
 
     def merge(batch: DataFrame, number: int) -> None:

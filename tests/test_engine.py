@@ -138,6 +138,7 @@ def test_compaction_runs_once_for_each_segment(spark, tmp_path):
     again = compact.compact(spark, out, "correct", 1 << 20)
     assert again["merged_segments_this_run"] == again["shards_written_this_run"] == 0 and again["total_records"] == 2
     lines(f"{out}/correct/segments/segment_000003.jsonl", [record(3, True)])
+    assert [name for _, name, _ in compact.new_segments(spark, out, "correct")] == ["segment_000003.jsonl"]
     # What a crash left behind is not counted.
     spark.createDataFrame([record(9, True)], RECORD).write.parquet(f"{out}/correct/shards/batch=dead/shard=0")
     third = compact.compact(spark, out, "correct", 1)
@@ -338,6 +339,181 @@ def test_run_end_to_end_and_again(spark, tmp_path):
     assert spark.read.json(s.failure_path).count() == 3
 
 
+class Counted(generate.MockClient):
+    """Answers, and one line in a file for each call."""
+
+    def __init__(self, path, wait=0.0):
+        super().__init__(lambda p: "The answer is 2")
+        self.path, self.wait = path, wait
+
+    async def complete(self, url, prompt):
+        with open(self.path, "a") as f:
+            f.write(prompt + "\n")
+        await asyncio.sleep(self.wait)
+        return await super().complete(url, prompt)
+
+
+def inputs(spark, folder, files, rows):
+    for k in range(files):
+        spark.createDataFrame([(f"What is {k}/{j} + 1?", str(j + 1)) for j in range(rows)], "question string, answer string").coalesce(1).write.parquet(f"{folder}/tmp{k}")
+        name = next(p for p in os.listdir(f"{folder}/tmp{k}") if p.endswith(".parquet"))
+        os.rename(f"{folder}/tmp{k}/{name}", f"{folder}/in{k}.parquet")
+
+
+@pytest.mark.parametrize("place", ["judge", "all", "correct", "index", "marker"])
+def test_a_run_that_stops_repeats_no_call_and_doubles_no_record(spark, tmp_path, monkeypatch, place):
+    inputs(spark, tmp_path, 2, 4)
+    calls = f"{tmp_path}/calls"
+    s = config.Settings(str(tmp_path), f"{tmp_path}/out", file_pattern="in*.parquet", ports="1", label_field="answer", active_files=1, write_retries=1)
+
+    class Stopped(Exception):
+        pass
+
+    def fault(original, at):
+        def call(*args, **kwargs):
+            seen = " ".join(str(a) for a in (*args, *kwargs.values()) if isinstance(a, str))
+            if at in seen:
+                raise Stopped
+            return original(*args, **kwargs)
+
+        return call
+
+    with monkeypatch.context() as m:
+        if place == "judge":
+            m.setattr(engine.judge, "judge", lambda *a, **k: (_ for _ in ()).throw(Stopped()))
+        elif place == "index":
+            m.setattr(sinks, "index_path", lambda out: (_ for _ in ()).throw(Stopped()))
+        elif place == "marker":
+            m.setattr(sinks, "put_text", fault(sinks.put_text, "/batches/"))
+        else:
+            m.setattr(sinks, "_segments", fault(sinks._segments, f"/{place}/segments"))
+        with pytest.raises(Stopped):
+            engine.run(spark, s, lambda: Counted(calls))
+    figures = engine.run(spark, s, lambda: Counted(calls))
+    assert figures == {"written": 8, "correct": 2, "overlong": 0}
+    asked = open(calls).read().split("\n")[:-1]
+    assert len(asked) == len(set(asked)) == 8
+    stored = sinks.read_records(spark, s.output_dir, "all").select(*KEY)
+    assert stored.count() == stored.distinct().count() == 8 and sinks.read_records(spark, s.output_dir, "correct").count() == 2
+    assert resume.completed(spark, s.output_dir).count() == 8 and not os.path.exists(f"{tmp_path}/out/.work/0_END")
+    # The run's end has compacted both streams.
+    assert compact.new_segments(spark, s.output_dir, "all") == [] and spark.read.parquet(f"{s.output_dir}/all/shards").count() == 8
+
+
+def test_rounds_stop_and_go_on(spark, tmp_path):
+    inputs(spark, tmp_path, 2, 6)
+    calls, told = f"{tmp_path}/calls", []
+    s = config.Settings(str(tmp_path), f"{tmp_path}/out", file_pattern="in*.parquet", ports="1", concurrency=1, active_files=1, segment_flush_interval_sec=0.5)
+    figures = engine.run(spark, s, lambda: Counted(calls, 0.2), report=told.append, stop=lambda: len(told) >= 2)
+    assert 0 < figures["written"] < 12 and len(told) == 2 and told[1]["answered"] > told[0]["answered"]
+    assert engine.run(spark, s, lambda: Counted(calls, 0.2), report=told.append)["written"] == 12 and len(open(calls).readlines()) == 12
+
+
+def test_a_broken_file_costs_itself_only(spark, tmp_path):
+    inputs(spark, tmp_path, 2, 2)
+    (tmp_path / "in9.parquet").write_bytes(b"PAR1 nothing PAR1")
+    s = config.Settings(str(tmp_path), f"{tmp_path}/out", file_pattern="in*.parquet", ports="1")
+    for _ in range(2):
+        with pytest.warns(UserWarning, match="in9"):
+            assert engine.run(spark, s, lambda: generate.MockClient())["written"] == 4
+        assert [r.reason for r in spark.read.json(s.failure_path).collect()] == ["unreadable_file"]
+
+
+def test_time_of_a_partition_follows_its_prompts():
+    import time
+
+    class Slow(generate.MockClient):
+        async def complete(self, url, prompt):
+            await asyncio.sleep(0.001)
+            return await super().complete(url, prompt)
+
+    took = []
+    for n in (1000, 4000):
+        began = time.time()
+        got = list(generate.in_flight(generate.Pool(["u"], Slow(), 8), iter([(k, str(k)) for k in range(n)])))
+        took.append(time.time() - began)
+        assert sorted(k for k, _ in got) == list(range(n))
+    assert took[1] < 8 * took[0] + 1
+
+    class Threads(generate.MockClient):
+        async def complete(self, url, prompt):
+            await asyncio.to_thread(time.sleep, 0.2)
+            return await super().complete(url, prompt)
+
+    began = time.time()
+    assert len(list(generate.in_flight(generate.Pool(["u"], Threads(), 200), iter([(k, "p") for k in range(200)])))) == 200
+    assert time.time() - began < 3  # blocking calls run all at once, not as many as there are cores
+
+    class Gone(generate.MockClient):
+        async def complete(self, url, prompt):
+            raise generate.ConnectionLost("x")
+
+    async def gone(url):
+        return False
+
+    with pytest.raises(generate.NoBackends):
+        list(generate.in_flight(generate.Pool(["u", "v"], Gone(), 4, gone, no_sleep), iter([(k, "p") for k in range(9)])))
+
+
+def test_verdicts_that_take_too_long(spark):
+    import time
+
+    from tessera.operators import judge
+
+    program = "```python\nwhile True:\n    pass\n```"
+    row = {"test_list": ["assert add(1, 2) == 3"]}
+    began = time.time()
+    kind, backend, good, status, detail = judge.guarded(row, [{"role": "assistant", "content": program}], None, 1.0)
+    assert time.time() - began < 4 and (kind, backend, good, status) == ("code_mbpp", "judge_subprocess_guard_v1", None, "timeout")
+    assert detail == {"reason": "judge_process_timeout", "timeout_seconds": 1.0}
+    quick = [{"role": "assistant", "content": "```python\ndef add(a, b):\n    return a + b\n```"}]
+    assert judge.guarded(row, quick, None, 20.0) == judge.guarded(row, quick, None, None) and judge.guarded(row, quick, None, 20.0)[2] is True
+    df = spark.createDataFrame([(["assert add(1, 2) == 3"], [{"role": "assistant", "content": t}]) for t in (program, quick[0]["content"])], "test_list array<string>, messages array<struct<role:string,content:string>>")
+    assert sorted(r.judge_status for r in judge.judge(df, ["test_list"], seconds=2.0).collect()) == ["pass", "timeout"]
+
+
+def test_stored_records_judged_again(spark, tmp_path):
+    spark.createDataFrame([("q", "4"), ("q", "5")], "question string, answer string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    (path,) = scan.list_files(spark, f"{tmp_path}/in")
+    said = [dict.fromkeys(("role", "content", "reasoning_content", "tool_calls", "tool_call_id", "name")) | {"role": "assistant", "content": "The answer is 4"}]
+    rows = [record(k, False) | {"source_file": path, "messages": said, "dataset_name": "code_contests" if k else "d"} for k in range(2)]
+    out = f"{tmp_path}/out"
+    sinks.append_records(spark.createDataFrame(rows[:1], RECORD), out)
+    sinks.append_records(spark.createDataFrame(rows[1:], RECORD), out)
+    compact.compact(spark, out, "all")
+    assert jobs.suspicious_segments(spark, out).count() == 1
+    report = jobs.rejudge_stored(spark, out)
+    assert report["processed_records"] == 2 and report["changed_records"] == 2 and report["written_records"] == 1
+    assert {r.source_row: r.is_correct for r in sinks.read_records(spark, out).collect()} == {0: True, 1: False}
+    assert sinks.read_records(spark, out, "correct").count() == 1 and resume.completed(spark, out).count() == 2
+    assert jobs.rejudge_stored(spark, out)["changed_records"] == 0
+
+
+def test_a_replacement_is_whole_or_absent(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    sinks.append_records(spark.createDataFrame([record(1, True)], RECORD), out)
+    half = f"{out}/all/.new/batch=whole-x"
+    lines(f"{half}/part-0.json", [record(2, True)])
+    sinks.finish_replace(spark, out, "all")
+    assert [r.source_row for r in sinks.read_records(spark, out).collect()] == [1]
+    lines(f"{half}/part-0.json", [record(2, True)])
+    lines(f"{half}/_SUCCESS", [])
+    sinks.finish_replace(spark, out, "all")
+    assert [r.source_row for r in sinks.read_records(spark, out).collect()] == [2]
+
+
+def test_jobs_of_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    common = ["--input-dir", f"{tmp_path}/in", "--output-dir", f"{tmp_path}/out"]
+    spark.createDataFrame([("apps", "train", "1", "-", "", "The answer is 4", "4")], "dataset string, split string, index string, input string, input_output string, output string, solution string").coalesce(1).write.parquet(f"{tmp_path}/in/s0")
+    spark.createDataFrame([("Q0", "t0"), ("Q1", "t1")], "question string, input_output string").coalesce(1).write.parquet(f"{tmp_path}/apps")
+    assert cli.main(["hydrate", *common, "--splits", "s0", "--lookup", f"apps/train={tmp_path}/apps", "--summary", f"{tmp_path}/sum.json"]) == 0
+    assert json.load(open(f"{tmp_path}/sum.json")) == {"splits_processed": 1, "rows": 1, "hydrated": 1, "hydrate_rate": 1.0}
+    assert spark.read.parquet(f"{tmp_path}/out/s0").first().input == "Q1"
+    assert cli.main(["evaluate", "--input-dir", f"{tmp_path}/in/s0", "--output-dir", "o"]) == 0
+    assert '"total": 1' in capsys.readouterr().out
+
+
 # --- settings
 
 
