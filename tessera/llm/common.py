@@ -17,12 +17,14 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset (tests, a single
-    machine) a temporary folder takes its place.
+    It is the session's ``spark.checkpoint.dir``. Where that is unset, a single machine (a local master, as in
+    tests) takes a temporary folder; on a cluster there is no such folder to share, and the call fails.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_SCRATCH:
         _OWN_SCRATCH[app] = tempfile.mkdtemp(prefix="tessera-")
@@ -35,17 +37,17 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete the folder behind a frame made by written()."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def drop_written(*frames: DataFrame) -> None:
+    """Delete the folders behind frames made by written(), once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

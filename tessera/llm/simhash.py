@@ -10,17 +10,17 @@ minimum labels with pointer jumping on written tables.
 
 Similar texts: at a Jaccard similarity of 0.8 of their five-word shingles, fingerprints differ in about 15
 percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore works in two passes.
-The first only saves work: wide fingerprints, ``width`` words of 64 bits from as many mixes of each distinct
-shingle's hash, meet where the first word agrees on two of six blocks, and most members of a dense group become
-one label. The walk within a key compares the next two words; its links are verified on all bits, of which at
-most ``max_share`` may differ, and by the shingles where the bits leave doubt. What it misses or drops is left
-to the second pass.
-
-The second pass is a prefix join and misses nothing by its keys: all shingles are put into one order, rare ones
-first; of n shingles the first n - ceil(least n) + 1 are keys, and two texts of similarity ``least`` share one.
-All pairs of a key's texts with different labels are compared by size, by the key's places in both texts (what
-follows must be able to make up the overlap) and, from _LEAST_SKETCHED shingles on, by 128 bits, of which a pair
-at 0.8 differs in 19 and _LOOSE_BITS are seven deviations off. What is left is settled by the shingles.
+The first one links wide fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's
+hash, that agree on two of six blocks of the first word; most members of a dense group become one label. It only
+saves work: what it misses or drops is left to the second pass.
+
+Blocks that find nearly all pairs at 0.8 would be too short to tell texts apart in a large corpus. The second
+pass takes keys that do both: _BANDS keys of _BAND_ROWS min-hashes each of the shingles, of which a pair at a
+similarity of 0.8 shares none once in 13,000 times, at 0.85 once in a million. All pairs of a key's texts with
+different labels are compared by size and by 128 bits of the wide fingerprints, no pair of the key is left out
+and no run is cut; then on all 512 bits. Bits only rule a pair out where it differs in more of them than five
+deviations beyond a similarity of ``least`` (seven for the 128), and are not asked for texts of fewer than
+_LEAST_SKETCHED shingles. What is left is settled by the shingles themselves.
 
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
 word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
@@ -31,6 +31,7 @@ other). An empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_and_text, table, written
+from tessera.llm.common import drop_written, id_and_text, table, written
 
 #: Runs of one key up to this length are compared offset by offset, longer ones walked.
 _SHORT_RUN = 8
@@ -90,7 +91,10 @@ def _shingle_hashes(text: str | None, shingle: int, seed: int = 42) -> np.ndarra
 
 def wide_fingerprint(text: str | None, shingle: int = 5, width: int = 8, seed: int = 42) -> list[int]:
     """width signed 64-bit words: the SimHash of a text's distinct shingles under as many hashes."""
-    hashes = _shingle_hashes(text, shingle, seed)
+    return _wide_of(_shingle_hashes(text, shingle, seed), width)
+
+
+def _wide_of(hashes: np.ndarray, width: int) -> list[int]:
     if not len(hashes) or not width:
         return [0] * width
     counts = np.zeros((width, 64), np.int64)
@@ -207,25 +211,43 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = written(ends.groupBy("node").agg(F.min("label").alias("label")), "hooked")
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
         step = written(hooked.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "step")
+        old = [hooked, each]
         if labels is None:
             labels = step
         else:
             up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            old += [step, labels]
             labels = written(labels.join(up, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
         for end in ("a", "b"):
             each = each.join(step.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end)
         each = written(each.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b").select(*pair).distinct(), "edges")
+        drop_written(*old)
         if each.isEmpty():
+            drop_written(each)
             return labels
 
 
-def classes(prints: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:
+#: Rows that a key should have on average at most.
+_ROWS_A_KEY = 4
+
+
+def _blocks_for(prints: DataFrame, distance: int) -> int:
+    """Blocks whose keys are long enough for the distinct fingerprints in prints (column fp): more blocks make
+    longer keys and more of them, and find the same links."""
+    n = prints.select("fp").distinct().count()
+    blocks = distance + 2
+    while 64 * (blocks - distance) // blocks < 40 and n > _ROWS_A_KEY << (64 * (blocks - distance) // blocks):
+        blocks += 1
+    return blocks
+
+
+def classes(prints: DataFrame, distance: int = 4, blocks: int | None = None) -> DataFrame:
     """(fp, label) for the fingerprints (column fp, repeats allowed) that have a near neighbour: label
     is the smallest fingerprint of the group."""
-    return components(written(links(prints.select("fp").distinct(), distance, blocks), "links")).select(F.col("node").alias("fp"), "label")
+    return components(written(links(prints.select("fp").distinct(), distance, blocks or _blocks_for(prints, distance)), "links")).select(F.col("node").alias("fp"), "label")
 
 
-def near_duplicates(docs: DataFrame, distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42) -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = 4, blocks: int | None = None, shingle: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs (columns doc_id and text)."""
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = written(with_fingerprint(rows, "text", "fp", shingle, seed).select("doc_id", "fp"), "prints")
@@ -272,7 +294,7 @@ def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) ->
 
 
 def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float) -> DataFrame:
-    """(a, b, share): links between the nodes of prints (node, label: long, wide: array of 64-bit words) by keys
+    """(a, b, share): links between the nodes of prints (node, label: long, size: int, wide: array of 64-bit words) by keys
     of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +339,15 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
             yield of(*held)
 
     pairs = keyed.mapInArrow(walk, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"))
+    return with_share(pairs, prints, width).where(F.col("share") <= max_share).select("a", "b", "share")
+
+
+def with_share(pairs: DataFrame, prints: DataFrame, width: int) -> DataFrame:
+    """(a, b, share, least_size) of pairs (a, b): the share of differing bits and the fewer shingles of the two;
+    prints: node, size, wide."""
+    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"), F.col("size").alias(f"s{n}"))
     differ = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share"), F.least("sa", "sb").alias("least_size"))
 
 
 #: Up to this share of 512 differing bits texts are similar beyond doubt (0.8 would be six deviations off).
@@ -328,74 +356,53 @@ _SURE_SHARE = 0.05
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
     """(a, b) of the pairs (a, b, share) whose texts (texts: node, text) have a Jaccard similarity of at least
-    ``least`` by their distinct shingles; only pairs beyond _SURE_SHARE are looked at."""
+    ``least`` by their distinct shingles; only pairs beyond _SURE_SHARE are looked at. Sets are read by Python once
+    a text, and met row by row in the JVM, so no batch holds the sets of many long texts."""
     doubtful = pairs.where(F.col("share") > _SURE_SHARE).select("a", "b")
     wanted = doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingle_hashes(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "h"])
-
-    sets = written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h binary"), "shingles")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(both >= least * (len(p) + len(q) - both) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                sets = [_shingle_hashes(t, shingle).view(np.int64) for t in some.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "h"])
 
+    sets = written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h array<long>"), "shingles")
     side = lambda n: sets.select(F.col("node").alias(n), F.col("h").alias(f"h{n}"))
-    checked = doubtful.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "hb").mapInArrow(keep, "a long, b long")
-    return pairs.where(F.col("share") <= _SURE_SHARE).select("a", "b").unionByName(checked)
-
+    both = F.size(F.array_intersect("ha", "hb"))
+    checked = doubtful.join(side("a"), "a").join(side("b"), "b").where(both >= F.lit(least) * (F.size("ha") + F.size("hb") - both) - 1e-9)
+    return pairs.where(F.col("share") <= _SURE_SHARE).select("a", "b").unionByName(checked.select("a", "b"))
 
-#: Differing bits, of 128, beyond which the prefix join passes a pair over, and the shingles from which it does.
-_LOOSE_BITS, _LEAST_SKETCHED = 48, 32
-#: Texts whose shingles are counted to tell common ones, the count there from which one is, and how many are told.
-_COUNTED, _COMMON, _MOST_COMMON = 10_000, 4, 100_000
 
+#: Keys of a text in the second pass, and the min-hashes that make up each.
+_BANDS, _BAND_ROWS = 24, 5
+#: Differing bits of 128, and share of 512, beyond which a pair is ruled out, and the shingles from which bits are asked.
+_LOOSE_BITS, _LOOSE_SHARE, _LEAST_SKETCHED = 48, 0.232, 32
 
-def _common_shingles(texts: DataFrame, n: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of common shingles, ascending, and the rank of each by its count among _COUNTED of the n texts (node,
-    text). Any ranks give right links; these keep the keys' runs short."""
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                each = [_shingle_hashes(t, shingle) for t in batch.column(1).slice(k, 500).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each).view(np.int64))], names=["h"])
+@lru_cache(maxsize=4)
+def _mixers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(2024)
+    return rng.integers(0, 2**63, (n, 1), dtype=np.uint64), rng.integers(0, 2**63, (n, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(-(-n // _COUNTED) or 1)) == 0).select("node", "text")
-    count = some.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= _COMMON)
-    top = [r.h for r in count.orderBy(F.desc("count"), "h").limit(_MOST_COMMON).collect()]
-    h = np.array(top[::-1], np.int64).view(np.uint64)
-    order = np.argsort(h)
-    return h[order], order
 
+def band_keys(hashes: np.ndarray, bands: int = _BANDS, rows: int = _BAND_ROWS) -> list[int]:
+    """A signed 64-bit key for each band of min-hashes of a text's shingle hashes; none for a text without any."""
+    if not len(hashes):
+        return []
+    add, odd = _mixers(bands * rows)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        least = np.minimum(least, ((hashes[None, at : at + 2048] ^ add) * odd).min(axis=1))
+    key = np.arange(bands, dtype=np.uint64)
+    for k in range(rows):
+        key = (key ^ least[k::rows]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64).tolist()
 
-def _prefix(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """Of a text's distinct shingles, ascending, those that are its keys, in the common order."""
-    n, (h, rank) = len(hashes), common
-    if len(h) and n:
-        at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
-        known = h[at] == hashes
-        hashes = np.concatenate([hashes[~known], hashes[known][np.argsort(rank[at[known]])]])
-    return hashes[: n - int(np.ceil(least * n - 1e-9)) + 1]
 
-
-def _can_be(m: np.ndarray, n: np.ndarray, p: np.ndarray, q: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
-    """If texts of m and n shingles, whose first common key is at places p and q, can have a similarity of ``least``:
-    x and y have their differing bits."""
-    overlap = least / (1 + least) * (m + n) - 1e-9
-    bits = np.bitwise_count(x).astype(np.int64) + np.bitwise_count(y)
-    return (np.minimum(m - p, n - q) >= overlap) & (np.minimum(m, n) >= overlap) & ((bits <= _LOOSE_BITS) | (np.minimum(m, n) < _LEAST_SKETCHED))
-
-
-def _prefix_pairs(label: np.ndarray, size: np.ndarray, place: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _run_pairs(label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of the pairs of one key's texts that have different labels and can have a similarity of ``least``."""
     kinds, of, count = np.unique(label, return_inverse=True, return_counts=True)
     none, a, b = np.empty(0, np.int64), [], []
@@ -403,7 +410,7 @@ def _prefix_pairs(label: np.ndarray, size: np.ndarray, place: np.ndarray, x: np.
         return none, none
     # By size, so that a text's partners are a slice; pairs within the largest label are left out from the start.
     order = np.argsort(size, kind="stable")
-    of, size, place, x, y = of[order], size[order], place[order], x[order], y[order]
+    of, size, x, y = of[order], size[order], x[order], y[order]
     most = int(np.argmax(count))
     large = np.flatnonzero(of == most)
     low = np.searchsorted(size, least * size - 1e-9)
@@ -412,56 +419,39 @@ def _prefix_pairs(label: np.ndarray, size: np.ndarray, place: np.ndarray, x: np.
         others = np.arange(low[i], i)  # smaller ones of any label, larger ones of the largest
         others = np.concatenate([others, large[np.searchsorted(large, i) : np.searchsorted(large, high[i])]])
         others = others[of[others] != of[i]]
-        others = others[_can_be(size[i], size[others], place[i], place[others], x[i] ^ x[others], y[i] ^ y[others], least)]
+        bits = np.bitwise_count(x[i] ^ x[others]).astype(np.int64) + np.bitwise_count(y[i] ^ y[others])
+        others = others[(bits <= _LOOSE_BITS) | (np.minimum(size[i], size[others]) < _LEAST_SKETCHED)]
         if len(others):
             a.append(np.full(len(others), order[i]))
             b.append(order[others])
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def prefix_pairs(known: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
-    """(a, b): pairs of nodes with different labels that include all whose texts (texts: node, text) have a Jaccard
-    similarity of at least ``least``. known: node, label: long, wide: array of 64-bit words."""
-    common = _common_shingles(texts.join(known, "node", "left_semi"), known.count(), shingle)
-    size = F.size("wide")
-    word = lambda k: F.element_at("wide", (F.lit(k) % size + 1).cast("int"))
-    both = known.select("node", "label", word(1).alias("x"), word(2).alias("y")).join(texts, "node").select("node", "label", "x", "y", "text")
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                some = batch.slice(at, 200)
-                each = [_shingle_hashes(t, shingle) for t in some.column(4).to_pylist()]
-                first = [_prefix(h, common, least) if len(h) else h for h in each]
-                n = [len(f) for f in first]
-                columns = [np.concatenate(first).view(np.int64), *(np.repeat(some.column(k).to_numpy(), n) for k in range(4)), np.repeat(np.array([len(h) for h in each], np.int32), n), np.concatenate([np.arange(k, dtype=np.int32) for k in n])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y", "size", "place"])
+def band_pairs(known: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of nodes with different labels that share a band and can have a similarity of ``least``.
 
-    keyed = both.mapInArrow(keys, "key long, node long, label long, x long, y long, size int, place int")
-    keyed = keyed.repartition("key").sortWithinPartitions("key", "node")
+    known: node, label: long, size: int (shingles), wide: array of 64-bit words, bands: array of keys.
+    """
+    words = F.size("wide")
+    word = lambda k: F.element_at("wide", (F.lit(k) % words + 1).cast("int"))
+    keyed = known.select("node", "label", "size", word(1).alias("x"), word(2).alias("y"), F.explode("bands").alias("key"))
+    keyed = keyed.select("key", "node", "label", "size", "x", "y").repartition("key").sortWithinPartitions("key", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 7
+        held = [np.empty(0, np.int64)] * 6
 
-        def of(key: np.ndarray, node: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, size: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def of(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
             x, y = x.view(np.uint64), y.view(np.uint64)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lengths = np.diff(np.append(starts, len(key)))
-            runs = np.repeat(np.arange(len(starts)), lengths)
-            short = lengths[runs] <= _SHORT_WIDE_RUN
             a, b = [], []
-            for d in range(1, min(_SHORT_WIDE_RUN, len(key))):  # few share most keys: these are compared offset by offset
-                i = np.flatnonzero((runs[d:] == runs[:-d]) & short[d:] & (label[d:] != label[:-d]))
-                i = i[_can_be(size[i], size[i + d], place[i], place[i + d], x[i] ^ x[i + d], y[i] ^ y[i + d], least)]
-                a.append(node[i])
-                b.append(node[i + d])
-            for k in np.flatnonzero(lengths > _SHORT_WIDE_RUN).tolist():
+            for k in np.flatnonzero(lengths > 1).tolist():
                 run = slice(starts[k], starts[k] + lengths[k])
-                i, j = _prefix_pairs(label[run], size[run], place[run], x[run], y[run], least)
+                i, j = _run_pairs(label[run], size[run], x[run], y[run], least)
                 if len(i):
                     a.append(node[run][i])
                     b.append(node[run][j])
-                if sum(map(len, a)) > 1_000_000:
+                if sum(map(len, a)) > 100_000:
                     yield pairs(a, b)
                     a, b = [], []
             yield pairs(a, b)
@@ -469,8 +459,7 @@ def prefix_pairs(known: DataFrame, texts: DataFrame, least: float, shingle: int)
         def pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
             none = [np.empty(0, np.int64)]
             a, b = np.concatenate(none + a), np.concatenate(none + b)
-            once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(v) for v in once], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         for batch in batches:
             if batch.num_rows:
@@ -504,59 +493,68 @@ def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterat
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y"])
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int = 6, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5, least: float = 0.8) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, blocks: int | None = None, shingle: int = 4, seed: int = 42, width: int = 8, max_share: float = 0.2, wide_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """docs with one row of each group of near-duplicates: the one with the smallest id (nulls last),
     of repeated ids the first row written. Texts are linked by fingerprints at most ``distance`` bits apart
-    and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints and a prefix join."""
-    row, fp, wide = "__tessera_row", "__tessera_fp", "__tessera_wide"
-    full = _with_both(docs, text_col, fp, wide, shingle, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
+    and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints and bands."""
+    row, prints = "__tessera_row", "__tessera_prints"
+    full = _with_prints(docs, text_col, prints, shingle, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
     full = written(full, "dedup")
     texts = full.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
-    small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(wide).alias("wide"))
+    small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(f"{prints}.fp").alias("fp"), F.col(f"{prints}.wide").alias("wide"), F.col(f"{prints}.size").alias("size"), F.col(f"{prints}.bands").alias("bands"))
     order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
     # A node for each distinct pair of fingerprints: exact copies meet here.
-    nodes = written(small.groupBy("fp", "wide").agg(F.min("row").alias("node"), F.min(order).alias("first")), "nodes")
+    nodes = written(small.groupBy("fp", "wide").agg(F.min("row").alias("node"), F.min(order).alias("first"), F.min_by("size", "row").alias("size"), F.min_by("bands", "row").alias("bands")), "nodes")
     of_print = nodes.groupBy("fp").agg(F.min("node").alias("of"))
     same = nodes.join(of_print, "fp").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
-    close = links(nodes.select("fp").distinct(), distance, blocks)
+    close = links(nodes.select("fp").distinct(), distance, blocks or _blocks_for(nodes, distance))
     for side in ("a", "b"):
         close = close.join(of_print.select(F.col("fp").alias(side), F.col("of").alias(f"n{side}")), side)
     edges = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
     if width:
         # Nodes of one wide fingerprint are one for the walk.
-        of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of")), "wide")
-        twin = nodes.join(of_wide, "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
-        prints = of_wide.select(F.col("of").alias("node"), "wide")
+        of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of"), F.min_by("size", "node").alias("size"), F.min_by("bands", "node").alias("bands")), "wide")
+        twin = nodes.join(of_wide.select("wide", "of"), "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
+        each = of_wide.select(F.col("of").alias("node"), "size", "wide", "bands")
         edges = edges.unionByName(twin)
-        pairs = written(wide_links(prints.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
+        pairs = written(wide_links(each.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
         edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
     labels = components(written(edges, "links"))
     if width:
-        # The prefix join only has to link what the first pass has not: a dense group is one label by now.
-        known = written(prints.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "wide"), "known")
-        pairs = written(prefix_pairs(known, texts, least, wide_shingle), "pairs")
-        more = similar(pairs.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
+        # The second pass only has to link what the first one has not: a dense group is one label by now.
+        known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
+        pairs = with_share(written(band_pairs(known, least), "candidates"), known, width)
+        pairs = written(pairs.where((F.col("share") <= _LOOSE_SHARE) | (F.col("least_size") < _LEAST_SKETCHED)).select("a", "b", F.lit(1.0).alias("share")), "pairs")
+        more = similar(pairs, texts, least, wide_shingle)
         tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
         labels = components(written(tree.unionByName(more), "links"))
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
-    return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, fp, wide)
+    return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, prints)
 
 
-def _with_both(docs: DataFrame, text_col: str, fp: str, wide: str, shingle: int, wide_shingle: int, width: int, seed: int) -> DataFrame:
-    """docs and both fingerprints of its texts, in one pass: a second one would take a second Python worker a task."""
+def _with_prints(docs: DataFrame, text_col: str, name: str, shingle: int, wide_shingle: int, width: int, seed: int) -> DataFrame:
+    """docs and a column of its texts' fingerprints, shingle counts and bands, in one pass over the texts."""
     from pyspark.sql import types as T
 
     at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType()), T.StructField(wide, T.ArrayType(T.LongType()))])
+    long, longs = T.LongType(), T.ArrayType(T.LongType())
+    kind = T.StructType([T.StructField("fp", long), T.StructField("size", T.IntegerType()), T.StructField("wide", longs), T.StructField("bands", longs)])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 some = batch.slice(k, 1000)
                 texts = some.column(at).to_pylist()
-                fps = pa.array(np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64).view(np.int64))
-                prints = pa.array([wide_fingerprint(t, wide_shingle, width, seed) for t in texts], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*some.columns, fps, prints], names=schema.fieldNames())
+                fps, sizes, wides, bands = [], [], [], []
+                for t in texts:
+                    fps.append(fingerprint(t, shingle, seed))
+                    hashes = _shingle_hashes(t, wide_shingle, seed) if width else np.empty(0, np.uint64)
+                    sizes.append(len(hashes))
+                    wides.append(_wide_of(hashes, width))
+                    bands.append(band_keys(hashes))
+                columns = [pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(wides, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.StructArray.from_arrays(columns, names=["fp", "size", "wide", "bands"])], names=schema.fieldNames())
 
     return docs.mapInArrow(add, schema)
 
