@@ -1,15 +1,18 @@
 """Main text of HTML pages from flat text blocks.
 
 A page becomes a flat list of text blocks: runs of text between block-level tags, without markup,
-scripts, styles and form controls. Each block has its word count and link density, those of its
-neighbours, and where it stands (within an article or main element; within an element that its tag,
-role, class or id marks as page furniture). A decision tree, grown at first use from the small table
-LABELLED below, tells main text from the rest.
+scripts, styles and form controls. A decision tree tells main text from the rest by a block's word count and
+link density, those of the blocks before and after it, its tag, and two marks of where it stands: within an
+article or main element, and within an element that its tag, role, class or id names as page furniture. The
+tree is grown at first use from the labelled blocks of the small pages in html_labels.py. A name that only
+contains a word of page furniture (share-price, related-work) is a weak mark, and then size, density and
+neighbours decide, as they do on pages that mark no article.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined in
-page order by one line feed; nothing else is dropped or capped. Null and empty pages: empty text.
-Repeated rows keep a row each. An empty table gives no rows; other columns are ignored. Broken markup
-(unclosed tags, comments, quotes) is read to the page's end without failing.
+page order by one line feed; nothing else is dropped or capped. Null and empty pages: empty text. Very long
+pages are read whole, in time that grows with their length. Repeated rows keep a row each. An empty table
+gives no rows; other columns are ignored. Broken markup (unclosed tags, comments, quotes) is read to the
+page's end without failing.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import table
+from tessera.llm.html_labels import PAGES
 
 #: Elements whose content is never text of the page.
 HIDDEN = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "select", "textarea", "button", "head")
@@ -37,14 +41,23 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are page furniture by their tag.
 FURNITURE_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
-#: Words in class, id, role or aria-label that mark page furniture.
+#: Words of names (class, id, role, aria-label) that mark page furniture.
 FURNITURE_WORDS = frozenset(
-    """ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies discussion disclaimer
-    disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination pager popup promo promoted promotion related
-    replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets complementary alert
-    responses feedback login topbar navigationbar""".split()
+    """ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disclaimer
+    disqus footer gdpr masthead menu modal nav navbar navigation navigationbar newsletter notice notification pagination pager popup promo promoted
+    promotion replies reply respond sidebar signup sponsor sponsored subscribe subscription toolbar topbar widget widgets complementary alert login""".split()
+)
+#: Words that mark it weakly when they stand alone.
+WEAK_WORDS = frozenset("header related search share sharing social skip discussion responses feedback".split())
+#: Words that name what furniture is laid out in; a name of these and of furniture words is a full mark.
+LAYOUT_WORDS = frozenset(
+    """box wrapper wrap container list section block area slot bar item items button buttons link links post posts article articles inner outer content form
+    panel top bottom left right page site global primary secondary mobile desktop sticky fixed reader readers user users icons tools unit placeholder group
+    row col column main story stories entry div block web privacy policy""".split()
 )
 MAIN_WORDS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre figcaption".split())
 #: Open tags that end where another of their kind begins.
 _ENDED_BY = {"p": BLOCK, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr",)), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "option": frozenset(("option",))}
 
@@ -56,7 +69,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_MARKS = re.compile(r"""(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_MARKS = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*(?:"[^"]*display\s*:\s*none|'[^']*display\s*:\s*none))""", re.IGNORECASE)
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -65,7 +78,10 @@ class Block(NamedTuple):
     text: str
     words: int
     link_words: int
+    #: The block's tag: 2 for a heading, 1 for a paragraph, 0 for others.
+    kind: int
     main: int
+    #: 2: in page furniture; 1: a name around it has a word of furniture; 0: neither.
     furniture: int
 
 
@@ -75,21 +91,37 @@ class _Open(NamedTuple):
     furniture: int
     link: int
     hidden: int
+    kind: int = 0
+
+
+def _weight(words: list[str]) -> int:
+    """How far a name's words mark page furniture: 2 fully, 1 weakly, 0 not."""
+    strong = sum(w in FURNITURE_WORDS for w in words)
+    weak = sum(w in WEAK_WORDS for w in words)
+    if not strong and not weak:
+        return 0
+    layout = sum(w in LAYOUT_WORDS for w in words)
+    return 2 if strong + weak + layout == len(words) and (strong or len(words) > 1) else 1
 
 
 def _marked(tag: str, attributes: str, main: int) -> tuple[int, int]:
-    """(opens main text, opens page furniture) for a start tag."""
-    words: set[str] = set()
+    """(opens main text, how far it opens page furniture) for a start tag."""
+    furniture, named_main = 0, False
     if attributes and ("=" in attributes or "hidden" in attributes):
-        for groups in _MARKS.findall(attributes):
-            for name in groups:
-                words.update(p.lower() for p in _NAME_PARTS.findall(name))
         if _HIDDEN_ATTRIBUTE.search(attributes):
-            return 0, 1
-    furniture = tag in FURNITURE_TAGS or not words.isdisjoint(FURNITURE_WORDS)
-    if tag in ("body", "html", "article", "main") or tag == "header" and main and words.isdisjoint(FURNITURE_WORDS):
-        furniture = tag == "article" and bool(words & FURNITURE_WORDS & {"comment", "reply", "ad", "advert", "promo", "related", "sponsored"})
-    return int((tag in ("article", "main") or not words.isdisjoint(MAIN_WORDS)) and not furniture), int(furniture)
+            return 0, 2
+        for attribute, *values in _MARKS.findall(attributes):
+            for name in values:
+                # A label is one phrase; the others are lists of names.
+                for part in [name] if attribute.lower() == "aria-label" else name.split():
+                    words = [p.lower() for p in _NAME_PARTS.findall(part)]
+                    furniture = max(furniture, _weight(words))
+                    named_main = named_main or not MAIN_WORDS.isdisjoint(words)
+    if tag in ("body", "html"):
+        return int(named_main), 0
+    if tag in FURNITURE_TAGS and not (tag == "header" and main):
+        return 0, 2
+    return int((tag in ("article", "main") or named_main) and furniture < 2), furniture
 
 
 def blocks(page: str) -> list[Block]:
@@ -105,7 +137,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             words = html.unescape("".join(parts)).split() if any("&" in p for p in parts) else "".join(parts).split()
             if words:
-                found.append(Block(" ".join(words), len(words), min(linked, len(words)), top.main, top.furniture))
+                found.append(Block(" ".join(words), len(words), min(linked, len(words)), top.kind, top.main, top.furniture))
             parts.clear()
         linked = 0
 
@@ -151,7 +183,8 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/"):
             continue
         main, furniture = _marked(tag, attributes, top.main)
-        stack.append(_Open(tag, int(top.main or main), int(top.furniture or furniture), int(top.link or tag == "a"), int(top.hidden or tag in HIDDEN)))
+        kind = 2 if tag in HEADINGS else 1 if tag in PARAGRAPHS else top.kind if tag not in BLOCK else 0
+        stack.append(_Open(tag, int(top.main or main), max(top.furniture, furniture), int(top.link or tag == "a"), int(top.hidden or tag in HIDDEN), kind))
         top = stack[-1]
     if at < len(page):
         take(page[at:])
@@ -159,57 +192,30 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-#: Features of a block, in this order. zone: 2 in marked main text; 1 unmarked, on a page that marks
-#: no main text; 0 in page furniture, or outside the main text that the page marks.
-FEATURES = ("zone", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")
-
-#: Hand-labelled blocks: the features above, then 1 for main text.
-LABELLED = (
-    # Pages with an article element: its blocks, whatever their size.
-    (2, 8, 0.0, 12, 0.0, 60, 0.0, 1),
-    (2, 1, 0.0, 9, 0.0, 80, 0.0, 1),
-    (2, 1, 0.0, 70, 0.0, 6, 0.0, 1),
-    (2, 240, 0.0, 8, 0.0, 90, 0.0, 1),
-    (2, 75, 0.1, 30, 0.0, 0, 0.0, 1),
-    (2, 4, 1.0, 50, 0.0, 60, 0.0, 1),
-    (2, 2, 0.0, 2, 1.0, 2, 0.0, 1),
-    (2, 33, 0.0, 1, 0.0, 9, 0.2, 1),
-    # The same pages outside it.
-    (0, 14, 0.0, 1, 1.0, 8, 0.0, 0),
-    (0, 45, 0.0, 6, 0.0, 5, 0.0, 0),
-    (0, 3, 1.0, 3, 1.0, 2, 1.0, 0),
-    (0, 9, 0.2, 64, 0.0, 0, 0.0, 0),
-    # Page furniture, inside or outside an article.
-    (0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (0, 17, 0.0, 1, 1.0, 9, 0.0, 0),
-    (0, 12, 0.0, 40, 0.0, 0, 0.0, 0),
-    (0, 25, 0.0, 70, 0.0, 3, 0.0, 0),
-    (0, 4, 1.0, 66, 0.0, 4, 1.0, 0),
-    (0, 80, 0.0, 5, 0.0, 60, 0.0, 0),
-    (0, 2, 1.0, 2, 1.0, 3, 1.0, 0),
-    (0, 30, 0.0, 2, 1.0, 40, 0.0, 0),
-    (0, 60, 0.0, 80, 0.0, 0, 0.0, 0),
-    # Pages that mark no main text: link density first, then size, then the neighbours.
-    (1, 90, 0.0, 7, 0.0, 70, 0.0, 1),
-    (1, 42, 0.1, 90, 0.0, 55, 0.0, 1),
-    (1, 25, 0.0, 60, 0.0, 3, 1.0, 1),
-    (1, 18, 0.0, 2, 1.0, 40, 0.0, 1),
-    (1, 7, 0.0, 3, 1.0, 90, 0.0, 1),
-    (1, 6, 0.0, 80, 0.0, 70, 0.0, 1),
-    (1, 3, 0.0, 60, 0.0, 45, 0.1, 1),
-    (1, 8, 0.0, 50, 0.0, 4, 0.0, 1),
-    (1, 2, 0.0, 2, 1.0, 2, 1.0, 0),
-    (1, 5, 0.0, 4, 1.0, 3, 1.0, 0),
-    (1, 6, 0.0, 3, 0.0, 2, 0.0, 0),
-    (1, 2, 1.0, 3, 1.0, 2, 1.0, 0),
-    (1, 4, 0.8, 5, 1.0, 90, 0.0, 0),
-    (1, 20, 0.9, 70, 0.0, 20, 0.8, 0),
-    (1, 35, 0.6, 4, 1.0, 6, 1.0, 0),
-    (1, 3, 1.0, 60, 0.0, 3, 1.0, 0),
-)
+#: Features of a block, in this order. place: 1 within marked main text, -1 outside it on a page that marks
+#: some, 0 on a page that marks none. kind and furniture as in Block.
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "kind", "place", "furniture")
+
+
+def features(found: list[Block]) -> list[tuple]:
+    """The features of a page's blocks."""
+    marks_main = any(b.main and b.furniture < 2 for b in found)
+    none = (0, 0.0)
+    size = [none, *((b.words, b.link_words / b.words) for b in found), none]
+    return [(*size[k + 1], *size[k], *size[k + 2], b.kind, 1 if b.main else -1 if marks_main else 0, b.furniture) for k, b in enumerate(found)]
+
 
+def labelled() -> tuple:
+    """Features of the labelled pages' blocks, then 1 for main text; a block's first character, + or -, is its label."""
+    rows = []
+    for page in PAGES:
+        found = blocks(page)
+        # The label is written onto the first word, so it changes no count.
+        rows += [(*f, int(b.text[0] == "+")) for f, b in zip(features(found), found, strict=True)]
+    return tuple(rows)
 
-def grow(rows: tuple, depth: int = 6):
+
+def grow(rows: tuple, depth: int = 8):
     """A decision tree: 0 or 1, or (feature, threshold, tree if value <= threshold, tree if above)."""
     ones = sum(r[-1] for r in rows)
     if depth == 0 or ones in (0, len(rows)):
@@ -236,7 +242,7 @@ def grow(rows: tuple, depth: int = 6):
 
 @lru_cache(maxsize=1)
 def tree():
-    return grow(LABELLED)
+    return grow(labelled())
 
 
 def is_main(features: tuple, node=None) -> bool:
@@ -249,11 +255,7 @@ def is_main(features: tuple, node=None) -> bool:
 
 def main_blocks(found: list[Block]) -> list[Block]:
     """The blocks that the tree takes for main text."""
-    has_main = any(b.main and not b.furniture for b in found)
-    none = (0, 0.0)
-    size = [none, *((b.words, b.link_words / b.words) for b in found), none]
-    zone = [0 if b.furniture else 2 if b.main else 0 if has_main else 1 for b in found]
-    return [b for k, b in enumerate(found) if is_main((zone[k], *size[k + 1], *size[k], *size[k + 2]))]
+    return [b for b, f in zip(found, features(found), strict=True) if is_main(f)]
 
 
 def main_text(page: str | None) -> str:
