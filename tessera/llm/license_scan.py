@@ -10,8 +10,15 @@ one of any set of words that makes up more than 1 - least of the template, so wi
 of the template's rarest such words are aligned, and nothing is missed however often a notice repeats.
 A text without enough of a template's words is passed over before that.
 
-Nulls and empty texts: no words, no license. Repeated rows keep a row each. An empty table gives no rows;
-other columns are ignored. Between templates of equal coverage the longer one, then the first name, wins.
+Licenses share most of their wording. So for each template the words are known that it does not share
+with a like one of another license (its version, NC or ND, Lesser, its name), and these must be aligned,
+all of them where they are few. What is found then competes for its words: of two notices that overlap, the
+one with more aligned words stands, then the better covered, then the shorter one; a span has one license.
+
+Nulls and empty texts: no words, no license. Very long texts are read whole, in time that grows with their
+length and with the places of a template's rarest words. Repeated rows keep a row each. An empty table gives
+no rows; other columns are ignored. The license reported first is the best covered one; between templates of
+equal coverage the longer one, then the first name.
 """
 
 from __future__ import annotations
@@ -19,41 +26,18 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import id_and_text, table
+from tessera.llm.license_texts import TEMPLATES
 
-#: Wordings of public licenses' notices (fixed values).
-TEMPLATES = {
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
-        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required
-        by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
-        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
-    ),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
-        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
-    ),
-    "MIT": (
-        "Released under the MIT License.",
-        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
-        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
-        persons to whom the Software is furnished to do so, subject to the following conditions.""",
-    ),
-}
 _WORD = re.compile(r"\w+(?:[.\-]\w+)*")
 
 
@@ -107,52 +91,126 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-@lru_cache(maxsize=1)
-def _prepared() -> tuple:
-    return tuple((name, tuple(w), frozenset(w)) for name, texts in TEMPLATES.items() for w in (words(t) for t in texts))
+class Template(NamedTuple):
+    license: str
+    words: tuple[str, ...]
+    kinds: frozenset[str]
+    #: For each like template of another license: the places of the words that tell this one apart.
+    apart: tuple[frozenset[int], ...]
 
+    def told_apart(self, places: set[int]) -> bool:
+        """If the aligned places hold what tells the template apart: all of up to _FEW words, _MOST of more."""
+        return all(len(a & places) >= (len(a) if len(a) <= _FEW else _MOST * len(a)) for a in self.apart)
 
-def scan(w: list[str], least: float = 0.8) -> list[tuple[str, float, int, int, int]]:
-    """For a text's words: (license, coverage, first word, end word, template words) of each license with a template covered to
-    at least ``least``, by its best covered one."""
+
+_FEW, _MOST = 8, 0.8
+#: Templates are alike if one covers this share of the other.
+_ALIKE = 0.6
+
+
+def prepared(texts: dict[str, tuple[str, ...]]) -> tuple[Template, ...]:
+    """Templates with the words that tell each from those of other licenses."""
+    split = [(name, tuple(words(t))) for name, some in sorted(texts.items()) for t in some]
+    out = []
+    for name, w in split:
+        shared: dict[str, set[int]] = {}  # for each license with a like template: the places that its templates have too
+        for other in {o for o, _ in split if o != name}:
+            aligned = [{i for i, _ in align(list(w), list(v))} for o, v in split if o == other]
+            if max(map(len, aligned)) >= _ALIKE * len(w):
+                shared[other] = set().union(*aligned)
+        apart = {frozenset(range(len(w))) - places for places in shared.values()} - {frozenset()}
+        out.append(Template(name, w, frozenset(w), tuple(sorted(apart, key=sorted))))
+    return tuple(out)
+
+
+@lru_cache(maxsize=4)
+def _default(more: str | None = None) -> tuple[Template, ...]:
+    return prepared(TEMPLATES | (full_texts(more) if more else {}))
+
+
+def full_texts(folder: str) -> dict[str, tuple[str, ...]]:
+    """Full texts of licenses from a folder: a file each, named after the license, with or without .txt. Notices of
+    TEMPLATES under the same name stay."""
+    out = {}
+    for path in sorted(Path(folder).iterdir()):
+        if path.is_file():
+            name = path.name.removesuffix(".txt")
+            out[name] = (*TEMPLATES.get(name, ()), path.read_text(encoding="utf-8", errors="replace"))
+    return out
+
+
+class Hit(NamedTuple):
+    license: str
+    coverage: float
+    first: int
+    end: int
+    size: int
+    aligned: int
+
+
+def _at(w: list[str], start: int, stop: int, t: Template, least: float) -> Hit | None:
+    """The template in a window of the text's words, if it is covered and told apart there."""
+    pairs = align(w[start:stop], list(t.words))
+    size = len(t.words)
+    if not pairs or len(pairs) < least * size - 1e-9 or not t.told_apart({j for _, j in pairs}):
+        return None
+    return Hit(t.license, len(pairs) / size, start + pairs[0][0], start + pairs[-1][0] + 1, size, len(pairs))
+
+
+def standing(hits: Iterable[Hit]) -> list[Hit]:
+    """The hits that stand when those over the same words compete: more aligned words first, then coverage."""
+    out: list[Hit] = []
+    starts: list[int] = []  # of those that stand; they overlap by less than half of the shorter one
+    for h in sorted(set(hits), key=lambda h: (-h.aligned, -h.coverage, h.end - h.first, h.license, h.first)):
+        k = bisect_left(starts, h.first)
+        near = out[max(0, k - 3) : k + 3]
+        if all(2 * (min(h.end, o.end) - max(h.first, o.first)) <= min(h.end - h.first, o.end - o.first) for o in near):
+            starts.insert(k, h.first)
+            out.insert(k, h)
+    return out
+
+
+def scan(w: list[str], least: float = 0.8, templates: tuple[Template, ...] | None = None) -> list[Hit]:
+    """The license notices among a text's words, in order: each covered to at least ``least`` by one template."""
     if not w:
         return []
-    there, places, best = set(w), None, {}
-    for name, template, kinds in _prepared():
-        size = len(template)
-        common = kinds & there
-        if len(common) < len(kinds) and sum(x in common for x in template) < least * size - 1e-9:
-            continue
+    templates = _default() if templates is None else templates
+    there, places, hits = set(w), None, []
+    for t in templates:
+        size = len(t.words)
+        common = t.kinds & there
+        if len(common) < len(t.kinds):
+            if sum(x in common for x in t.words) < least * size - 1e-9 or not t.told_apart({k for k, x in enumerate(t.words) if x in common}):
+                continue
         if places is None:
-            wanted = frozenset().union(*(t[2] for t in _prepared()))
+            wanted = frozenset().union(*(x.kinds for x in templates))
             places = {}
             for k, x in enumerate(w):
                 if x in wanted:
                     places.setdefault(x, []).append(k)
         # The rarest words whose template places make up more than 1 - least.
         probes, held = [], 0
-        count = Counter(template)
-        for x in sorted(kinds, key=lambda x: (len(places.get(x, ())), x)):
+        count = Counter(t.words)
+        for x in sorted(t.kinds, key=lambda x: (len(places.get(x, ())), x)):
             probes.append(x)
             held += count[x]
             if held > (1 - least) * size + 1e-9:
                 break
         slack = size // 2 + 1
-        windows = {(max(0, p - o - slack), p - o + size + slack) for x in probes for o, y in enumerate(template) if y == x for p in places.get(x, ())}
-        for start, stop in sorted(windows):
-            pairs = align(w[start:stop], list(template))
-            found = (len(pairs) / size, size, -start)
-            if pairs and found[0] >= least - 1e-9 and (name not in best or found > best[name][0]):
-                best[name] = (found, start + pairs[0][0], start + pairs[-1][0] + 1)
-    return [(name, f[0], first, end, f[1]) for name, (f, first, end) in sorted(best.items())]
+        # A window around the notice bears words that were put in; one of its own length bears neighbours like it.
+        starts = {p - o for x in probes for o, y in enumerate(t.words) if y == x for p in places.get(x, ())}
+        windows = {(max(0, at - m), max(0, at + size + m)) for at in starts for m in (0, slack)}
+        hits += [h for start, stop in sorted(windows) if (h := _at(w, start, stop, t, least))]
+    return standing(hits)
 
 
 _FOUND = "doc_id long, n_words long, license string, coverage double, first_word long, end_word long, n_licenses long, licenses string"
 
 
-def scan_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
+def scan_documents(docs: DataFrame, least: float = 0.8, folder: str | None = None) -> DataFrame:
     """For each row of docs (columns doc_id and text) the best covered license, the words it spans, and all
-    licenses found, sorted and comma-joined."""
+    licenses found, sorted and comma-joined. folder: full texts to look for too, a file a license (see full_texts)."""
+    templates = _default(folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [k.split()[0] for k in _FOUND.split(", ")]
@@ -161,9 +219,10 @@ def scan_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 w = words(text)
-                found = scan(w, least)
-                top = min(found, key=lambda f: (-f[1], -f[4], f[0])) if found else (None, None, None, None, None)
-                rows.append((doc_id, len(w), *top[:4], len(found), ",".join(f[0] for f in found)))
+                found = scan(w, least, templates)
+                top = min(found, key=lambda h: (-h.coverage, -h.size, h.license, h.first))[:4] if found else (None,) * 4
+                every = sorted({h.license for h in found})
+                rows.append((doc_id, len(w), *top, len(every), ",".join(every)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
