@@ -1,21 +1,23 @@
 """Token ids in files of word-aligned Simple-8b codes.
 
-Format of a shard (all numbers little-endian):
-  magic "TS8B", version u16, reserved u16, documents u32, ids u64, block size u32, blocks u32, words u64
+Format of a shard file (all binary numbers little-endian):
+  head, _HEAD_BYTES of ASCII, filled up with spaces: "TS8B 2", then documents, ids, block size, blocks, words,
+    the shard's partition, its number there and the ids of the partition before it
   doc_ids i64[documents], null flags u8[documents], document lengths u32[documents]
-  first word of each block u32[blocks], words u64[words], crc32 of all before u32
+  first word of each block u32[blocks], words u64[words], crc32 of all before u32, one line feed
 A word's top four bits select how many values it holds and how wide they are; selector 15 is the
 escape: the next word is one raw 64-bit value. Blocks of ``block size`` ids start on a word of their
 own, so they decode apart from one another and are encoded side by side with numpy.
 
-A dataset is a table of shards (part, shard, documents, ids, payload), written by Spark's committed
-Parquet writer: it lands on any file system Spark knows and a lost executor leaves no half-written
-shard. Documents stand in ascending doc_id order, nulls first, ties ordered by the text's hash.
+A dataset is a folder of such files. Spark's committed text writer puts them there, one shard a file: its value
+is the shard's bytes, which it writes as they are, and the line feed is its own. So shards land on any file system
+Spark knows, and a lost executor leaves no half-written one. They are read back as binary files; the head is
+text so that native expressions read what the prefix sums need. Documents stand in ascending doc_id order, nulls
+first, ties ordered by the text's hash. Texts are encoded whole, however long.
 """
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.llm.common import id_and_text, partition_bases, scratch_root, table
 from tessera.llm.token_ids import default_tokenizer, encoder
@@ -32,8 +33,7 @@ from tessera.llm.token_ids import default_tokenizer, encoder
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 ESCAPE = 15
-_HEAD = struct.Struct("<4sHHIQIIQ")
-_MAGIC = b"TS8B"
+_MAGIC, _HEAD_BYTES = b"TS8B 2 ", 128
 
 
 def encode_blocks(values: np.ndarray, block_size: int = 1024) -> tuple[np.ndarray, np.ndarray]:
@@ -143,12 +143,13 @@ def decode_blocks(words: np.ndarray, first_words: np.ndarray, n: int, block_size
     return out
 
 
-def dump_shard(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, block_size: int = 1024) -> bytes:
+def dump_shard(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, block_size: int = 1024, part: int = 0, shard: int = 0, before: int = 0) -> bytes:
     """The bytes of a shard file."""
     words, first = encode_blocks(ids, block_size)
+    head = _MAGIC + b" ".join(b"%d" % n for n in (len(doc_ids), len(ids), block_size, len(first), len(words), part, shard, before))
     body = b"".join(
         (
-            _HEAD.pack(_MAGIC, 1, 0, len(doc_ids), len(ids), block_size, len(first), len(words)),
+            head.ljust(_HEAD_BYTES),
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             np.array([d is None for d in doc_ids], "u1").tobytes(),
             np.asarray(lengths, "<u4").tobytes(),
@@ -156,17 +157,17 @@ def dump_shard(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray,
             words.astype("<u8").tobytes(),
         )
     )
-    return body + zlib.crc32(body).to_bytes(4, "little")
+    return body + zlib.crc32(body).to_bytes(4, "little") + b"\n"
 
 
 def load_shard(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """(doc_ids, lengths, ids) of a shard file; ValueError if it is damaged."""
-    if len(payload) < _HEAD.size + 4 or zlib.crc32(payload[:-4]) != int.from_bytes(payload[-4:], "little"):
+    if len(payload) < _HEAD_BYTES + 5 or zlib.crc32(memoryview(payload)[:-5]) != int.from_bytes(payload[-5:-1], "little"):
         raise ValueError("damaged shard")
-    magic, version, _, n_docs, n_ids, block_size, n_blocks, n_words = _HEAD.unpack_from(payload)
-    if magic != _MAGIC or version != 1:
+    if not payload.startswith(_MAGIC):
         raise ValueError("unknown shard format")
-    at, parts = _HEAD.size, []
+    n_docs, n_ids, block_size, n_blocks, n_words = map(int, payload[len(_MAGIC) : _HEAD_BYTES].split()[:5])
+    at, parts = _HEAD_BYTES, []
     for kind, count in (("<i8", n_docs), ("u1", n_docs), ("<u4", n_docs), ("<u4", n_blocks), ("<u8", n_words)):
         parts.append(np.frombuffer(payload, kind, count, at))
         at += parts[-1].nbytes
@@ -174,17 +175,6 @@ def load_shard(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return [None if z else i for i, z in zip(ids.tolist(), nulls.tolist(), strict=True)], lengths, decode_blocks(words, first, n_ids, block_size)
 
 
-_SHARDS = T.StructType(
-    [
-        T.StructField("part", T.IntegerType()),
-        T.StructField("shard", T.IntegerType()),
-        T.StructField("documents", T.LongType()),
-        T.StructField("before", T.LongType()),
-        T.StructField("ids", T.LongType()),
-        T.StructField("payload", T.BinaryType()),
-    ]
-)
-_SHARD_NAMES = [f.name for f in _SHARDS.fields]
 #: Chunks that a worker's encoder remembers here: more than by default, as this job runs alone and its time is short.
 ENCODER_ENTRIES = 1_000_000
 #: Ids after which a shard is closed; a longer document makes a shard of its own.
@@ -206,13 +196,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         def close() -> pa.RecordBatch:
             nonlocal size, before, shard
             lengths = np.array([len(x) // 4 for x in held], np.uint32)
-            payload = dump_shard(doc_ids, lengths, np.frombuffer(b"".join(held), "<u4"), block_size)
-            row = [part, shard, len(doc_ids), before, size, payload]
+            payload = dump_shard(doc_ids, lengths, np.frombuffer(b"".join(held), "<u4"), block_size, part, shard, before)
             before, shard, size = before + size, shard + 1, 0
             doc_ids.clear()
             held.clear()
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=_SHARD_NAMES)
+            return pa.RecordBatch.from_arrays([pa.array([payload[:-1]], pa.binary())], names=["payload"])  # the writer ends it
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -228,13 +216,15 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
 
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shards, _SHARDS).write.option("compression", "none").parquet(path)
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shards, "payload binary").select(F.col("payload").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the shards under path, and with
     with_ids the ids themselves (array<int>); start counts the ids of all documents before it."""
-    shards = spark.read.schema(_SHARDS).parquet(path)
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
+    head = F.split(F.substring("content", len(_MAGIC) + 1, _HEAD_BYTES - len(_MAGIC)).cast("string"), " ")
+    shards = files.select(head[1].cast("long").alias("ids"), head[5].cast("int").alias("part"), head[7].cast("long").alias("before"), "content")
     bases = partition_bases(shards.groupBy("part").agg(F.sum("ids").alias("total")))
     kinds = [("doc_id", "long"), ("place", "long"), ("n_tokens", "long"), ("ids_crc32", "long"), *([("ids", "array<int>")] if with_ids else []), ("base", "long")]
 
@@ -253,7 +243,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
                 cols.append(pa.array([base] * len(doc_ids), pa.int64()))
                 yield pa.RecordBatch.from_arrays(cols, names=[k for k, _ in kinds])
 
-    out = shards.join(F.broadcast(bases), "part").select("base", "before", "payload").mapInArrow(decode, ", ".join(" ".join(k) for k in kinds))
+    out = shards.join(F.broadcast(bases), "part").select("base", "before", "content").mapInArrow(decode, ", ".join(" ".join(k) for k in kinds))
     return out.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 

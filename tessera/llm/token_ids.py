@@ -3,7 +3,9 @@
 A byte-level BPE file splits a text into pre-tokens before merging, and no pre-token crosses the
 start of a " word". A text whose words are parted by single spaces or line feeds therefore has
 the ids of its chunks (" word", or a line feed and its word) one after another. Each distinct
-chunk is encoded once and remembered; a text with any other white space is encoded whole.
+chunk is encoded once and remembered; a text with any other white space, or with the string of a token
+that the file adds to its vocabulary, is encoded whole. Ids are those of the library's own encode() of the
+whole text, whatever its length.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ import os
 import sys
 from array import array
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 
@@ -25,13 +28,14 @@ _BYTE_LEVEL = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def load_tokenizer(path: str):
-    """The tokenizer in the file at path; strings of special tokens in a text are ordinary text."""
+def load_tokenizer(path: str, special_as_text: bool = False):
+    """The tokenizer in the file at path. The library takes the string of a special token in a text for that token;
+    special_as_text makes it ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
     return tokenizer
 
 
@@ -74,8 +78,9 @@ class _Chunks(dict):
 class ChunkEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, entries: int | None = None):
-        self._tokenizer, self._entries = load_tokenizer(path), entries or MEMORY_ENTRIES
+    def __init__(self, path: str, entries: int | None = None, special_as_text: bool = False):
+        self._tokenizer, self._entries = load_tokenizer(path, special_as_text), entries or MEMORY_ENTRIES
+        self._added = tuple(t.content for t in self._tokenizer.get_added_tokens_decoder().values())
         self._known = known = _Chunks(self._tokenizer)
         # Chunk by chunk encoding needs a line feed that is a token of its own, and byte-level letters.
         parts = (known.whole("a"), known.line_feed, known.letters("\u00c3\u00a9"), known.letters("\u0120b"))
@@ -99,7 +104,7 @@ class ChunkEncoder:
         get = known.__getitem__
         out = []
         for text in texts:
-            chunks = self._chunks(text) if text and self._chunked else None
+            chunks = self._chunks(text) if text and self._chunked and not any(a in text for a in self._added) else None
             if chunks:
                 out.append(b"".join(map(get, chunks)))
             else:
@@ -110,14 +115,10 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, int | None], ChunkEncoder] = {}
-
-
+@lru_cache(maxsize=None)
 def encoder(path: str, entries: int | None = None) -> ChunkEncoder:
     """One encoder for each Python worker, file and size of memory."""
-    if (path, entries) not in _ENCODERS:
-        _ENCODERS[path, entries] = ChunkEncoder(path, entries)
-    return _ENCODERS[path, entries]
+    return ChunkEncoder(path, entries)
 
 
 def default_tokenizer() -> str:

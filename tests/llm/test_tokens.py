@@ -2,14 +2,20 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from tessera.llm import packing, simple8b, token_ids
 from tests.llm.samples import documents, frame
 
 
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def plain_ids(rows, end):
-    tok = token_ids.load_tokenizer(token_ids.default_tokenizer())
+    tok = library()
     return [(i, tok.encode(t or "", add_special_tokens=False).ids + [end]) for i, t, *_ in rows]
 
 
@@ -52,10 +58,14 @@ def test_pack_of_nothing(spark):
 
 
 def test_chunked_ids_are_the_library_s():
-    tok = token_ids.load_tokenizer(token_ids.default_tokenizer())
+    tok = library()
     rng = random.Random(3)
     alphabet = "ab É'!.,\n  \tñ1²½日_-# ́sted"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["<|endoftext|>", "a <|endoftext|> b", "one\n<|endoftext|>two", "<|endoftext", "x<|endoftext|><|endoftext|> y z"]
+    assert tok.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+    as_text = token_ids.ChunkEncoder(token_ids.default_tokenizer(), special_as_text=True).encode(["<|endoftext|>"])
+    assert len(as_text[0]) > 4 and any("<|endoftext|>" in r[1] for r in documents() if r[1])
     got = token_ids.ChunkEncoder(token_ids.default_tokenizer()).encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
@@ -74,7 +84,8 @@ def test_damaged_shard_is_noticed():
     payload = bytearray(simple8b.dump_shard([1, None], np.array([2, 1]), np.array([7, 8, 9])))
     ids, lengths, values = simple8b.load_shard(bytes(payload))
     assert ids == [1, None] and lengths.tolist() == [2, 1] and values.tolist() == [7, 8, 9]
-    payload[20] ^= 1
+    assert payload.startswith(b"TS8B 2 2 3 1024 1 ") and payload[-1:] == b"\n"
+    payload[140] ^= 1
     with pytest.raises(ValueError):
         simple8b.load_shard(bytes(payload))
 
@@ -83,6 +94,8 @@ def test_ids_by_files(spark, tmp_path):
     rows = documents()
     path = str(tmp_path / "ids")
     simple8b.write_ids(frame(spark, rows), path)
+    files = [p for p in (tmp_path / "ids").iterdir() if p.name.startswith("part-")]
+    assert sum(len(simple8b.load_shard(p.read_bytes())[0]) for p in files if p.stat().st_size) == len(rows)
     got = sorted(simple8b.read_ids(spark, path, with_ids=True).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i))
     at, want = 0, {}
