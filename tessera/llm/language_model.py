@@ -1,22 +1,27 @@
 """Log-probabilities of whole texts by a weighted backoff automaton over words.
 
-Model: a word bigram with Dirichlet smoothing towards an absolutely discounted unigram,
-  P(w | h) = (c(h, w) + K p(w)) / (c(h) + K),   p(w) = (c(w) - D) / N,   p(unknown) = D V / N
-over N training tokens of V kinds, D = n1 / (n1 + 2 n2) from the kinds seen once and twice. As an
-automaton each history is a state with an arc for every word seen after it, weight P(w | h), and a
-failure arc of weight K / (c(h) + K) to the one state without history, whose arcs are p. The end of a
-text is a token; its state is where the next text starts. A text is read once, left to right: the state
-is carried, and the weights of the arcs taken are summed up.
+Model: a word trigram, each order smoothed towards the one below (Dirichlet), the lowest discounted absolutely:
+  P3(w | u v) = (c(u v w) + K3 P2(w | v)) / (c(u v) + K3),   P2(w | v) = (c(v w) + K2 P1(w)) / (c(v) + K2),
+  P1(w) = (c(w) - D) / N,   P1(unknown) = D V / N
+over N training tokens of V kinds, D = n1 / (n1 + 2 n2) from the kinds seen once and twice. As an automaton
+each known history of two, one or no words is a state. A state has an arc for every word seen after its history,
+with the probability as its weight, to the state of the longest known history that ends in that word; its failure
+arc leads to the state of the history without its first word, with weight K / (c(history) + K). The end of a text
+is a token, and the state after it, of the end alone, is where a text starts. A text is read once, left to right:
+where the state has no arc for the next word, failure arcs are followed until one has; weights are added up.
 
 No count leaves out a document, and no table of all n-grams meets one task. Texts become chunks of about
-CHUNK_TOKENS tokens with numbers for their words; each chunk asks for the corpus counts of its distinct
-words and bigrams. Counts are summed up in buckets by the n-grams' hashes (a chunk names an n-gram once,
-so a frequent one is no hot key), the sums go back to the chunks that asked, and a chunk is scored with
-the part of the automaton that its own texts can reach. N-grams are told apart by 64-bit hashes.
-
-Null and empty texts are the end token alone. Repeated rows and repeated ids count and score row by
-row; a null id counts as the empty text in the choice of training rows. Without training rows every
-probability is 1. An empty table gives no rows; other columns are ignored.
+CHUNK_TOKENS tokens with numbers for their words; each chunk asks for the corpus counts of its distinct words,
+pairs and triples. Counts are summed up in buckets by the n-grams' hashes (a chunk names an n-gram once, so a
+frequent one is no hot key), the sums go back to the chunks that asked, and a chunk is scored with the part of the
+automaton that its own texts can reach. Buckets hold about BUCKET_BYTES and shuffles have as many partitions as
+that takes, so tasks stay as large whatever the input. What a chunk asks of a bucket is one row, and there is none
+if it asks nothing, so rows never outnumber the chunks' n-grams. N-grams are told apart by _HASH_BYTES bytes of a hash.
+
+Null and empty texts are the end token alone. A text longer than a chunk is not cut: it ends the chunk that it
+joins, which is larger by that much. Repeated rows and repeated ids count and score row by row; a null id counts as
+the empty text in the choice of training rows. Without training rows every probability is 1. An empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,15 +36,18 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import id_and_text, remainder, table, written
 
-#: Tokens of a chunk; a longer text is a chunk of its own.
-CHUNK_TOKENS = 2_000_000
-#: Bytes of n-gram requests that a bucket should hold, estimated from the size of the chunks.
-BUCKET_BYTES = 16 << 20
+#: Tokens after which a chunk is closed.
+CHUNK_TOKENS = 1_000_000
+#: Bytes of requests that a bucket should hold, and of a token's requests, on average.
+BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 12
+#: Bytes of an n-gram's hash that are sent.
+_HASH_BYTES = 7
 #: The end token among words, which hold no line feed.
 _END = b"\n"
+_KINDS = ("words", "pairs", "triples")
 _CHUNKS = "chunk long, n_tokens long, docs binary, ids binary, words binary"
-_ASKED = "bucket int, chunk long, words binary, word_counts binary, pairs binary, pair_counts binary"
-_TOTALS = "chunk long, bucket int, words binary, pairs binary, n long, v long, once long, twice long"
+_ASKED = "bucket int, chunk long, words binary, words_n binary, pairs binary, pairs_n binary, triples binary, triples_n binary"
+_TOTALS = "chunk long, bucket int, words binary, pairs binary, triples binary, n long, v long, once long, twice long"
 
 
 def _arrow(values: list, kinds: str) -> pa.RecordBatch:
@@ -94,8 +102,17 @@ def chunks(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(read, _CHUNKS)
 
 
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of their beginnings and last words."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + ((second << np.uint64(31)) | (second >> np.uint64(33)))
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
 class Chunk:
-    """A chunk's texts and its distinct words and pairs."""
+    """A chunk's texts and its distinct words, pairs and triples. A pair's code is (number of its first word) * V + number
+    of its second, a triple's (place of its first two words among the pairs) * V + number of its last."""
 
     def __init__(self, docs: bytes, ids: bytes, words: bytes):
         d = np.frombuffer(docs, np.int64).reshape(-1, 4)
@@ -103,30 +120,20 @@ class Chunk:
         self.ids = np.frombuffer(ids, np.int32).astype(np.int64)
         self.words = np.frombuffer(words, np.uint64)
         self.starts = np.cumsum(self.lengths) - self.lengths
+        v, trains = len(self.words), np.repeat(self.trains, self.lengths)
         before = np.concatenate([[0], self.ids[:-1]])  # each text starts in the state that the end token leads to
-        codes = before * len(self.words) + self.ids
-        in_training = np.repeat(self.trains, self.lengths)
-        self.word_counts = np.bincount(self.ids[in_training], minlength=len(self.words))
-        both = np.sort(codes * 2 + in_training)
-        first = np.flatnonzero(np.concatenate([[True], (both[1:] >> 1) != (both[:-1] >> 1)]))
-        self.pairs = both[first] >> 1  # distinct, ascending
-        self.pair_counts = np.add.reduceat(both & 1, first)
-        self._codes = codes
-
-    def steps(self) -> np.ndarray:
-        """For each token, the number of the pair of the state before it and itself."""
-        order = np.argsort(self._codes)
-        ordered = self._codes[order]
-        out = np.empty(len(order), np.int64)
-        out[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        return out
-
-    def pair_hashes(self) -> np.ndarray:
-        h, w = self.words[self.pairs // len(self.words)], self.words[self.pairs % len(self.words)]
-        x = h * np.uint64(0x9E3779B97F4A7C15) + ((w << np.uint64(31)) | (w >> np.uint64(33)))
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        return x ^ (x >> np.uint64(32))
+        self.pairs, pair = np.unique(before * v + self.ids, return_inverse=True)
+        later = np.ones(len(self.ids), bool)
+        later[self.starts] = False  # a text's first word has one word before it, the end
+        third = np.flatnonzero(later)
+        self.triples, triple = np.unique(pair[third - 1] * v + self.ids[third], return_inverse=True)
+        count = lambda which, of, n: np.bincount(which[of], minlength=n)
+        self.counts = (count(self.ids, trains, v), count(pair, trains, len(self.pairs)), count(triple, trains[third], len(self.triples)))
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v = len(self.words)
+        pairs = _mixed(self.words[self.pairs // v], self.words[self.pairs % v])
+        return self.words, pairs, _mixed(pairs[self.triples // v], self.words[self.triples % v] ^ np.uint64(0x94D049BB133111EB))
 
 
 def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +143,16 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
     return order, np.searchsorted(of[order], np.arange(buckets + 1))
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - _HASH_BYTES :].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _HASH_BYTES, 8), np.uint8)
+    out[:, 8 - _HASH_BYTES :] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH_BYTES)
+    return out.view("<u8").ravel()
+
+
 def _narrow(counts: np.ndarray) -> bytes:
     """Counts in as many bytes each as the largest needs: 1, 2, 4 or 8, named by the first byte."""
     kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if not len(counts) or counts.max() <= np.iinfo(k).max)
@@ -153,65 +170,92 @@ def totals(asked_of: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for number, docs, ids, words in zip(*(batch.column(c).to_pylist() for c in ("chunk", "docs", "ids", "words")), strict=True):
                 c = Chunk(docs, ids, words)
-                hashes = c.pair_hashes()
-                (wo, wb), (po, pb) = _by_bucket(c.words, buckets), _by_bucket(hashes, buckets)
-                for b in range(buckets):
-                    w, p = wo[wb[b] : wb[b + 1]], po[pb[b] : pb[b + 1]]
-                    if len(w) or len(p):
-                        yield _arrow([b, number, c.words[w].tobytes(), _narrow(c.word_counts[w]), hashes[p].tobytes(), _narrow(c.pair_counts[p])], _ASKED)
+                kinds = [(h, n, *_by_bucket(h, buckets)) for h, n in zip(c.hashes(), c.counts, strict=True)]
+                asked = sum(np.diff(bounds) for _, _, _, bounds in kinds)
+                for b in np.flatnonzero(asked).tolist():
+                    row = [b, number]
+                    for h, n, order, bounds in kinds:
+                        mine = order[bounds[b] : bounds[b + 1]]
+                        row += [_packed(h[mine]), _narrow(n[mine])]
+                    yield _arrow(row, _ASKED)
 
     def add(group: pa.Table) -> pa.Table:
         rows = group.to_pydict()
         back, stats = {}, [0, 0, 0, 0]
-        for kind in ("word", "pair"):
-            keys = [np.frombuffer(k, np.uint64) for k in rows[f"{kind}s"]]
-            counts = np.concatenate([_wide(c) for c in rows[f"{kind}_counts"]])
+        for kind in _KINDS:
+            keys = [_unpacked(k) for k in rows[kind]]
+            counts = np.concatenate([_wide(c) for c in rows[f"{kind}_n"]])
             kinds, which = np.unique(np.concatenate(keys), return_inverse=True)
             sums = np.bincount(which, counts, len(kinds)).astype(np.int64)
-            if kind == "word":
+            if kind == "words":
                 stats = [int(sums.sum()), int((sums > 0).sum()), int((sums == 1).sum()), int((sums == 2).sum())]
             of_row = np.split(sums[which], np.cumsum([len(k) for k in keys])[:-1])
             back[kind] = [_narrow(x) for x in of_row]
         n = len(rows["chunk"])
         once = lambda v: pa.array([v] + [0] * (n - 1), pa.int64())  # noqa: E731  a bucket's own figures, in one of its rows
-        cols = [pa.array(rows["chunk"], pa.int64()), pa.array(rows["bucket"], pa.int32()), pa.array(back["word"], pa.binary()), pa.array(back["pair"], pa.binary()), *map(once, stats)]
+        cols = [pa.array(rows["chunk"], pa.int64()), pa.array(rows["bucket"], pa.int32()), *(pa.array(back[k], pa.binary()) for k in _KINDS), *map(once, stats)]
         return pa.Table.from_arrays(cols, names=[k.split()[0] for k in _TOTALS.split(", ")])
 
-    return asked_of.mapInArrow(ask, _ASKED).groupBy("bucket").applyInArrow(add, _TOTALS)
+    return asked_of.mapInArrow(ask, _ASKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, _TOTALS)
 
 
 class Automaton:
-    """The part of the model that a chunk's texts can reach. States are word numbers (0, the end token, is
-    where a text starts), arcs the distinct pairs of a state and a word read there."""
-
-    def __init__(self, word_totals: np.ndarray, pairs: np.ndarray, pair_totals: np.ndarray, model: dict, smoothing: float):
-        n, v, d = model["n"], model["v"], model["discount"]
-        p = (word_totals - d) / n if n else np.ones(len(word_totals))
-        p = np.where(word_totals > 0, p, d * v / n if n else 1.0)
-        self.unigram = np.log10(p)
-        self.failure = np.log10(smoothing / (word_totals + smoothing))
-        state, word = pairs // len(word_totals), pairs % len(word_totals)
-        # A pair that training has seen is the state's own arc; any other takes the failure arc, then the unigram's.
-        own = np.log10((pair_totals + smoothing * p[word]) / (word_totals[state] + smoothing))
-        self.arcs = np.where(pair_totals > 0, own, self.failure[state] + self.unigram[word])
-
-    def traverse(self, steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The summed weight of each text's path; steps are the pairs taken, left to right."""
-        return np.add.reduceat(self.arcs[steps], starts)
+    """The part of the model that a chunk's texts can reach.
+
+    States: 0 has no history, 1 + w that of word w, 1 + V + k that of pair k. Word 0 is the end of a text.
+    """
+
+    def __init__(self, pairs: np.ndarray, triples: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], model: dict, smoothing: tuple[float, float]):
+        ones, twos, threes = counts
+        n, v, d, size = model["n"], model["v"], model["discount"], len(ones)
+        k2, k3 = smoothing
+        p1 = np.where(ones > 0, (ones - d) / n, d * v / n) if n else np.ones(size)
+        head, last = pairs // size, pairs % size
+        p2 = (twos + k2 * p1[last]) / (ones[head] + k2)
+        begin, end = triples // size, triples % size
+        # A triple's last two words are a pair of the chunk too.
+        inner = np.minimum(np.searchsorted(pairs, last[begin] * size + end), max(len(pairs) - 1, 0))
+        p3 = (threes + k3 * p2[inner]) / (twos[begin] + k3)
+        self.size, self.start = size, 1 if ones[0] else 0
+        # Failure arcs, by state; the state without history has none.
+        self.failure = np.concatenate([[0], np.zeros(size, np.int64), np.where(ones[last] > 0, 1 + last, 0)]).tolist()
+        self.failure_weight = np.log10(np.concatenate([[1.0], k2 / (ones + k2), k3 / (twos + k3)])).tolist()
+        # Arcs of all words from the first state, of seen pairs and of seen triples from the others. An arc leads to
+        # the longest history that is known; after the end of a text that is the end alone.
+        one = np.where(ones > 0, 1 + np.arange(size), 0)
+        two = np.where(last == 0, one[0], np.where(twos > 0, 1 + size + np.arange(len(pairs)), one[last]))
+        seen2, seen3 = twos > 0, threes > 0
+        keys = np.concatenate([np.arange(size), (1 + head[seen2]) * size + last[seen2], (1 + size + begin[seen3]) * size + end[seen3]])
+        self.weight = np.log10(np.concatenate([p1, p2[seen2], p3[seen3]])).tolist()
+        self.target = np.concatenate([one, two[seen2], two[inner[seen3]]]).tolist()
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
+
+    def read(self, text: list[int]) -> float:
+        """The summed weight of a text's path, left to right; the words are the chunk's numbers."""
+        arc, weight, target, failure, failure_weight, size = self.arcs.get, self.weight, self.target, self.failure, self.failure_weight, self.size
+        state, total = self.start, 0.0
+        for word in text:
+            taken = arc(state * size + word)
+            while taken is None:
+                total += failure_weight[state]
+                state = failure[state]
+                taken = arc(state * size + word)
+            total += weight[taken]
+            state = target[taken]
+        return total
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: float = 200.0) -> DataFrame:
+def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: tuple[float, float] = (200.0, 20.0)) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs (columns
-    doc_id and text), learning from rows whose crc32(doc_id as text) mod 5 is not held_out_remainder."""
-    spark = docs.sparkSession
+    doc_id and text), learning from rows whose crc32(doc_id as text) mod 5 is not held_out_remainder. smoothing:
+    K2 and K3."""
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id")) != held_out_remainder).alias("trains"), F.col("text").cast("string").cast("binary").alias("text"))
     each = written(chunks(rows), "chunks")
-    # A token asks for a little over a word and a pair at most: about 12 bytes.
-    tokens = each.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens * 12 // BUCKET_BYTES), 1)
+    tokens, n_chunks = each.agg(F.sum("n_tokens"), F.count(F.lit(1))).first()
+    buckets = max(-(-(tokens or 0) * _TOKEN_BYTES // BUCKET_BYTES), 1)
     answered = written(totals(each, buckets), "totals")
     n, v, once, twice = (x or 0 for x in answered.agg(*[F.sum(c) for c in ("n", "v", "once", "twice")]).first())
     model = {"n": n, "v": v, "discount": once / (once + 2 * twice) if once and twice else 0.5}
@@ -221,27 +265,35 @@ def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: f
         model = json.loads(packed)
         row = left.to_pylist()[0]
         c = Chunk(row["docs"], row["ids"], row["words"])
-        of_words, of_pairs = np.zeros(len(c.words), np.int64), np.zeros(len(c.pairs), np.int64)
-        (wo, wb), (po, pb) = _by_bucket(c.words, buckets), _by_bucket(c.pair_hashes(), buckets)
-        for b, words, pairs in zip(*(right.column(k).to_pylist() for k in ("bucket", "words", "pairs")), strict=True):
-            of_words[wo[wb[b] : wb[b + 1]]] = _wide(words)
-            of_pairs[po[pb[b] : pb[b + 1]]] = _wide(pairs)
-        path = Automaton(of_words, c.pairs, of_pairs, model, smoothing).traverse(c.steps(), c.starts)
-        base = np.log10((of_words + 0.5) / (model["n"] + 0.5 * (model["v"] + 1)))
-        sums = [*(np.add.reduceat(x, c.starts) for x in ((of_words > 0)[c.ids].astype(np.int64), base[c.ids])), path]
+        counts = []
+        for kind, hashes in zip(_KINDS, c.hashes(), strict=True):
+            order, bounds = _by_bucket(hashes, buckets)
+            of = np.zeros(len(hashes), np.int64)
+            for b, raw in zip(right.column("bucket").to_pylist(), right.column(kind).to_pylist(), strict=True):
+                of[order[bounds[b] : bounds[b + 1]]] = _wide(raw)
+            counts.append(of)
+        automaton = Automaton(c.pairs, c.triples, tuple(counts), model, smoothing)
+        path = [automaton.read(c.ids[a : a + m].tolist()) for a, m in zip(c.starts.tolist(), c.lengths.tolist())]
+        base = np.log10((counts[0] + 0.5) / (model["n"] + 0.5 * (model["v"] + 1)))
+        known, base = (np.add.reduceat(x[c.ids], c.starts) for x in ((counts[0] > 0).astype(np.int64), base))
         cols = [
             pa.array(c.doc_ids, mask=c.null),
             pa.array(~c.trains),
             pa.array(c.lengths),
-            pa.array(sums[0]),
+            pa.array(known),
             pa.array(np.full(len(c.lengths), model["n"], np.int64)),
-            pa.array(sums[1]),
-            pa.array(sums[2]),
+            pa.array(base),
+            pa.array(path, pa.float64()),
         ]
         return pa.Table.from_arrays(cols, names=[k.split()[0] for k in _SCORES.split(", ")])
 
-    back = answered.select("chunk", "bucket", "words", "pairs")
-    return each.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(score, _SCORES)
+    # Each chunk with its answers, a few chunks a task.
+    parts, back = max(1, -(-n_chunks // _CHUNKS_A_TASK)), answered.select("chunk", "bucket", *_KINDS)
+    return each.repartition(parts, "chunk").groupBy("chunk").cogroup(back.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(score, _SCORES)
+
+
+#: Chunks that a task scores.
+_CHUNKS_A_TASK = 2
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

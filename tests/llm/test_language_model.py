@@ -14,24 +14,29 @@ def tokens(text):
     return [w for w in raw.translate(bytes(32 if 9 <= b <= 13 else b for b in range(256))).split(b" ") if w] + [None]
 
 
-def plain(rows, k=200.0):
+def plain(rows, k2=200.0, k3=20.0):
+    """The formula, not the automaton: counts of whole n-grams as tuples."""
     kept = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1
-    ones, twos = Counter(), Counter()
+    c = Counter()
     for i, t, *_ in rows:
         if kept(i):
-            w = tokens(t)
-            ones.update(w)
-            twos.update(zip([None, *w[:-1]], w))
+            w = [None, *tokens(t)]
+            c.update((x,) for x in w[1:])
+            c.update(zip(w, w[1:]))
+            c.update(zip(w, w[1:], w[2:]))
+    ones = {g[0]: n for g, n in c.items() if len(g) == 1}
     n, v = sum(ones.values()), len(ones)
     c1, c2 = (sum(x == y for x in ones.values()) for y in (1, 2))
     d = c1 / (c1 + 2 * c2) if c1 and c2 else 0.5
-    p = lambda w: ((ones[w] - d) / n if ones[w] else d * v / n) if n else 1.0
+    p1 = lambda w: ((ones[w] - d) / n if w in ones else d * v / n) if n else 1.0
+    p2 = lambda h, w: (c[h, w] + k2 * p1(w)) / (c[h,] + k2)
+    p3 = lambda g, h, w: (c[g, h, w] + k3 * p2(h, w)) / (c[g, h] + k3)
     out = []
     for i, t, *_ in rows:
-        w = tokens(t)
-        base = sum(math.log10((ones[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
-        score = sum(math.log10((twos[h, x] + k * p(x)) / (ones[h] + k)) for h, x in zip([None, *w[:-1]], w))
-        out.append((i, not kept(i), len(w), sum(ones[x] > 0 for x in w), n, base, score))
+        w = [None, *tokens(t)]
+        base = sum(math.log10((ones.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w[1:])
+        score = math.log10(p2(None, w[1])) + sum(math.log10(p3(*g)) for g in zip(w, w[1:], w[2:]))
+        out.append((i, not kept(i), len(w) - 1, sum(x in ones for x in w[1:]), n, base, score))
     return out
 
 
@@ -51,15 +56,38 @@ def test_against_brute_force(spark, monkeypatch, size):
     same(got, plain(rows))
 
 
-def test_probabilities_sum_to_one(spark):
-    """Over all words after each history, the unknown word once."""
-    totals = np.array([4, 3, 1, 1, 0])  # the last word is unknown
-    seen = {(0, 1): 4, (1, 2): 1, (1, 0): 2, (2, 3): 1, (3, 1): 1}
-    pairs = np.arange(25)
-    a = lm.Automaton(totals, pairs, np.array([seen.get(divmod(k, 5), 0) for k in range(25)]), {"n": 9, "v": 4, "discount": 0.6}, 2.0)
-    for h in range(5):
-        p = 10 ** a.traverse(np.arange(5 * h, 5 * h + 5), np.arange(5))
-        assert abs(p.sum() - 1) < 1e-9
+def test_probabilities_sum_to_one_in_every_state():
+    """Over all words after each history, the unknown word once; the state carried on is the longest known history."""
+    texts = [[1, 2, 3, 0], [1, 0], [1, 0], [2, 3, 1, 0]]  # word 0 ends a text, word 4 is unknown
+    size, ones, twos, threes = 5, Counter(), Counter(), Counter()
+    for t in texts:
+        ones.update(t)
+        twos.update(zip([0, *t], t))
+        threes.update(zip([0, *t], t, t[1:]))
+    pairs, triples = np.arange(size * size), np.arange(size**3)
+    counts = (np.array([ones[k] for k in range(size)]), np.array([twos[divmod(k, size)] for k in pairs]), np.array([threes[k // size**2, k // size % size, k % size] for k in triples]))
+    a = lm.Automaton(pairs, triples, counts, {"n": 12, "v": 4, "discount": 0.6}, (2.0, 1.5))
+    for state in [*range(1 + size), *(1 + size + k for k in pairs if k % size)]:
+        a.start = state
+        assert abs(sum(10 ** a.read([w]) for w in range(size)) - 1) < 1e-9
+    assert a.failure[1 + size + 1] == 2 and a.failure[2] == 0  # (0, 1) -> 1 -> no history
+    follow = lambda state, w: a.target[a.arcs[state * size + w]]
+    assert follow(1, 1) == 1 + size + 1 and follow(1 + size + 1, 2) == 1 + size + size + 2 and follow(1 + size + 1, 0) == 1 and follow(0, 4) == 0
+    a.start = 1
+    # After (0, 1) the word 1 was never seen, nor after 1: two failure arcs lead to the words alone.
+    p1 = (4 - 0.6) / 12
+    assert abs(10 ** a.read([1, 1]) - ((3 + 2 * p1) / 6) * (1.5 / 4.5) * (2 / 6) * p1) < 1e-12
+
+
+def test_chunks_and_buckets_do_not_matter(spark, monkeypatch):
+    rows = documents()
+    key = lambda r: (r.doc_id or -1, r.n_tokens, r.score)
+    found = []
+    for tokens_, bytes_ in ((10**6, 1 << 24), (100, 1 << 24), (300, 512)):
+        monkeypatch.setattr(lm, "CHUNK_TOKENS", tokens_)
+        monkeypatch.setattr(lm, "BUCKET_BYTES", bytes_)
+        found.append(sorted(lm.log_probabilities(frame(spark, rows)).collect(), key=key))
+    assert found[0] == found[1] == found[2]
 
 
 def test_no_training_rows_and_empty_table(spark):
