@@ -17,10 +17,11 @@ saves work: what it misses or drops is left to the second pass.
 Blocks that find nearly all pairs at 0.8 would be too short to tell texts apart in a large corpus. The second
 pass takes keys that do both: _BANDS keys of _BAND_ROWS min-hashes each of the shingles, of which a pair at a
 similarity of 0.8 shares none once in 13,000 times, at 0.85 once in a million. All pairs of a key's texts with
-different labels are compared by size and by 128 bits of the wide fingerprints, no pair of the key is left out
-and no run is cut; then on all 512 bits. Bits only rule a pair out where it differs in more of them than five
-deviations beyond a similarity of ``least`` (seven for the 128), and are not asked for texts of fewer than
-_LEAST_SKETCHED shingles. What is left is settled by the shingles themselves.
+different labels are compared by size and by 128 bits of the wide fingerprints; no pair of the key is left out.
+Bits only rule a pair out where it differs in more of them than four deviations beyond a similarity of 0.8, which at
+0.8 happens once in 30,000 times, and are not asked for texts of fewer than _LEAST_SKETCHED shingles. The members of a
+run that have such a partner then meet with their shingles, which settle all their pairs; no pairs are sent. Runs
+beyond _GROUP texts are split into groups in which any two of them meet.
 
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
 word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
@@ -294,7 +295,7 @@ def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) ->
 
 
 def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float) -> DataFrame:
-    """(a, b, share): links between the nodes of prints (node, label: long, size: int, wide: array of 64-bit words) by keys
+    """(a, b, share): links between the nodes of prints (node, label: long, wide: array of 64-bit words) by keys
     of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,27 +340,17 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
             yield of(*held)
 
     pairs = keyed.mapInArrow(walk, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return with_share(pairs, prints, width).where(F.col("share") <= max_share).select("a", "b", "share")
-
-
-def with_share(pairs: DataFrame, prints: DataFrame, width: int) -> DataFrame:
-    """(a, b, share, least_size) of pairs (a, b): the share of differing bits and the fewer shingles of the two;
-    prints: node, size, wide."""
-    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"), F.col("size").alias(f"s{n}"))
+    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"))
     differ = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share"), F.least("sa", "sb").alias("least_size"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
 
 
 #: Up to this share of 512 differing bits texts are similar beyond doubt (0.8 would be six deviations off).
 _SURE_SHARE = 0.05
 
 
-def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
-    """(a, b) of the pairs (a, b, share) whose texts (texts: node, text) have a Jaccard similarity of at least
-    ``least`` by their distinct shingles; only pairs beyond _SURE_SHARE are looked at. Sets are read by Python once
-    a text, and met row by row in the JVM, so no batch holds the sets of many long texts."""
-    doubtful = pairs.where(F.col("share") > _SURE_SHARE).select("a", "b")
-    wanted = doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def shingle_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, h): the distinct shingles' hashes, ascending, of the texts (node, text) whose nodes are wanted; written."""
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,7 +359,15 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> D
                 sets = [_shingle_hashes(t, shingle).view(np.int64) for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "h"])
 
-    sets = written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h array<long>"), "shingles")
+    return written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h array<long>"), "shingles")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """(a, b) of the pairs (a, b, share) whose texts (texts: node, text) have a Jaccard similarity of at least
+    ``least`` by their distinct shingles; only pairs beyond _SURE_SHARE are looked at. Sets are read by Python once
+    a text, and met row by row in the JVM, so no batch holds the sets of many long texts."""
+    doubtful = pairs.where(F.col("share") > _SURE_SHARE).select("a", "b")
+    sets = shingle_sets(texts, doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle)
     side = lambda n: sets.select(F.col("node").alias(n), F.col("h").alias(f"h{n}"))
     both = F.size(F.array_intersect("ha", "hb"))
     checked = doubtful.join(side("a"), "a").join(side("b"), "b").where(both >= F.lit(least) * (F.size("ha") + F.size("hb") - both) - 1e-9)
@@ -377,8 +376,8 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> D
 
 #: Keys of a text in the second pass, and the min-hashes that make up each.
 _BANDS, _BAND_ROWS = 24, 5
-#: Differing bits of 128, and share of 512, beyond which a pair is ruled out, and the shingles from which bits are asked.
-_LOOSE_BITS, _LOOSE_SHARE, _LEAST_SKETCHED = 48, 0.232, 32
+#: Differing bits of 128 beyond which a pair is ruled out, and the shingles from which bits are asked.
+_LOOSE_BITS, _LEAST_SKETCHED = 36, 32
 
 
 @lru_cache(maxsize=4)
@@ -402,12 +401,12 @@ def band_keys(hashes: np.ndarray, bands: int = _BANDS, rows: int = _BAND_ROWS) -
     return key.view(np.int64).tolist()
 
 
-def _run_pairs(label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of the pairs of one key's texts that have different labels and can have a similarity of ``least``."""
+def _run_pairs(label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, others, their differing bits): for the texts of one key, by place, those with a different label whose
+    similarity can be ``least``. A pair comes once, from either side."""
     kinds, of, count = np.unique(label, return_inverse=True, return_counts=True)
-    none, a, b = np.empty(0, np.int64), [], []
     if len(kinds) < 2:
-        return none, none
+        return
     # By size, so that a text's partners are a slice; pairs within the largest label are left out from the start.
     order = np.argsort(size, kind="stable")
     of, size, x, y = of[order], size[order], x[order], y[order]
@@ -420,15 +419,33 @@ def _run_pairs(label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray
         others = np.concatenate([others, large[np.searchsorted(large, i) : np.searchsorted(large, high[i])]])
         others = others[of[others] != of[i]]
         bits = np.bitwise_count(x[i] ^ x[others]).astype(np.int64) + np.bitwise_count(y[i] ^ y[others])
-        others = others[(bits <= _LOOSE_BITS) | (np.minimum(size[i], size[others]) < _LEAST_SKETCHED)]
-        if len(others):
-            a.append(np.full(len(others), order[i]))
-            b.append(order[others])
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+        good = (bits <= _LOOSE_BITS) | (np.minimum(size[i], size[others]) < _LEAST_SKETCHED)
+        if good.any():
+            yield int(order[i]), order[others[good]], bits[good]
+
 
+#: Texts of a key that are compared in one group; a longer run is split, and its parts meet two by two.
+_GROUP = 4096
 
-def band_pairs(known: DataFrame, least: float) -> DataFrame:
-    """(a, b): pairs of nodes with different labels that share a band and can have a similarity of ``least``.
+
+def _parts(n: int, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places): the places of a run of n, dealt over groups so that any two places share one."""
+    blocks = -(-n // _GROUP)
+    if blocks == 1:
+        yield 0, places
+        return
+    of = places // _GROUP
+    for b in range(blocks):
+        for c in range(b + 1, blocks):
+            mine = places[(of == b) | (of == c)]
+            if len(mine):
+                yield b * blocks + c, mine
+
+
+def band_runs(known: DataFrame, least: float, nearest: bool) -> DataFrame:
+    """What shares a band, has different labels and can have a similarity of ``least``. With nearest: (a, b), at most
+    one for each node and band, the nearest. Without: (key, part, node, label), the members of each key's run that have
+    such a partner, every such pair in one of the key's parts at least. Neither grows with the square of a run.
 
     known: node, label: long, size: int (shingles), wide: array of 64-bit words, bands: array of keys.
     """
@@ -437,30 +454,38 @@ def band_pairs(known: DataFrame, least: float) -> DataFrame:
     keyed = known.select("node", "label", "size", word(1).alias("x"), word(2).alias("y"), F.explode("bands").alias("key"))
     keyed = keyed.select("key", "node", "label", "size", "x", "y").repartition("key").sortWithinPartitions("key", "node")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 6
+    def run_rows(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[list[np.ndarray]]:
+        if nearest:
+            for i, others, bits in _run_pairs(label, size, x, y, least):
+                j = others[int(np.argmin(bits))]
+                yield [np.array([min(node[i], node[j])]), np.array([max(node[i], node[j])])]
+            return
+        near = np.zeros(len(node), bool)
+        for i, others, _ in _run_pairs(label, size, x, y, least):
+            near[i] = near[others] = True
+        for part, mine in _parts(len(node), np.flatnonzero(near)):
+            if len(mine) > 1:
+                yield [key[mine], np.full(len(mine), part), node[mine], label[mine]]
+
+    names = ["a", "b"] if nearest else ["key", "part", "node", "label"]
 
-        def of(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
-            x, y = x.view(np.uint64), y.view(np.uint64)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of(key: np.ndarray, *rest: np.ndarray) -> Iterator[pa.RecordBatch]:
+            columns = [key, *rest[:3], rest[3].view(np.uint64), rest[4].view(np.uint64)]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            lengths = np.diff(np.append(starts, len(key)))
-            a, b = [], []
-            for k in np.flatnonzero(lengths > 1).tolist():
-                run = slice(starts[k], starts[k] + lengths[k])
-                i, j = _run_pairs(label[run], size[run], x[run], y[run], least)
-                if len(i):
-                    a.append(node[run][i])
-                    b.append(node[run][j])
-                if sum(map(len, a)) > 100_000:
-                    yield pairs(a, b)
-                    a, b = [], []
-            yield pairs(a, b)
-
-        def pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+            ends, out = np.append(starts[1:], len(key)), []
+            for k in np.flatnonzero(ends - starts > 1).tolist():
+                out += run_rows(*(c[starts[k] : ends[k]] for c in columns))
+                if len(out) > 10_000:
+                    yield packed(out)
+                    out = []
+            yield packed(out)
+
+        def packed(out: list[list[np.ndarray]]) -> pa.RecordBatch:
             none = [np.empty(0, np.int64)]
-            a, b = np.concatenate(none + a), np.concatenate(none + b)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(none + [o[k] for o in out]).astype(np.int64)) for k in range(len(names))], names=names)
 
+        held = [np.empty(0, np.int64)] * 6
         for batch in batches:
             if batch.num_rows:
                 rows = [np.concatenate([h, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for h, c in zip(held, batch.columns, strict=True)]
@@ -472,7 +497,68 @@ def band_pairs(known: DataFrame, least: float) -> DataFrame:
         if len(held[0]):
             yield from of(*held)
 
-    return keyed.mapInArrow(compare, "a long, b long").distinct()
+    found = keyed.mapInArrow(compare, ", ".join(f"{n} long" for n in names))
+    return found.distinct() if nearest else found
+
+
+def _group_links(label: np.ndarray, sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Places of links that connect the labels of a group's texts whose similarity is ``least`` or more: of all such
+    pairs, those that join what no link before has joined."""
+    size = np.array([len(h) for h in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    kinds, which = np.unique(flat, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    holders, bounds = owner[order], np.searchsorted(which[order], np.arange(len(kinds) + 1))
+    starts, lengths = bounds[:-1], np.diff(bounds)
+    of = np.split(which, np.cumsum(size)[:-1])
+    tied = {int(v): int(v) for v in np.unique(label)}
+
+    def root(v: int) -> int:
+        while tied[v] != v:
+            tied[v] = v = tied[tied[v]]
+        return v
+
+    values, count = np.unique(label, return_counts=True)
+    largest, links_ = values[np.argmax(count)], []
+    for i in np.flatnonzero(label != largest).tolist():
+        n, first = lengths[of[i]], starts[of[i]]
+        # The holders of each of the text's shingles, one after another.
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+        both = np.bincount(holders[at], minlength=len(sets))
+        near = (both >= least * (size[i] + size - both) - 1e-9) & (label != label[i]) & (both > 0)
+        for j in np.flatnonzero(near).tolist():
+            p, q = root(int(label[i])), root(int(label[j]))
+            if p != q:
+                tied[p] = q
+                links_.append((i, j))
+    return links_
+
+
+def run_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): links between members (key, part, node, label) of one part whose sets (node, h) have a similarity of
+    ``least`` or more; as many as connect the part's labels."""
+    rows = members.join(sets, "node").select("key", "part", "node", "label", "h").repartition("key", "part").sortWithinPartitions("key", "part")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links_of(group: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+            node = np.array([g[0] for g in group], np.int64)
+            found = _group_links(np.array([g[1] for g in group], np.int64), [g[2] for g in group], least) if len(group) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array(node[[p[k] for p in found]]) if found else pa.array([], pa.int64()) for k in range(2)], names=["a", "b"])
+
+        group, at = [], None
+        for batch in batches:
+            h = batch.column(4)
+            values, offsets = h.values.to_numpy(), h.offsets.to_numpy()
+            for k, row in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
+                if row[:2] != at and group:
+                    yield links_of(group)
+                    group = []
+                at = row[:2]
+                group.append((row[2], row[3], values[offsets[k] : offsets[k + 1]].copy()))
+        if group:
+            yield links_of(group)
+
+    return rows.mapInArrow(verify, "a long, b long").distinct()
 
 
 def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterator[pa.RecordBatch]:
@@ -521,13 +607,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
     labels = components(written(edges, "links"))
     if width:
-        # The second pass only has to link what the first one has not: a dense group is one label by now.
-        known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
-        pairs = with_share(written(band_pairs(known, least), "candidates"), known, width)
-        pairs = written(pairs.where((F.col("share") <= _LOOSE_SHARE) | (F.col("least_size") < _LEAST_SKETCHED)).select("a", "b", F.lit(1.0).alias("share")), "pairs")
-        more = similar(pairs, texts, least, wide_shingle)
-        tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
-        labels = components(written(tree.unionByName(more), "links"))
+        # The second pass only has to link what the first one has not. Its first round takes each text's nearest partner
+        # of another label, so that groups are one label each before the second takes all pairs of different ones.
+        for nearest in (True, False):
+            known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
+            found = written(band_runs(known, least, nearest), "runs")
+            if nearest:
+                more = similar(found.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
+            else:
+                more = run_links(found, shingle_sets(texts, found.select("node").distinct(), wide_shingle), least)
+            tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
+            labels = components(written(tree.unionByName(more), "links"))
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
     return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, prints)
 

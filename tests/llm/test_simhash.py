@@ -255,14 +255,42 @@ def test_bands_of_similar_sets_meet():
 def test_pairs_of_a_key_are_all_compared():
     """No run is too long: a hub with texts that are near each other and far from it."""
     rng = np.random.default_rng(4)
+    pairs = lambda label, n, x, y: {(min(i, j), max(i, j)) for i, others, _ in simhash._run_pairs(label, np.full(n, 100), x, y, 0.8) for j in others.tolist()}
     for n in (3, 17, 400):
         x, y = rng.integers(0, 2**63, (2, n)).astype(np.uint64)
         x[2], y[2] = x[1] ^ np.uint64(15), y[1]  # a pair four bits apart
         x[0], y[0] = x[1] ^ np.uint64(2**28 - 1 << 20), y[1]  # a hub 28 bits from both
-        a, b = simhash._run_pairs(np.arange(n), np.full(n, 100), x, y, 0.8)
-        assert {(0, 1), (0, 2), (1, 2)} <= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
-        a, b = simhash._run_pairs(np.minimum(np.arange(n), 1), np.full(n, 100), x, y, 0.8)
-        assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())} >= {(0, 1), (0, 2)} and (1, 2) not in zip(a.tolist(), b.tolist())
+        assert {(0, 1), (0, 2), (1, 2)} <= pairs(np.arange(n), n, x, y)
+        got = pairs(np.minimum(np.arange(n), 1), n, x, y)
+        assert {(0, 1), (0, 2)} <= got and (1, 2) not in got
+
+
+def test_split_runs_meet(monkeypatch):
+    monkeypatch.setattr(simhash, "_GROUP", 10)
+    for n in (3, 10, 11, 57):
+        parts = dict(simhash._parts(n, np.arange(n)))
+        assert all(len(p) <= 20 for p in parts.values())
+        assert {(i, j) for p in parts.values() for i in p.tolist() for j in p.tolist()} == {(i, j) for i in range(n) for j in range(n)}
+
+
+def test_links_of_a_group_connect_what_is_similar():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        n = int(rng.integers(2, 25))
+        pool = rng.integers(-(2**63), 2**63, 60)
+        sets = [np.sort(rng.choice(pool[: int(rng.integers(30, 60))], int(rng.integers(20, 30)), replace=False)) for _ in range(n)]
+        sets = [sets[int(rng.integers(0, k + 1))] if rng.random() < 0.3 else s for k, s in enumerate(sets)]
+        label = rng.integers(0, n, n)
+
+        def joined(pairs):
+            of = label.tolist()
+            for i, j in pairs:
+                of = [of[i] if v == of[j] else v for v in of]
+            return [of.index(v) for v in of]
+
+        close = [(i, j) for i in range(n) for j in range(n) if len(np.intersect1d(sets[i], sets[j])) >= 0.5 * len(np.union1d(sets[i], sets[j])) - 1e-9]
+        got = simhash._group_links(label, sets, 0.5)
+        assert joined(got) == joined(close) and len(got) < len(set(label.tolist())) and set(got) <= set(close)
 
 
 def test_more_blocks_find_the_same_links(spark):
