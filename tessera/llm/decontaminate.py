@@ -8,7 +8,8 @@ is extended over the whole span and verified word by word: no hash decides alone
 
 Items shorter than a span are one window of their own; documents are probed for their whole length.
 Nulls, empty texts: no words, no hits, one row all the same. Repeated rows keep a row each; repeated
-items count once. Empty tables: no rows, or rows without hits. Other columns are ignored.
+items count once. An item without an id counts as one whose id is the empty text. Very long texts are probed
+whole, one probe for each kept k-gram. Empty tables: no rows, or rows without hits. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from tessera.llm.common import table, written
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words: ASCII but letters and digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: An index of benchmark spans up to this size (bytes in memory, estimated from its own rows) is broadcast; beyond it both sides are shuffled.
-BROADCAST_BYTES = 16 << 20
+#: An index of benchmark spans up to this size (bytes in memory, estimated from its own rows) is broadcast. Beyond it
+#: its hashes alone are, up to KEY_BYTES, so that only probes that hit one are shuffled; beyond that both sides are.
+BROADCAST_BYTES, KEY_BYTES = 16 << 20, 64 << 20
 
 
 def words_column(text: str = "text"):
@@ -55,7 +57,7 @@ def span_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
     """(m, h, j, span_words, items): each distinct span of the benchmark (m words; m < span: a whole
     short item), the hash it is found by, that hash's place in it, and the items that hold it."""
     w = span - k + 1
-    items = benchmark.select(F.col(id_col).cast("string").alias("item"), words_column(text_col).alias("words")).where("size(words) > 0")
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_column(text_col).alias("words")).where("size(words) > 0")
     long = _winnowed(items.where(f"size(words) >= {span}"), k, w).select(
         "item", F.expr(f"explode(transform(pick, (p, s) -> struct({span} as m, kh[p] as h, p - s as j, slice(words, s + 1, {span}) as span_words)))").alias("x")
     )
@@ -68,7 +70,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int = 4, keep:
     each verified occurrence) and items (ids, as strings, of the items with one, sorted as strings)."""
     w = span - k + 1
     index = written(span_index(benchmark, span=span, k=k), "spans")
-    shape = index.agg(F.sum(F.length(F.to_json("span_words")) + F.length(F.to_json("items")) + 200).alias("bytes"), F.collect_set(F.when(F.col("m") < span, F.col("m"))).alias("short")).first()
+    shape = index.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json("span_words")) + F.length(F.to_json("items")) + 200).alias("bytes"), F.collect_set(F.when(F.col("m") < span, F.col("m"))).alias("short")).first()
     keep = keep or []
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(c) for c in keep], F.lit(0).alias("none")).alias("kept"), words_column(text_col).alias("words"))
     rows = _winnowed(rows.withColumn("n_words", F.size("words")), k, w).withColumn("pick", F.array_distinct("pick"))
@@ -87,6 +89,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int = 4, keep:
     index = index.select(F.col("m").alias("im"), F.col("h").alias("ih"), "j", "span_words", "items")
     if (shape["bytes"] or 0) <= BROADCAST_BYTES:
         index = F.broadcast(index)
+    elif 64 * shape["n"] <= KEY_BYTES:
+        known = F.broadcast(index.select(F.col("im").alias("m"), F.col("ih").alias("h"), F.lit(True).alias("known")).distinct())
+        probes = probes.join(known, ["m", "h"], "left").where("p < 0 or known").drop("known")
     same = F.expr("case when p >= j and p - j >= c0 then slice(ctx, p - j - c0 + 1, m) = span_words else false end")
     found = probes.join(index, (F.col("m") == F.col("im")) & (F.col("h") == F.col("ih")) & same, "left").where("p < 0 or span_words is not null")
     spans = F.when(F.col("span_words").isNotNull(), F.struct((F.col("p") - F.col("j")).alias("s"), F.col("m").alias("l")))
@@ -118,19 +123,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 8, k: int =
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", span: int = 8, k: int = 4, min_items: int = 1) -> DataFrame:
     """docs without the rows that hold spans of min_items benchmark items or more; the same columns.
 
-    The verdict depends on the text alone, so it is carried by the text's digest, not by a row number.
+    The verdict depends on the text alone, so it is carried by the text's digest, not by a row number. The digests
+    of what goes are written and counted: up to BROADCAST_BYTES they are broadcast and no text is shuffled.
     """
     digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     keyed = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
-    bad = hits(keyed, benchmark, span, k, ["digest"]).where(F.size("items") >= min_items).select("digest").distinct()
+    bad = written(hits(keyed, benchmark, span, k, ["digest"]).where(F.size("items") >= min_items).select("digest").distinct(), "digests")
     mark = "__tessera_digest"
-    return docs.withColumn(mark, digest).join(bad.withColumnRenamed("digest", mark), mark, "left_anti").drop(mark)
+    gone = bad.withColumnRenamed("digest", mark)
+    if 100 * bad.count() <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
+    return docs.withColumn(mark, digest).join(gone, mark, "left_anti").drop(mark)
 
 
 def oracle_sql(span: int = 8, min_items: int = 2) -> str:
     """contamination() in DuckDB's SQL, by all windows in the place of fingerprints."""
     words = lambda c: f"regexp_extract_all(translate(coalesce({c}, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-    return f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {words("text")} AS w FROM benchmark),
+    return f"""WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words("text")} AS w FROM benchmark),
     bw AS (SELECT DISTINCT item, least(len(w), {span}) AS m, array_to_string(w[i:i + least(len(w), {span}) - 1], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {span - 2}, 2))) AS i FROM b WHERE len(w) > 0)),
     d AS (SELECT row_number() OVER () AS k, doc_id, {words("text")} AS w FROM documents),
     dw AS (SELECT k, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM (SELECT k, m, w, unnest(range(1, greatest(len(w) - m + 2, 1))) AS i FROM d, (SELECT DISTINCT m FROM bw))),

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from tessera.llm import decontaminate
 from tests.llm.samples import WORDS, documents, frame, text
 
@@ -17,7 +19,7 @@ def plain(docs, bench, span=8, least=2):
     for item, t in bench:
         w = words(t)
         for k in range(max(1, len(w) - span + 1)) if w else ():
-            windows.setdefault(tuple(w[k : k + span]), set()).add(str(item))
+            windows.setdefault(tuple(w[k : k + span]), set()).add("" if item is None else str(item))
     out = []
     for doc, t, *_ in docs:
         w, hit, items = words(t), set(), set()
@@ -42,7 +44,8 @@ def fixture():
         docs.append((300 + k, text(rng, 20) + part + " " + text(rng, 9), "en", 1, "x", 2.5))
     docs.append((400, " ".join(["rain"] * 30), "en", 1, "x", 2.5))
     bench.append((40, " ".join(["rain"] * 12)))
-    return docs, [b for b in bench if b[0] is not None]
+    docs.append((401, "says: no id but words that go on for eight, and then some", "en", 1, "x", 2.5))
+    return docs, bench
 
 
 def test_against_brute_force(spark):
@@ -53,13 +56,28 @@ def test_against_brute_force(spark):
     got = decontaminate.contamination(frame(spark, docs), table)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
     assert sum(w[3] for w in want) > 20
-    # The same by a shuffle of both sides.
-    bound, decontaminate.BROADCAST_BYTES = decontaminate.BROADCAST_BYTES, -1
-    try:
-        got = decontaminate.contamination(frame(spark, docs), table)
-        assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
-    finally:
-        decontaminate.BROADCAST_BYTES = bound
+
+
+@pytest.mark.parametrize("key_bytes", [decontaminate.KEY_BYTES, -1])
+def test_large_benchmarks(spark, monkeypatch, key_bytes):
+    """The same by the index's hashes first, and by a shuffle of both sides."""
+    docs, bench = fixture()
+    table = spark.createDataFrame([(*b, "x") for b in bench], "item_id long, text string, h string")
+    key = lambda x: tuple((v is not None, v) for v in x)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(decontaminate, "KEY_BYTES", key_bytes)
+    got = decontaminate.contamination(frame(spark, docs), table)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain(docs, bench), key=key)
+
+
+@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_BYTES, -1])
+def test_remove(spark, monkeypatch, bound):
+    docs, bench = fixture()
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bound)
+    left = decontaminate.remove(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string"))
+    key = lambda i: (i is not None, i)
+    assert left.columns == ["doc_id", "text", "lang", "row", "fp", "part"]
+    assert sorted((r.doc_id for r in left.collect()), key=key) == sorted((w[0] for w in plain(docs, bench) if not w[3]), key=key)
 
 
 def test_long_items_only(spark):
