@@ -11,12 +11,14 @@ is a token, and the state after it, of the end alone, is where a text starts. A
 where the state has no arc for the next word, failure arcs are followed until one has; weights are added up.
 
 No count leaves out a document, and no table of all n-grams meets one task. Texts become chunks of about
-CHUNK_TOKENS tokens with numbers for their words; each chunk asks for the corpus counts of its distinct words,
-pairs and triples. Counts are summed up in buckets by the n-grams' hashes (a chunk names an n-gram once, so a
-frequent one is no hot key), the sums go back to the chunks that asked, and a chunk is scored with the part of the
-automaton that its own texts can reach. Buckets hold about BUCKET_BYTES and shuffles have as many partitions as
-that takes, so tasks stay as large whatever the input. What a chunk asks of a bucket is one row, and there is none
-if it asks nothing, so rows never outnumber the chunks' n-grams. N-grams are told apart by _HASH_BYTES bytes of a hash.
+CHUNK_TOKENS tokens with numbers for their words; each chunk asks for the corpus counts of its distinct words and
+pairs, then of its triples. A pair that no other chunk has asked for is in no other chunk, so neither are the
+triples that hold it: their counts are known, and only other triples are asked for. Counts are summed up in
+buckets by the n-grams' hashes (a chunk names an n-gram once, so a frequent one is no hot key), the sums go back to
+the chunks that asked, and a chunk is scored with the part of the automaton that its own texts can reach. Buckets
+hold about BUCKET_BYTES and shuffles have as many partitions as that takes, so tasks stay as large whatever the
+input. What a chunk asks of a bucket is one row, and there is none if it asks nothing, so rows never outnumber the
+chunks' n-grams. N-grams of a bucket are told apart by _HASH_BYTES bytes of a hash.
 
 Null and empty texts are the end token alone. A text longer than a chunk is not cut: it ends the chunk that it
 joins, which is larger by that much. Repeated rows and repeated ids count and score row by row; a null id counts as
@@ -34,20 +36,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_and_text, remainder, table, written
+from tessera.llm.common import drop_written, id_and_text, remainder, table, written
 
 #: Tokens after which a chunk is closed.
 CHUNK_TOKENS = 1_000_000
 #: Bytes of requests that a bucket should hold, and of a token's requests, on average.
-BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 12
-#: Bytes of an n-gram's hash that are sent.
-_HASH_BYTES = 7
+BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 10
+#: Bytes of an n-gram's hash that are sent: the low ones, as the high ones choose the bucket. Two of a bucket's million
+#: or so share them once in a hundred million times.
+_HASH_BYTES = 6
 #: The end token among words, which hold no line feed.
 _END = b"\n"
-_KINDS = ("words", "pairs", "triples")
 _CHUNKS = "chunk long, n_tokens long, docs binary, ids binary, words binary"
-_ASKED = "bucket int, chunk long, words binary, words_n binary, pairs binary, pairs_n binary, triples binary, triples_n binary"
-_TOTALS = "chunk long, bucket int, words binary, pairs binary, triples binary, n long, v long, once long, twice long"
+_ASKED = "bucket int, chunk long, words binary, words_n binary, pairs binary, pairs_n binary"
+_COUNTED = "chunk long, docs binary, ids binary, words binary, ones binary, twos binary, asked array<struct<bucket int, triples binary, triples_n binary>>"
 
 
 def _arrow(values: list, kinds: str) -> pa.RecordBatch:
@@ -127,13 +129,22 @@ class Chunk:
         later[self.starts] = False  # a text's first word has one word before it, the end
         third = np.flatnonzero(later)
         self.triples, triple = np.unique(pair[third - 1] * v + self.ids[third], return_inverse=True)
+        # The pairs that a triple begins and ends with.
+        self.begin = self.triples // v
+        self.inner = np.searchsorted(self.pairs, self.pairs[self.begin] % v * v + self.triples % v)
         count = lambda which, of, n: np.bincount(which[of], minlength=n)
-        self.counts = (count(self.ids, trains, v), count(pair, trains, len(self.pairs)), count(triple, trains[third], len(self.triples)))
+        self.ones, self.twos, self.threes = count(self.ids, trains, v), count(pair, trains, len(self.pairs)), count(triple, trains[third], len(self.triples))
 
-    def hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words and the pairs."""
         v = len(self.words)
-        pairs = _mixed(self.words[self.pairs // v], self.words[self.pairs % v])
-        return self.words, pairs, _mixed(pairs[self.triples // v], self.words[self.triples % v] ^ np.uint64(0x94D049BB133111EB))
+        return self.words, _mixed(self.words[self.pairs // v], self.words[self.pairs % v])
+
+    def elsewhere(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the triples that can occur in other chunks: both of their pairs do."""
+        at = np.flatnonzero(shared[self.begin] & shared[self.inner])
+        last = self.words[self.triples[at] % len(self.words)] ^ np.uint64(0x94D049BB133111EB)
+        return at, _mixed(self.hashes()[1][self.begin[at]], last)
 
 
 def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +155,12 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _packed(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - _HASH_BYTES :].tobytes()
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
     out = np.zeros((len(raw) // _HASH_BYTES, 8), np.uint8)
-    out[:, 8 - _HASH_BYTES :] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH_BYTES)
+    out[:, :_HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH_BYTES)
     return out.view("<u8").ravel()
 
 
@@ -163,40 +174,80 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
-def totals(asked_of: DataFrame, buckets: int) -> DataFrame:
-    """For each chunk and bucket the corpus counts of what the chunk asked there, in the order it asked."""
+def ask(each: DataFrame, buckets: int) -> DataFrame:
+    """What each chunk asks of each bucket: its words and pairs there, and how often its training texts hold them."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, docs, ids, words in zip(*(batch.column(c).to_pylist() for c in ("chunk", "docs", "ids", "words")), strict=True):
                 c = Chunk(docs, ids, words)
-                kinds = [(h, n, *_by_bucket(h, buckets)) for h, n in zip(c.hashes(), c.counts, strict=True)]
-                asked = sum(np.diff(bounds) for _, _, _, bounds in kinds)
-                for b in np.flatnonzero(asked).tolist():
+                kinds = [(h, n, *_by_bucket(h, buckets)) for h, n in zip(c.hashes(), (c.ones, c.twos), strict=True)]
+                for b in np.flatnonzero(sum(np.diff(bounds) for _, _, _, bounds in kinds)).tolist():
                     row = [b, number]
                     for h, n, order, bounds in kinds:
                         mine = order[bounds[b] : bounds[b + 1]]
                         row += [_packed(h[mine]), _narrow(n[mine])]
                     yield _arrow(row, _ASKED)
 
+    return each.mapInArrow(rows, _ASKED)
+
+
+def totals(asked: DataFrame, kinds: tuple[str, ...], buckets: int) -> DataFrame:
+    """For each row of asked (bucket, chunk, and for each kind its hashes and counts) the corpus counts of what it names,
+    in its order, each doubled and one added if another chunk names it too; and in one row of each bucket the bucket's
+    figures of its first kind: tokens, kinds, and those seen once and twice."""
+    schema = "chunk long, bucket int, " + ", ".join(f"{k} binary" for k in kinds) + ", n long, v long, once long, twice long"
+
     def add(group: pa.Table) -> pa.Table:
         rows = group.to_pydict()
-        back, stats = {}, [0, 0, 0, 0]
-        for kind in _KINDS:
+        back, stats = [], None
+        for kind in kinds:
             keys = [_unpacked(k) for k in rows[kind]]
             counts = np.concatenate([_wide(c) for c in rows[f"{kind}_n"]])
-            kinds, which = np.unique(np.concatenate(keys), return_inverse=True)
-            sums = np.bincount(which, counts, len(kinds)).astype(np.int64)
-            if kind == "words":
-                stats = [int(sums.sum()), int((sums > 0).sum()), int((sums == 1).sum()), int((sums == 2).sum())]
-            of_row = np.split(sums[which], np.cumsum([len(k) for k in keys])[:-1])
-            back[kind] = [_narrow(x) for x in of_row]
+            found, which = np.unique(np.concatenate(keys), return_inverse=True)
+            sums = np.bincount(which, counts, len(found)).astype(np.int64)
+            stats = stats or [int(sums.sum()), int((sums > 0).sum()), int((sums == 1).sum()), int((sums == 2).sum())]
+            answer = 2 * sums + (np.bincount(which) > 1)
+            of_row = np.split(answer[which], np.cumsum([len(k) for k in keys])[:-1])
+            back.append(pa.array([_narrow(x) for x in of_row], pa.binary()))
         n = len(rows["chunk"])
-        once = lambda v: pa.array([v] + [0] * (n - 1), pa.int64())  # noqa: E731  a bucket's own figures, in one of its rows
-        cols = [pa.array(rows["chunk"], pa.int64()), pa.array(rows["bucket"], pa.int32()), *(pa.array(back[k], pa.binary()) for k in _KINDS), *map(once, stats)]
-        return pa.Table.from_arrays(cols, names=[k.split()[0] for k in _TOTALS.split(", ")])
+        once = [pa.array([v] + [0] * (n - 1), pa.int64()) for v in stats]
+        return pa.Table.from_arrays([pa.array(rows["chunk"], pa.int64()), pa.array(rows["bucket"], pa.int32()), *back, *once], names=[k.split()[0] for k in schema.split(", ")])
+
+    return asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, schema)
+
+
+def _answered(hashes: np.ndarray, buckets: int, numbers: list[int], counts: list[bytes]) -> np.ndarray:
+    """Corpus counts of n-grams from the answers of the buckets, as totals() gives them."""
+    order, bounds = _by_bucket(hashes, buckets)
+    out = np.zeros(len(hashes), np.int64)
+    for b, raw in zip(numbers, counts, strict=True):
+        out[order[bounds[b] : bounds[b + 1]]] = _wide(raw)
+    return out
+
+
+def counted(each: DataFrame, answers: DataFrame, buckets: int, parts: int) -> DataFrame:
+    """Chunks with the corpus counts of their words and pairs, and what they ask of each bucket about triples."""
+
+    def add(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        row, numbers = left.to_pylist()[0], right.column("bucket").to_pylist()
+        c = Chunk(row["docs"], row["ids"], row["words"])
+        ones, twos = (_answered(h, buckets, numbers, right.column(k).to_pylist()) for h, k in zip(c.hashes(), ("words", "pairs"), strict=True))
+        at, hashes = c.elsewhere(twos & 1 > 0)
+        order, bounds = _by_bucket(hashes, buckets)
+        asked = []
+        for b in np.flatnonzero(np.diff(bounds)).tolist():
+            mine = order[bounds[b] : bounds[b + 1]]
+            asked.append({"bucket": b, "triples": _packed(hashes[mine]), "triples_n": _narrow(c.threes[at[mine]])})
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("triples", pa.binary()), ("triples_n", pa.binary())]))
+        columns = [pa.array([row["chunk"]], pa.int64()), *(pa.array([v], pa.binary()) for v in (row["docs"], row["ids"], row["words"], _narrow(ones), _narrow(twos))), pa.array([asked], kind)]
+        return pa.Table.from_arrays(columns, names=["chunk", "docs", "ids", "words", "ones", "twos", "asked"])
+
+    return _with_answers(each, answers.select("chunk", "bucket", "words", "pairs"), parts).applyInArrow(add, _COUNTED)
+
 
-    return asked_of.mapInArrow(ask, _ASKED).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, _TOTALS)
+def _with_answers(each: DataFrame, answers: DataFrame, parts: int):
+    return each.repartition(parts, "chunk").groupBy("chunk").cogroup(answers.repartition(parts, "chunk").groupBy("chunk"))
 
 
 class Automaton:
@@ -205,16 +256,14 @@ class Automaton:
     States: 0 has no history, 1 + w that of word w, 1 + V + k that of pair k. Word 0 is the end of a text.
     """
 
-    def __init__(self, pairs: np.ndarray, triples: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], model: dict, smoothing: tuple[float, float]):
+    def __init__(self, c: Chunk, counts: tuple[np.ndarray, np.ndarray, np.ndarray], model: dict, smoothing: tuple[float, float]):
         ones, twos, threes = counts
         n, v, d, size = model["n"], model["v"], model["discount"], len(ones)
         k2, k3 = smoothing
         p1 = np.where(ones > 0, (ones - d) / n, d * v / n) if n else np.ones(size)
-        head, last = pairs // size, pairs % size
+        head, last = c.pairs // size, c.pairs % size
         p2 = (twos + k2 * p1[last]) / (ones[head] + k2)
-        begin, end = triples // size, triples % size
-        # A triple's last two words are a pair of the chunk too.
-        inner = np.minimum(np.searchsorted(pairs, last[begin] * size + end), max(len(pairs) - 1, 0))
+        begin, inner, end = c.begin, c.inner, c.triples % size
         p3 = (threes + k3 * p2[inner]) / (twos[begin] + k3)
         self.size, self.start = size, 1 if ones[0] else 0
         # Failure arcs, by state; the state without history has none.
@@ -223,7 +272,7 @@ class Automaton:
         # Arcs of all words from the first state, of seen pairs and of seen triples from the others. An arc leads to
         # the longest history that is known; after the end of a text that is the end alone.
         one = np.where(ones > 0, 1 + np.arange(size), 0)
-        two = np.where(last == 0, one[0], np.where(twos > 0, 1 + size + np.arange(len(pairs)), one[last]))
+        two = np.where(last == 0, one[0], np.where(twos > 0, 1 + size + np.arange(len(c.pairs)), one[last]))
         seen2, seen3 = twos > 0, threes > 0
         keys = np.concatenate([np.arange(size), (1 + head[seen2]) * size + last[seen2], (1 + size + begin[seen3]) * size + end[seen3]])
         self.weight = np.log10(np.concatenate([p1, p2[seen2], p3[seen3]])).tolist()
@@ -256,23 +305,25 @@ def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: t
     each = written(chunks(rows), "chunks")
     tokens, n_chunks = each.agg(F.sum("n_tokens"), F.count(F.lit(1))).first()
     buckets = max(-(-(tokens or 0) * _TOKEN_BYTES // BUCKET_BYTES), 1)
-    answered = written(totals(each, buckets), "totals")
-    n, v, once, twice = (x or 0 for x in answered.agg(*[F.sum(c) for c in ("n", "v", "once", "twice")]).first())
+    parts = max(1, -(-n_chunks // _CHUNKS_A_TASK))
+    answers = written(totals(ask(each, buckets), ("words", "pairs"), buckets), "totals")
+    n, v, once, twice = (x or 0 for x in answers.agg(*[F.sum(c) for c in ("n", "v", "once", "twice")]).first())
     model = {"n": n, "v": v, "discount": once / (once + 2 * twice) if once and twice else 0.5}
     packed = json.dumps(model)
+    known = written(counted(each, answers, buckets, parts), "counted")
+    drop_written(each, answers)
+    triples = known.select("chunk", F.explode("asked").alias("a")).select("a.bucket", "chunk", "a.triples", "a.triples_n")
+    answers = totals(triples, ("triples",), buckets).select("chunk", "bucket", "triples")
 
     def score(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         model = json.loads(packed)
         row = left.to_pylist()[0]
         c = Chunk(row["docs"], row["ids"], row["words"])
-        counts = []
-        for kind, hashes in zip(_KINDS, c.hashes(), strict=True):
-            order, bounds = _by_bucket(hashes, buckets)
-            of = np.zeros(len(hashes), np.int64)
-            for b, raw in zip(right.column("bucket").to_pylist(), right.column(kind).to_pylist(), strict=True):
-                of[order[bounds[b] : bounds[b + 1]]] = _wide(raw)
-            counts.append(of)
-        automaton = Automaton(c.pairs, c.triples, tuple(counts), model, smoothing)
+        ones, twos = _wide(row["ones"]), _wide(row["twos"])
+        at, hashes = c.elsewhere(twos & 1 > 0)
+        counts = (ones >> 1, twos >> 1, c.threes.copy())
+        counts[2][at] = _answered(hashes, buckets, right.column("bucket").to_pylist(), right.column("triples").to_pylist()) >> 1
+        automaton = Automaton(c, counts, model, smoothing)
         path = [automaton.read(c.ids[a : a + m].tolist()) for a, m in zip(c.starts.tolist(), c.lengths.tolist())]
         base = np.log10((counts[0] + 0.5) / (model["n"] + 0.5 * (model["v"] + 1)))
         known, base = (np.add.reduceat(x[c.ids], c.starts) for x in ((counts[0] > 0).astype(np.int64), base))
@@ -287,9 +338,7 @@ def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: t
         ]
         return pa.Table.from_arrays(cols, names=[k.split()[0] for k in _SCORES.split(", ")])
 
-    # Each chunk with its answers, a few chunks a task.
-    parts, back = max(1, -(-n_chunks // _CHUNKS_A_TASK)), answered.select("chunk", "bucket", *_KINDS)
-    return each.repartition(parts, "chunk").groupBy("chunk").cogroup(back.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(score, _SCORES)
+    return _with_answers(known.drop("asked"), answers, parts).applyInArrow(score, _SCORES)
 
 
 #: Chunks that a task scores.

@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -66,7 +67,8 @@ def test_probabilities_sum_to_one_in_every_state():
         threes.update(zip([0, *t], t, t[1:]))
     pairs, triples = np.arange(size * size), np.arange(size**3)
     counts = (np.array([ones[k] for k in range(size)]), np.array([twos[divmod(k, size)] for k in pairs]), np.array([threes[k // size**2, k // size % size, k % size] for k in triples]))
-    a = lm.Automaton(pairs, triples, counts, {"n": 12, "v": 4, "discount": 0.6}, (2.0, 1.5))
+    all_of = SimpleNamespace(pairs=pairs, triples=triples, begin=triples // size, inner=triples % size**2)
+    a = lm.Automaton(all_of, counts, {"n": 12, "v": 4, "discount": 0.6}, (2.0, 1.5))
     for state in [*range(1 + size), *(1 + size + k for k in pairs if k % size)]:
         a.start = state
         assert abs(sum(10 ** a.read([w]) for w in range(size)) - 1) < 1e-9
