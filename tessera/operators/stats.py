@@ -92,14 +92,15 @@ def token_value(column: str) -> Column:
     return F.col(column).try_cast("long")
 
 
-def token_sums(records: DataFrame, only_correct: bool = False, fields: tuple[str, ...] = TOKEN_FIELDS) -> DataFrame:
-    """One row: record_count, counted_records and, for each field, how many values it has and their sum.
+def token_sums(records: DataFrame, only_correct: bool = False, fields: tuple[str, ...] = TOKEN_FIELDS, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row, or one for each value of the columns by: record_count, counted_records and, for each field, how many
+    values it has and their sum.
 
     Counts and sums of parts add up to those of the whole, so increments can be merged.
     """
     counted = correct() if only_correct else F.lit(True)
     values = {f: F.when(counted, token_value(f)) for f in fields}
-    return records.agg(
+    return records.groupBy(*by).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(counted).alias("counted_records"),
         *[F.count(v).alias(f"{f}_count") for f, v in values.items()],

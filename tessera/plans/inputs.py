@@ -49,19 +49,24 @@ SELECT CASE c_custkey % 4 WHEN 0 THEN concat('/d/', CAST(c_nationkey AS STRING),
   WHEN 2 THEN concat('{"source_file": "/d/', CAST(c_nationkey AS STRING), '", "source_row": ', CAST(c_custkey AS STRING), '}') ELSE '  ' END AS value
 FROM customer"""
 
-#: Answers in several spellings, with a reference each; kind says which. (A tilde stands for a backslash, which the two dialects quote apart.)
+#: Answers in several spellings and a reference each, a third of them another number. (A tilde stands for a backslash,
+#: which the two dialects quote apart.)
 MATH = """
-SELECT o_orderkey, o_orderkey % 8 AS kind,
-  replace(CASE o_orderkey % 8
+SELECT o_orderkey,
+  replace(CASE o_orderkey % 11
     WHEN 0 THEN concat('So we get ~boxed{', CAST(o_custkey AS STRING), '} in all.')
-    WHEN 1 THEN concat('First ~boxed{0}. The final answer is ~boxed{', CAST(o_custkey + 1 AS STRING), '}.')
-    WHEN 2 THEN 'Half: ~boxed{~frac12}'
+    WHEN 1 THEN concat('First ~boxed{0}. The final answer is ~boxed{', CAST(o_custkey AS STRING), '}.')
+    WHEN 2 THEN concat('Half: ~boxed{~frac', CAST(o_custkey % 9 + 1 AS STRING), CAST(o_orderkey % 7 + 1 AS STRING), '}')
     WHEN 3 THEN concat('Well. The answer is $', CAST(o_custkey AS STRING), '$ dollars. Bye.')
     WHEN 4 THEN concat('~boxed{x=', CAST(o_custkey AS STRING), '.00}')
     WHEN 5 THEN concat('The answer is ', CAST(o_custkey AS STRING), '.5')
     WHEN 6 THEN concat('~boxed{', CAST(o_custkey AS STRING), '~text{ cm}}')
-    ELSE 'no answer here' END, '~', chr(92)) AS answer,
-  replace(CASE o_orderkey % 8 WHEN 2 THEN '1/2' WHEN 5 THEN concat('~boxed{', CAST(o_custkey AS STRING), '}') ELSE concat('~boxed{', CAST(o_custkey AS STRING), '}') END, '~', chr(92)) AS solution
+    WHEN 7 THEN concat('~boxed{~frac{', CAST(o_custkey % 9 + 1 AS STRING), '}{', CAST(o_orderkey % 7 + 1 AS STRING), '}} of {all}')
+    WHEN 8 THEN concat('~boxed{{', CAST(o_custkey AS STRING), '}}, said ', o_orderpriority)
+    WHEN 9 THEN concat('open ~boxed{', CAST(o_custkey AS STRING))
+    ELSE concat('no answer to ', o_orderpriority) END, '~', chr(92)) AS answer,
+  CASE WHEN o_orderkey % 11 IN (2, 7) THEN concat(CAST((o_custkey + CASE WHEN o_custkey % 3 = 2 THEN 1 ELSE 0 END) % 9 + 1 AS STRING), '/', CAST(o_orderkey % 7 + 1 AS STRING))
+    ELSE replace(concat('~boxed{', CAST(o_custkey + CASE WHEN o_custkey % 3 = 2 THEN 1 ELSE 0 END AS STRING), '}'), '~', chr(92)) END AS solution
 FROM orders"""
 
 #: Blocks of code and of other text.
@@ -75,21 +80,43 @@ SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'def f(x):  return x' WHEN 1 TH
   CASE p_partkey % 3 WHEN 0 THEN ' ' WHEN 1 THEN concat(' ', p_brand) END AS answer, p_size AS label
 FROM part"""
 
-#: Task texts with none, one or two examples.
+#: Task texts with up to three examples, some of them without an output, some after what ends the examples.
 EXAMPLES = """
-SELECT p_partkey AS source_row, concat('/in/', CAST(p_size % 4 AS STRING)) AS source_file, CASE p_partkey % 4
-  WHEN 0 THEN concat('Add.', chr(10), 'Example', chr(10), 'Input', chr(10), CAST(p_size AS STRING), ' 1', chr(10), 'Output', chr(10), CAST(p_size + 1 AS STRING))
-  WHEN 1 THEN concat('Add.', chr(10), 'Examples:', chr(10), 'Input: ', CAST(p_size AS STRING), chr(10), 'Output: 1', chr(10), 'Input', chr(10), '5', chr(10), 'Output', chr(10), '6', chr(10), 'Note', chr(10), 'x')
-  WHEN 2 THEN concat('No examples for ', p_name) END AS input
+SELECT p_partkey AS source_row, concat('/in/', CAST(p_size % 4 AS STRING)) AS source_file, CASE WHEN p_partkey % 5 = 4 THEN concat('No input for ', p_name) ELSE concat(
+  'Add ', p_brand, chr(10), CASE p_partkey % 3 WHEN 0 THEN 'Example' WHEN 1 THEN 'Examples:' ELSE 'Samples' END,
+  CASE WHEN p_size % 4 > 0 THEN concat(chr(10), 'Input', chr(10), CAST(p_size AS STRING), ' 1', chr(10), 'Output', chr(10), CAST(p_size + 1 AS STRING)) ELSE '' END,
+  CASE WHEN p_size % 3 > 0 THEN concat(chr(10), 'Input: ', CAST(p_size AS STRING), chr(10), 'Output:', CASE WHEN p_size % 3 = 1 THEN ' 1' ELSE ' ' END) ELSE '' END,
+  CASE WHEN p_size % 5 = 0 THEN concat(chr(10), CASE WHEN p_size % 2 = 0 THEN 'Note' ELSE 'Constraints:' END, chr(10), 'see below') ELSE '' END,
+  CASE WHEN p_size % 7 > 3 THEN concat(chr(10), 'Sample input', chr(10), '5', chr(10), CAST(p_size AS STRING), chr(10), 'Sample output:', chr(10), '6') ELSE '' END) END AS input
 FROM part"""
 
-#: Printed and expected outputs; kind says how they differ.
+#: Printed and expected outputs: the same, spaced, rounded or ordered otherwise, or of another number.
 OUTPUTS = """
-SELECT o_orderkey, o_orderkey % 7 AS kind, CASE o_orderkey % 7 WHEN 0 THEN concat(CAST(o_custkey AS STRING), chr(10)) WHEN 1 THEN concat('  ', CAST(o_custkey AS STRING), ' ')
-    WHEN 2 THEN concat(CAST(o_custkey AS STRING), '.0000000000001') WHEN 3 THEN CAST(o_custkey + 1 AS STRING) WHEN 4 THEN concat('b ', CAST(o_custkey AS STRING), ' a') WHEN 5 THEN '' ELSE concat(CAST(o_custkey AS STRING), chr(10), chr(10), '7') END AS output,
-  CASE o_orderkey % 7 WHEN 2 THEN concat(CAST(o_custkey AS STRING), '.0') WHEN 4 THEN concat('a b ', CAST(o_custkey AS STRING)) WHEN 6 THEN concat(CAST(o_custkey AS STRING), chr(10), '7') ELSE CAST(o_custkey AS STRING) END AS expected
+SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN concat(CAST(o_custkey AS STRING), chr(10)) WHEN 1 THEN concat('  ', CAST(o_custkey AS STRING), ' ')
+    WHEN 2 THEN concat(CAST(o_custkey AS STRING), '.0000000000001') WHEN 3 THEN CAST(o_custkey + o_custkey % 2 AS STRING) WHEN 4 THEN concat('b ', CAST(o_custkey AS STRING), ' a')
+    WHEN 5 THEN '' WHEN 6 THEN concat(CAST(o_custkey AS STRING), chr(10), chr(10), '7') WHEN 7 THEN concat(CAST(o_custkey AS STRING), '.', CAST(o_custkey % 3 AS STRING)) ELSE concat('x', chr(10), o_orderpriority, ' ', CAST(o_custkey AS STRING)) END AS output,
+  CASE o_orderkey % 9 WHEN 2 THEN concat(CAST(o_custkey AS STRING), '.0') WHEN 4 THEN concat('a b ', CAST(o_custkey + o_custkey % 2 AS STRING)) WHEN 6 THEN concat(CAST(o_custkey AS STRING), chr(10), '7')
+    WHEN 8 THEN concat('x ', chr(10), CAST(o_custkey AS STRING), ' ', o_orderpriority, CASE WHEN o_custkey % 4 = 0 THEN ' y' ELSE '' END) ELSE CAST(o_custkey AS STRING) END AS expected
 FROM orders"""
 
+#: Programs that multiply and add, and what they should give, which every fifth does not; tests and how they are given differ.
+PROGRAMS = """
+SELECT s_suppkey, s_nationkey AS factor, s_suppkey % 7 AS term, s_suppkey % 50 AS given, CAST(s_suppkey % 50 * s_nationkey + s_suppkey % 7 + CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END AS STRING) AS expected,
+  CASE s_suppkey % 6 WHEN 0 THEN 'assert' WHEN 1 THEN 'completion' WHEN 2 THEN 'samples' WHEN 3 THEN 'private' WHEN 4 THEN 'examples' ELSE 'none' END AS form
+FROM supplier"""
+
+#: Answers with one or two blocks of code, or none.
+FENCED = """
+SELECT p_partkey, replace(concat('Part ', p_brand, chr(10), CASE p_partkey % 5 WHEN 0 THEN concat('~python', chr(10), 'print(', CAST(p_size AS STRING), ')', chr(10), '~ and ~', chr(10), '3', chr(10), '~')
+  WHEN 1 THEN concat('~', chr(10), CAST(p_size AS STRING), chr(10), '~ or ~', chr(10), 'def f(x):', chr(10), '  return ', CAST(p_size AS STRING), chr(10), '~')
+  WHEN 2 THEN concat('~py', chr(10), 'x = ', CAST(p_size AS STRING), chr(10), '~ better: ~Python', chr(10), 'y = ', CAST(p_size AS STRING), chr(10), '~') WHEN 3 THEN concat('~', chr(10), p_name, chr(10), '~') ELSE p_name END), '~', '```') AS answer
+FROM part"""
+
+#: JSON lines of customers with blank and broken lines between.
+LINES = """
+SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN '  ' WHEN 1 THEN '{"c_custkey": ' ELSE concat('{"c_custkey": ', CAST(c_custkey AS STRING), ', "c_name": "', c_name, '"}') END AS value
+FROM customer"""
+
 #: Rows to look tests up for, and the datasets with them.
 HYDRATE = """
 SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 'apps' WHEN 1 THEN 'TACO' WHEN 2 THEN 'own' END AS dataset, CASE p_partkey % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test' END AS split,

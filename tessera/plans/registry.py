@@ -3,7 +3,10 @@ that DuckDB runs on the same tables. Inputs are shared (plans/inputs.py), comput
 
 from __future__ import annotations
 
+import base64
 import json
+import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +20,7 @@ from tessera.operators import resume, stats, tasks
 from tessera.operators.judge import text_kernel
 from tessera.operators.schema import KEY, RECORD, conform
 from tessera.plans import inputs, jobs
-from tessera.sources import scan
+from tessera.sources import scan, sinks
 from tessera.streaming import compact
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,19 +56,42 @@ _R, _T = given(r=inputs.RECORDS), given(r=inputs.ROWS)
 # --- scans
 
 
-@query("SELECT n_nationkey, n_name, row_number() OVER () - 1 AS source_row, 'nation' AS stem FROM nation")
+@query("SELECT c_custkey, c_name, row_number() OVER () - 1 AS source_row, 'customer' AS stem FROM customer")
 def scan_file_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first of the files whose name ends in "ion", its rows numbered as they lie in it."""
-    files = scan.slice_files(scan.list_files(spark, sf_dir, "*ion.parquet"), 0, 1)
-    return scan.scan(spark, files).select("n_nationkey", "n_name", "source_row", F.regexp_extract("source_file", r"([^/]*)\.parquet", 1).alias("stem"))
+    """The first of the files whose name ends in "er", its rows numbered as they lie in it."""
+    files = scan.slice_files(scan.list_files(spark, sf_dir, "*er.parquet"), 0, 1)
+    return scan.scan(spark, files).select("c_custkey", "c_name", "source_row", F.regexp_extract("source_file", r"([^/]*)\.parquet", 1).alias("stem"))
 
 
-@query("SELECT (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) AS row_count")
+_ALL_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query("SELECT " + " + ".join(f"(SELECT count(*) FROM {t})" for t in _ALL_TABLES) + " AS row_count")
 def input_row_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = scan.list_files(spark, sf_dir, "*ion.parquet")
+    files = scan.list_files(spark, sf_dir, "*.parquet")
     return spark.createDataFrame([(scan.estimate_rows(spark, files),)], "row_count long")
 
 
+@query(
+    f"""{given(v=inputs.LINES)}, g AS (SELECT c_custkey FROM v WHERE CASE WHEN trim(value) = '' THEN false ELSE json_valid(value) END)
+    SELECT count(*) AS rows, sum(c_custkey)::BIGINT AS keys, 0::BIGINT AS wrongly_numbered FROM g"""
+)
+def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-lines files with blank and broken lines: valid rows, numbered from 0 in each file without gaps."""
+    folder = _scratch(spark, "lines")
+    inputs.load(spark, sf_dir, inputs.LINES).repartition(4, "c_custkey").select("value").write.text(folder)
+    files = scan.list_files(spark, folder, "*.txt")
+    rows = scan.scan_jsonl(spark, files)
+    each = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.countDistinct("source_row").alias("numbers"), F.max("source_row").alias("last"))
+    wrong = F.count_if((F.col("numbers") != F.col("n")) | (F.col("last") != F.col("n") - 1))
+    return each.agg(F.sum("n").alias("rows"), F.sum("keys").alias("keys"), wrong.alias("wrongly_numbered"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder for a query's files, shared by driver and executors."""
+    return f"{sinks.scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # --- tasks
 
 _PROMPT = "nullif(trim(question), '')"
@@ -238,35 +264,76 @@ def math_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 _M = given(m=inputs.MATH)
 
 
-@query(f"{_M} SELECT o_orderkey, CASE WHEN kind IN (0, 4) THEN regexp_extract(answer, '.*boxed\\{{([^{{}}]*)\\}}', 1) WHEN kind = 1 THEN regexp_extract(answer, '.*boxed\\{{([^{{}}]*)\\}}', 1) WHEN kind = 2 THEN chr(92) || 'frac12' WHEN kind = 6 THEN regexp_extract(answer, 'boxed\\{{(.*)\\}}$', 1) END AS held FROM m")
+#: What the last \\boxed holds: the text after it up to the brace that closes it.
+_BOXED = """{0}, b1 AS (SELECT *, string_split(answer, chr(92) || 'boxed') AS parts FROM m),
+    b2 AS (SELECT *, CASE WHEN len(parts) > 1 AND parts[-1][1] = '{{' THEN parts[-1][2:] END AS body FROM b1),
+    b3 AS (SELECT *, [i FOR i IN range(1, coalesce(length(body), 0) + 1) IF body[i] = '}}' AND length(replace(body[1:i], '{{', '')) - length(replace(body[1:i], '}}', '')) = 1] AS ends FROM b2),
+    b AS (SELECT *, CASE WHEN len(ends) > 0 THEN body[1:ends[1] - 1] END AS held FROM b3)""".format(_M)
+
+
+@query(f"{_BOXED} SELECT o_orderkey, held FROM b")
 def boxed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = text_kernel(mathrules.boxed, "string")
     return inputs.load(spark, sf_dir, inputs.MATH).select("o_orderkey", held("answer").alias("held"))
 
 
-@query(f"{_M} SELECT o_orderkey, 'math' AS judge_type, 'math_rule' AS judge_backend, kind NOT IN (1, 7) AS is_correct, CASE WHEN kind NOT IN (1, 7) THEN 'pass' ELSE 'wrong_answer' END AS judge_status, 'math_verify_unavailable' AS fallback FROM m")
+def _number(text: str) -> str:
+    """The value of an answer: a fraction or a number, without units, wrappers and what it is set equal to."""
+    bare = f"regexp_replace(regexp_replace({text}, '^[{{]?x=|[\\$ ]|dollars|\\\\text[{{].*?[}}]', '', 'g'), '^[{{]([0-9.]+)[}}]$', '\\1')"
+    part = lambda k: f"nullif(regexp_extract({bare}, '^\\\\frac[{{]?([0-9])[}}]?[{{]?([0-9])[}}]?$|^([0-9]+)/([0-9]+)$', {k}), '')::DOUBLE"
+    return f"coalesce({part(1)} / {part(2)}, {part(3)} / {part(4)}, TRY_CAST({bare} AS DOUBLE))"
+
+
+#: Said and wanted numbers: of what is boxed, else of the first sentence that announces an answer.
+_GRADED = f"""{_BOXED}, s AS (SELECT o_orderkey, answer, coalesce(held, regexp_extract(coalesce([x FOR x IN string_split(answer, '.') IF contains(x, 'answer is')][1], string_split(answer, '.')[1]), '(?:.*answer is)?(.*)$', 1)) AS said,
+      coalesce(nullif(regexp_extract(solution, 'boxed[{{](.*)[}}]', 1), ''), solution) AS wanted FROM b),
+    g AS (SELECT o_orderkey, answer, coalesce({_number("said")} = {_number("wanted")}, false) AS good FROM s)"""
+
+
+@query(f"{_GRADED} SELECT o_orderkey, 'math' AS judge_type, 'math_rule' AS judge_backend, good AS is_correct, CASE WHEN good THEN 'pass' ELSE 'wrong_answer' END AS judge_status, 'math_verify_unavailable' AS fallback FROM g")
 def math_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts by rules. A decimal answer outside a box is cut at its point, so kind 5 agrees with its reference."""
+    """Verdicts by rules. A decimal answer outside a box is cut at its point, so it can agree with a whole reference."""
     df = inputs.with_messages(inputs.load(spark, sf_dir, inputs.MATH))
     judged = judging.judge(df, ["solution"])
     return judged.select("o_orderkey", "judge_type", "judge_backend", "is_correct", "judge_status", F.get_json_object("judge_detail", "$.verify_fallback_reason").alias("fallback"))
 
 
-_E = given(e=inputs.EXAMPLES)
+#: Examples of a text: what follows its heading, up to a line that ends them, cut at the lines that name an input.
+_E = f"""{given(t=inputs.EXAMPLES)}, h AS (SELECT *, string_split_regex(chr(10) || input, '\n(?:Examples?|Samples?):?\n') AS parts FROM t),
+    x AS (SELECT *, CASE WHEN len(parts) > 1 THEN chr(10) || string_split_regex(parts[-1], '\n(?:Note|Constraints):?\n')[1] ELSE '' END AS body FROM h),
+    e AS (SELECT source_file, source_row, len([p FOR p IN string_split_regex(body, '\n(?:Sample )?[Ii]nput:?')[2:] IF len(string_split_regex(p, '\n(?:Sample )?[Oo]utput:?')) > 1
+      AND trim(string_split_regex(p, '\n(?:Sample )?[Oo]utput:?')[1], ' ' || chr(10)) <> '' AND trim(string_split_regex(p, '\n(?:Sample )?[Oo]utput:?')[2], ' ' || chr(10)) <> '']) AS n FROM x)"""
 
 
-@query(f"{_E} SELECT source_file, source_row, (CASE source_row % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END)::BIGINT AS n_examples FROM e")
+@query(f"{_E} SELECT source_file, source_row, n::BIGINT AS n_examples FROM e")
 def example_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = text_kernel(lambda t: len(examples.parse(t)), "long")
     return inputs.load(spark, sf_dir, inputs.EXAMPLES).select("source_file", "source_row", count("input").alias("n_examples"))
 
 
-@query(f"{given(o=inputs.OUTPUTS)} SELECT o_orderkey, kind NOT IN (3, 5) AS same FROM o")
+@query(
+    f"""{given(o=inputs.OUTPUTS)}, l AS (SELECT o_orderkey, [trim(x) FOR x IN string_split(output, chr(10)) IF trim(x) <> ''] AS g, [trim(x) FOR x IN string_split(expected, chr(10)) IF trim(x) <> ''] AS w FROM o),
+    n AS (SELECT *, len(g) > 0 AND len(g) = len(w) AS lined, len([x FOR x IN g || w IF TRY_CAST(x AS DOUBLE) IS NULL]) = 0 AS numbers, len([x FOR x IN g || w IF NOT regexp_full_match(x, '-?[0-9]+')]) = 0 AS whole FROM l)
+    SELECT o_orderkey, g = w OR (NOT (len(g) > 0 AND len(w) > 0 AND whole) AND (
+      (lined AND numbers AND len([i FOR i IN range(1, len(g) + 1) IF abs(TRY_CAST(g[i] AS DOUBLE) - TRY_CAST(w[i] AS DOUBLE)) > greatest(1e-9, 1e-9 * greatest(abs(TRY_CAST(g[i] AS DOUBLE)), abs(TRY_CAST(w[i] AS DOUBLE))))]) = 0)
+      OR (lined AND [list_sort(list_distinct(string_split(x, ' '))) FOR x IN g] = [list_sort(list_distinct(string_split(x, ' '))) FOR x IN w]))) AS same FROM n"""
+)
 def compare_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = text_kernel(testcases.same_output, "boolean")
     return inputs.load(spark, sf_dir, inputs.OUTPUTS).select("o_orderkey", same("output", "expected").alias("same"))
 
 
+@query(
+    f"""{given(f=inputs.FENCED)}, b AS (SELECT p_partkey, regexp_extract_all(answer, '(?s)```([A-Za-z]*)\n(.*?)```', 1) AS tags, regexp_extract_all(answer, '(?s)```([A-Za-z]*)\n(.*?)```', 2) AS codes, answer FROM f),
+    t AS (SELECT *, [codes[i] FOR i IN range(1, len(codes) + 1) IF lower(tags[i]) IN ('python', 'py')] AS tagged, [c FOR c IN codes IF contains(c, 'def ') OR contains(c, 'print(')] AS like_python FROM b)
+    SELECT p_partkey, coalesce(tagged[-1], like_python[1], codes[1], trim(answer, ' ' || chr(10))) AS code FROM t"""
+)
+def code_block_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The program in an answer: its last tagged block, else the one that looks like Python, else the first, else all."""
+    code = text_kernel(codetext.program, "string")
+    return inputs.load(spark, sf_dir, inputs.FENCED).select("p_partkey", code("answer").alias("code"))
+
+
 _SUSPICIOUS = """(dataset_name = 'code_contests' AND judge_type = 'math') IS TRUE
     OR (judge_detail LIKE '%Input%' AND judge_detail LIKE '%Output%') IS TRUE OR (judge_detail LIKE '%"expected": "%Constraints%') IS TRUE
     OR (judge_status = 'wrong_answer' AND coalesce(json_extract_string(judge_detail, '$.output'), '') = '' AND source_row % 8 = 0) IS TRUE
@@ -351,12 +418,9 @@ def token_averages_correct_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_R} {_token_sql('r')}")
 def incremental_token_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sums of each source file's records, merged."""
-    from functools import reduce
-
-    df = _records(spark, sf_dir)
-    parts = [stats.token_sums(df.where(F.col("source_file") == f"/data/part-{k}.parquet")) for k in range(5)]
-    return stats.with_averages(stats.merge_token_sums(reduce(DataFrame.unionByName, parts)))
+    """The sums of each source file's records, worked out apart in one pass, merged."""
+    parts = stats.token_sums(_records(spark, sf_dir), by=("source_file",))
+    return stats.with_averages(stats.merge_token_sums(parts.drop("source_file")))
 
 
 @query(f"{_R} SELECT source_file, source_row, rollout_index FROM r WHERE is_correct")
@@ -436,8 +500,8 @@ def hydrate_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_E} SELECT source_file, count(*) AS rows, count(*) FILTER (source_row % 4 < 2) AS parsed_rows, coalesce(sum(source_row % 4 + 1) FILTER (source_row % 4 < 2), 0)::BIGINT AS total_examples,
-    count(*) FILTER (source_row % 4 < 2)::DOUBLE / count(*) AS parse_rate, coalesce(sum(source_row % 4 + 1) FILTER (source_row % 4 < 2)::DOUBLE / nullif(count(*) FILTER (source_row % 4 < 2), 0), 0) AS avg_examples_per_parsed_row
+    f"""{_E} SELECT source_file, count(*) AS rows, count(*) FILTER (n > 0) AS parsed_rows, coalesce(sum(n), 0)::BIGINT AS total_examples,
+    count(*) FILTER (n > 0)::DOUBLE / count(*) AS parse_rate, coalesce(sum(n)::DOUBLE / nullif(count(*) FILTER (n > 0), 0), 0) AS avg_examples_per_parsed_row
     FROM e GROUP BY ROLLUP (source_file)"""
 )
 def prepare_test_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,14 +509,14 @@ def prepare_test_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{_E} SELECT source_file, source_row, CASE WHEN source_row % 4 < 2 THEN 'prompt_examples' ELSE '' END AS generated_test_source, 'prompt_examples_v1' AS generated_test_parser,
-    CASE WHEN source_row % 4 < 2 THEN source_row % 4 + 1 ELSE 0 END AS generated_test_count, CASE WHEN source_row % 4 < 2 THEN 'parsed' ELSE 'missing' END AS generated_test_status FROM e"""
+    f"""{_E} SELECT source_file, source_row, CASE WHEN n > 0 THEN 'prompt_examples' ELSE '' END AS generated_test_source, 'prompt_examples_v1' AS generated_test_parser,
+    n::BIGINT AS generated_test_count, CASE WHEN n > 0 THEN 'parsed' ELSE 'missing' END AS generated_test_status FROM e"""
 )
 def prepare_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.prepare(inputs.load(spark, sf_dir, inputs.EXAMPLES)).drop("input", "input_output")
 
 
-@query(f"{_M} SELECT CASE WHEN kind NOT IN (1, 7) THEN 'pass' ELSE 'wrong_answer' END AS judge_status, false AS has_code_fence, count(*) AS n FROM m GROUP BY ALL")
+@query(f"{_GRADED} SELECT CASE WHEN good THEN 'pass' ELSE 'wrong_answer' END AS judge_status, contains(answer, '```') AS has_code_fence, count(*) AS n FROM g GROUP BY ALL")
 def evaluate_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.load(spark, sf_dir, inputs.MATH).select(F.lit("orders").alias("source_file"), F.col("o_orderkey").alias("source_row"), F.col("answer").alias("output"), "solution")
     return jobs.evaluate(rows).groupBy("judge_status", "has_code_fence").agg(F.count(F.lit(1)).alias("n"))
@@ -493,18 +557,71 @@ def _said(answer: Column) -> Column:
     return F.array(F.struct(F.lit("assistant").alias("role"), answer.alias("content")))
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 2 THEN 'wrong_answer' ELSE 'pass' END AS judge_status, CASE WHEN n_nationkey % 2 = 0 THEN 'code_mbpp' ELSE 'code_livecodebench_generation' END AS judge_type FROM nation")
+#: A program is right if its number times its factor and its term make what is expected.
+_RUN = f"""{given(p=inputs.PROGRAMS)}, g AS (SELECT *, CAST(given * factor + term AS VARCHAR) = expected AS good FROM p)"""
+
+
+@query(
+    f"""{_RUN} SELECT s_suppkey, CASE form WHEN 'assert' THEN 'code_mbpp' WHEN 'completion' THEN 'code_humaneval' WHEN 'examples' THEN 'code_prompt_examples' WHEN 'none' THEN 'code_unverified' ELSE 'code_livecodebench_generation' END AS judge_type,
+    CASE WHEN form = 'none' OR form = 'examples' AND NOT good THEN 'not_applicable' WHEN good THEN 'pass' WHEN form = 'completion' THEN 'wrong_answer' ELSE 'wrong_answer' END AS judge_status,
+    CASE WHEN form = 'none' OR form = 'examples' AND NOT good THEN NULL ELSE good END AS is_correct FROM g"""
+)
 def code_exec_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Programs run in the sandbox, by assertions and by input and output, a third of them wrong."""
-    k = F.col("n_nationkey")
-    wrong, by_assertion = k % 3 == 2, k % 2 == 0
-    body = F.concat(F.lit("print(int(input()) + "), F.when(wrong, F.lit("1")).otherwise(F.lit("0")), F.lit(")"))
-    function = F.concat(F.lit("def f(x):\n    return x + "), F.when(wrong, F.lit("1")).otherwise(F.lit("0")))
-    code = F.concat(F.lit("```python\n"), F.when(by_assertion, function).otherwise(body), F.lit("\n```"))
-    tests = F.when(by_assertion, F.array(F.concat(F.lit("assert f("), k.cast("string"), F.lit(") == "), k.cast("string"))))
-    cases = F.when(~by_assertion, F.concat(F.lit('{"inputs": ["'), k.cast("string"), F.lit('"], "outputs": ["'), k.cast("string"), F.lit('"]}')))
-    df = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", tests.alias("test_list"), cases.alias("input_output"), _said(code).alias("messages"))
-    return judging.judge(df.repartition(8), ["test_list", "input_output"]).select("n_nationkey", "judge_status", "judge_type")
+    """Programs run in the sandbox, one for each supplier: by assertions, as completions, by samples, by packed private
+    tests, by the examples in a text (which no longer count if the reference solution fails them), or not at all."""
+    df = inputs.load(spark, sf_dir, inputs.PROGRAMS)
+    text = lambda c: F.col(c).cast("string")
+    form = lambda k, column: F.when(F.col("form") == k, column)
+    law = F.concat(F.lit(" * "), text("factor"), F.lit(" + "), text("term"))
+    prints = F.concat(F.lit("print(int(input())"), law, F.lit(")"))
+    function = F.concat(F.lit("def f(x):\n    return x"), law)
+    wanted = F.concat(F.lit("assert f("), text("given"), F.lit(") == "), F.col("expected"))
+    case = F.to_json(F.struct(F.array(text("given")).alias("inputs"), F.array("expected").alias("outputs")))
+    packed = text_kernel(_packed_cases, "string")(F.to_json(F.array(F.struct(text("given").alias("input"), F.col("expected").alias("output")))))
+    rows = df.select(
+        "s_suppkey",
+        form("assert", F.array(wanted)).alias("test_list"),
+        form("completion", F.lit("import math\n\n")).alias("prompt"),
+        form("completion", F.concat(F.lit("def check(g):\n    "), F.regexp_replace(wanted, "f\\(", "g("))).alias("test"),
+        form("completion", F.lit("f")).alias("entry_point"),
+        form("samples", case).alias("input_output"),
+        form("private", packed).alias("private_test_cases"),
+        form("examples", F.concat(F.lit("Compute.\nExample\nInput\n"), text("given"), F.lit("\nOutput\n"), F.col("expected"))).alias("input"),
+        form("examples", prints).alias("solution"),
+        form("none", F.lit("codeforces")).alias("dataset"),
+        F.when(F.col("form").isin("assert", "completion"), F.concat(F.lit("```python\n"), function, F.lit("\n```")))
+        .otherwise(F.concat(F.lit("```python\n"), prints, F.lit("\n```")))
+        .alias("said"),
+    ).withColumn("messages", _said(F.col("said")))
+    columns = ["test_list", "prompt", "test", "entry_point", "input_output", "private_test_cases", "input", "solution", "dataset"]
+    return judging.judge(rows, columns, seconds=60.0).select("s_suppkey", "judge_type", "judge_status", "is_correct")
+
+
+def _packed_cases(cases: str | None) -> str | None:
+    """Tests as private ones are stored: compressed and in base64."""
+    return None if cases is None else base64.b64encode(zlib.compress(cases.encode())).decode()
+
+
+@query(f"{_R} SELECT source_file, source_row, rollout_index, total_tokens FROM r WHERE is_correct")
+def stored_and_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written in two batches, the first one compacted into shards before the second comes and both after it,
+    and read back from the stream of correct ones."""
+    folder, df = _scratch(spark, "records"), _records(spark, sf_dir)
+    for part in (0, 1):
+        sinks.append_records(df.where(F.col("source_row") % 2 == part), folder, 1 << 20)
+        compact.compact(spark, folder, "correct", 4 << 20)
+    return sinks.read_records(spark, folder, "correct").select(*KEY, "total_tokens")
+
+
+@query(f"{_R} SELECT count(*) AS scanned_records, count(*) FILTER (is_correct) AS written_records, count(*) FILTER (generation_finish_reason = 'length') AS overlong_records, count(DISTINCT (source_file, source_row, rollout_index)) AS index_keys FROM r")
+def rebuilt_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of a stream of correct records and an index that are made anew from the stream of all."""
+    folder = _scratch(spark, "rebuilt")
+    sinks.append_records(_records(spark, sf_dir), folder, 1 << 20)
+    sinks.delete(spark, sinks.stream_path(folder, "correct", "segments"))
+    sinks.delete(spark, sinks.index_path(folder))
+    made = jobs.rebuild_correct(spark, folder)
+    return spark.createDataFrame([tuple(made.values())], ", ".join(f"{k} long" for k in made))
 
 
 @query(f"{_T} SELECT source_file, source_row, k AS rollout_index, 'Answer ' || left(sha256({_PROMPT}), 8) || '.' AS answer, 'stop' AS finish_reason, len(regexp_split_to_array({_PROMPT}, '\\s+')) + 2 AS total_tokens FROM r, range(2) t(k) WHERE {_PROMPT} IS NOT NULL")
