@@ -92,7 +92,10 @@ def pending(tasks: DataFrame, completed: DataFrame | None = None, failed: DataFr
 
 
 def new_failures(failures: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Failures not on record yet, each key once (of several reasons the first by name), so that a rerun adds nothing."""
+    """Failures not on record yet, each key once (of several rows the least by its other columns), so that a rerun adds nothing."""
     fresh = failures if known is None else failures.join(known.select(*KEY), KEY, "left_anti")
-    return fresh.groupBy(*KEY).agg(F.min("reason").alias("reason"))
+    rest = [c for c in fresh.columns if c not in KEY]
+    if not rest:
+        return fresh.distinct()
+    return fresh.groupBy(*KEY).agg(F.min(F.struct(*rest)).alias("rest")).select(*KEY, "rest.*")
 
