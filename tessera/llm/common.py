@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +41,28 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_path = path
+    for open_ in _PASSING:
+        open_.append(back)
     return back
 
 
+_PASSING: list[list[DataFrame]] = []
+
+
+@contextmanager
+def passing(keep: list[DataFrame]) -> Iterator[None]:
+    """Intermediates written inside are deleted at the end, but for those that are in keep by then. What fails
+    leaves its folders."""
+    mine: list[DataFrame] = []
+    _PASSING.append(mine)
+    try:
+        yield
+    finally:
+        _PASSING.remove(mine)
+    kept = {df.written_path for df in keep}
+    drop_written(*(df for df in mine if df.written_path not in kept))
+
+
 def drop_written(*frames: DataFrame) -> None:
     """Delete the folders behind frames made by written(), once nothing reads them any more."""
     for df in frames:

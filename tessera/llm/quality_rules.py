@@ -12,8 +12,8 @@ Line rules:
   stutter      more than half of the words repeat the word before them
   boilerplate  a line of at most 30 words with one of BOILERPLATE in it
 
-Nulls and empty texts: no words, base_failed. Lines without words are neither kept nor lost. Repeated
-rows keep a row each. An empty table gives no rows. Input columns besides those named are ignored by
+Nulls and empty texts: no words, base_failed. Very long texts are read whole. Lines without words are neither
+kept nor lost. Repeated rows keep a row each. An empty table gives no rows. Input columns besides those named are ignored by
 quality() and kept by clean().
 """
 

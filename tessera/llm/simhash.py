@@ -24,7 +24,8 @@ run that have such a partner then meet with their shingles, which settle all the
 beyond _GROUP texts are split into groups in which any two of them meet.
 
 Exact copies have one fingerprint and meet before anything is compared. Nulls and texts without a
-word have fingerprint 0 and link like any other. Repeated rows keep a row each. A component's id is the
+word have fingerprint 0 and link like any other. Very long texts are read whole, in time that grows with their
+length. Repeated rows keep a row each. A component's id is the
 smallest doc_id in it; a null doc_id keeps its row and takes its component's id (null if there is no
 other). An empty table gives no rows; other columns are ignored.
 """
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_written, id_and_text, table, written
+from tessera.llm.common import drop_written, id_and_text, passing, table, written
 
 #: Runs of one key up to this length are compared offset by offset, longer ones walked.
 _SHORT_RUN = 8
@@ -251,10 +252,13 @@ def classes(prints: DataFrame, distance: int = 4, blocks: int | None = None) ->
 def near_duplicates(docs: DataFrame, distance: int = 4, blocks: int | None = None, shingle: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs (columns doc_id and text)."""
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = written(with_fingerprint(rows, "text", "fp", shingle, seed).select("doc_id", "fp"), "prints")
-    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    group = each.join(classes(prints, distance, blocks), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    group = written(group, "groups")
+    keep: list[DataFrame] = []
+    with passing(keep):
+        prints = written(with_fingerprint(rows, "text", "fp", shingle, seed).select("doc_id", "fp"), "prints")
+        each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+        group = each.join(classes(prints, distance, blocks), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
+        group = written(group, "groups")
+        keep += [prints, group]
     ids = group.groupBy("label").agg(F.min("least").alias("component_id"))
     by_print = group.join(ids, "label").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -585,39 +589,42 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and, for width > 0, by a similarity of ``least`` or more, found by wide fingerprints and bands."""
     row, prints = "__tessera_row", "__tessera_prints"
     full = _with_prints(docs, text_col, prints, shingle, wide_shingle, width, seed).withColumn(row, F.monotonically_increasing_id())
-    full = written(full, "dedup")
-    texts = full.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
-    small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(f"{prints}.fp").alias("fp"), F.col(f"{prints}.wide").alias("wide"), F.col(f"{prints}.size").alias("size"), F.col(f"{prints}.bands").alias("bands"))
-    order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
-    # A node for each distinct pair of fingerprints: exact copies meet here.
-    nodes = written(small.groupBy("fp", "wide").agg(F.min("row").alias("node"), F.min(order).alias("first"), F.min_by("size", "row").alias("size"), F.min_by("bands", "row").alias("bands")), "nodes")
-    of_print = nodes.groupBy("fp").agg(F.min("node").alias("of"))
-    same = nodes.join(of_print, "fp").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
-    close = links(nodes.select("fp").distinct(), distance, blocks or _blocks_for(nodes, distance))
-    for side in ("a", "b"):
-        close = close.join(of_print.select(F.col("fp").alias(side), F.col("of").alias(f"n{side}")), side)
-    edges = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    if width:
-        # Nodes of one wide fingerprint are one for the walk.
-        of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of"), F.min_by("size", "node").alias("size"), F.min_by("bands", "node").alias("bands")), "wide")
-        twin = nodes.join(of_wide.select("wide", "of"), "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
-        each = of_wide.select(F.col("of").alias("node"), "size", "wide", "bands")
-        edges = edges.unionByName(twin)
-        pairs = written(wide_links(each.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
-        edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
-    labels = components(written(edges, "links"))
-    if width:
-        # The second pass only has to link what the first one has not. Its first round takes each text's nearest partner
-        # of another label, so that groups are one label each before the second takes all pairs of different ones.
-        for nearest in (True, False):
-            known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
-            found = written(band_runs(known, least, nearest), "runs")
-            if nearest:
-                more = similar(found.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
-            else:
-                more = run_links(found, shingle_sets(texts, found.select("node").distinct(), wide_shingle), least)
-            tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
-            labels = components(written(tree.unionByName(more), "links"))
+    keep: list[DataFrame] = []
+    with passing(keep):
+        full = written(full, "dedup")
+        texts = full.select(F.col(row).alias("node"), F.col(text_col).alias("text"))
+        small = full.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(f"{prints}.fp").alias("fp"), F.col(f"{prints}.wide").alias("wide"), F.col(f"{prints}.size").alias("size"), F.col(f"{prints}.bands").alias("bands"))
+        order = F.struct(F.col("id").isNull().alias("null"), F.col("id").alias("id"), F.col("row").alias("row"))
+        # A node for each distinct pair of fingerprints: exact copies meet here.
+        nodes = written(small.groupBy("fp", "wide").agg(F.min("row").alias("node"), F.min(order).alias("first"), F.min_by("size", "row").alias("size"), F.min_by("bands", "row").alias("bands")), "nodes")
+        of_print = nodes.groupBy("fp").agg(F.min("node").alias("of"))
+        same = nodes.join(of_print, "fp").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
+        close = links(nodes.select("fp").distinct(), distance, blocks or _blocks_for(nodes, distance))
+        for side in ("a", "b"):
+            close = close.join(of_print.select(F.col("fp").alias(side), F.col("of").alias(f"n{side}")), side)
+        edges = same.unionByName(close.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+        if width:
+            # Nodes of one wide fingerprint are one for the walk.
+            of_wide = written(nodes.groupBy("wide").agg(F.min("node").alias("of"), F.min_by("size", "node").alias("size"), F.min_by("bands", "node").alias("bands")), "wide")
+            twin = nodes.join(of_wide.select("wide", "of"), "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
+            each = of_wide.select(F.col("of").alias("node"), "size", "wide", "bands")
+            edges = edges.unionByName(twin)
+            pairs = written(wide_links(each.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
+            edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
+        labels = components(written(edges, "links"))
+        if width:
+            # The second pass only has to link what the first one has not. Its first round takes each text's nearest partner
+            # of another label, so that groups are one label each before the second takes all pairs of different ones.
+            for nearest in (True, False):
+                known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
+                found = written(band_runs(known, least, nearest), "runs")
+                if nearest:
+                    more = similar(found.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
+                else:
+                    more = run_links(found, shingle_sets(texts, found.select("node").distinct(), wide_shingle), least)
+                tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
+                labels = components(written(tree.unionByName(more), "links"))
+        keep += [full, nodes, labels]
     group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
     return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, prints)
 

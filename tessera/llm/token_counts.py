@@ -10,8 +10,8 @@ pre-tokens go into a trie; each node's score is worked out once, from the nodes
 pre-tokens that share it, and a pre-token's count is stored at its last node. A worker remembers the
 terminal counts between batches; emptied when full, it changes no result.
 
-Nulls and empty texts: no tokens. Repeated rows keep a row each. An empty table gives no rows; other
-columns are ignored.
+Nulls and empty texts: no tokens. Very long texts are counted whole, in time that grows with their length.
+Repeated rows keep a row each. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -318,3 +318,15 @@ def test_families_of_like_texts_keep_their_brute_force_components(spark):
     want = plain_kept(rows)
     got = {r.doc_id for r in simhash.deduplicate(frame(spark, rows), distance=0, blocks=1).collect()}
     assert got == want
+
+
+def test_intermediates_are_deleted(spark):
+    import os
+
+    from tessera.llm.common import scratch_root
+
+    before = set(os.listdir(scratch_root(spark)))
+    left = simhash.deduplicate(frame(spark, documents()))
+    n = left.count()
+    found = sorted(p.split("-")[1] for p in set(os.listdir(scratch_root(spark))) - before)
+    assert found in (["dedup", "labels", "nodes"], ["dedup", "nodes", "step"]) and left.count() == n
