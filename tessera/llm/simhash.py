@@ -264,9 +264,10 @@ def near_duplicates(docs: DataFrame, distance: int = 4, blocks: int | None = Non
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Blocks of a word of a wide fingerprint, two of which make a key.
+#: Blocks of a word of a wide fingerprint, two of which make a key, or three for more texts than _TEXTS_A_KEY times the
+#: keys that two can be.
 _WIDE_BLOCKS = [(64 * k // 6, 64 * (k + 1) // 6) for k in range(6)]
-_WIDE_CHOICES = list(combinations(range(6), 2))
+_TEXTS_A_KEY = 64
 #: Differing bits of the two words compared within a key, of 128.
 _SKETCH_BITS = 32
 #: Runs of one key of a wide fingerprint up to this length are compared pair by pair, longer ones walked.
@@ -302,10 +303,12 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
     """(a, b, share): links between the nodes of prints (node, label: long, wide: array of 64-bit words) by keys
     of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already."""
 
+    picks = 2 if prints.count() <= _TEXTS_A_KEY << 22 else 3
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _wide_keys(batches, words)
+        yield from _wide_keys(batches, words, picks)
 
-    keyed = prints.select("node", "label", "wide").mapInArrow(keys, "key int, node long, label long, x long, y long")
+    keyed = prints.select("node", "label", "wide").mapInArrow(keys, "key long, node long, label long, x long, y long")
     keyed = keyed.repartition("key").sortWithinPartitions("key", "node")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -565,7 +568,9 @@ def run_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(verify, "a long, b long").distinct()
 
 
-def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterator[pa.RecordBatch]:
+def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int], picks: int) -> Iterator[pa.RecordBatch]:
+    """For each node a row for each choice of ``picks`` blocks of its words, with the two words after the one they are of."""
+    choices = list(combinations(range(len(_WIDE_BLOCKS)), picks))
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -576,10 +581,14 @@ def _wide_keys(batches: Iterator[pa.RecordBatch], of_words: list[int]) -> Iterat
             width = words.shape[1]
             for k in of_words:
                 blocks = [((words[:, k] >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)).astype(np.int64) for a, b in _WIDE_BLOCKS]
-                keys = [(((k * len(_WIDE_CHOICES) + c) << 22) | (blocks[i] << 11) | blocks[j]) for c, (i, j) in enumerate(_WIDE_CHOICES)]
-                n = len(keys)
+                keys = []
+                for c, choice in enumerate(choices):
+                    key = np.full(len(some), k * len(choices) + c, np.int64)
+                    for block in choice:
+                        key = (key << 11) | blocks[block]
+                    keys.append(key)
                 x, y = words[:, (k + 1) % width].view(np.int64), words[:, (k + 2) % width].view(np.int64)
-                columns = [np.concatenate(keys).astype(np.int32), *(np.tile(v, n) for v in (some, its, x, y))]
+                columns = [np.concatenate(keys), *(np.tile(v, len(keys)) for v in (some, its, x, y))]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "label", "x", "y"])
 
 

@@ -330,3 +330,16 @@ def test_intermediates_are_deleted(spark):
     n = left.count()
     found = sorted(p.split("-")[1] for p in set(os.listdir(scratch_root(spark))) - before)
     assert found in (["dedup", "labels", "nodes"], ["dedup", "nodes", "step"]) and left.count() == n
+
+
+def test_longer_keys_of_wide_fingerprints(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join("x" if j == 9 * k else w for j, w in enumerate(base)) for k in range(12)]
+    wide = [simhash.wide_fingerprint(t) for t in texts]
+    df = spark.createDataFrame([(k, k, w) for k, w in enumerate(wide)], "node long, label long, wide array<long>")
+    found = []
+    for bound in (64, 0):
+        monkeypatch.setattr(simhash, "_TEXTS_A_KEY", bound)
+        found.append({(r.a, r.b) for r in simhash.wide_links(df, [0, 1], 8, 0.2).collect()})
+    assert found[1] and all(sum((p ^ q) & (2**64 - 1) != 0 and ((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(wide[a], wide[b])) <= 102 for f in found for a, b in f)
