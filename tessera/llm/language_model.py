@@ -297,10 +297,10 @@ class Automaton:
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: tuple[float, float] = (200.0, 20.0)) -> DataFrame:
+def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: tuple[float, float] = (500.0, 5.0)) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs (columns
     doc_id and text), learning from rows whose crc32(doc_id as text) mod 5 is not held_out_remainder. smoothing:
-    K2 and K3."""
+    K2 and K3, the default by the likelihood of held-out texts that occur once at sf0.1, of five pairs of values."""
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id")) != held_out_remainder).alias("trains"), F.col("text").cast("string").cast("binary").alias("text"))
     each = written(chunks(rows), "chunks")
     tokens, n_chunks = each.agg(F.sum("n_tokens"), F.count(F.lit(1))).first()

@@ -15,7 +15,7 @@ def tokens(text):
     return [w for w in raw.translate(bytes(32 if 9 <= b <= 13 else b for b in range(256))).split(b" ") if w] + [None]
 
 
-def plain(rows, k2=200.0, k3=20.0):
+def plain(rows, k2=500.0, k3=5.0):
     """The formula, not the automaton: counts of whole n-grams as tuples."""
     kept = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1
     c = Counter()
