@@ -71,6 +71,15 @@ def drop_written(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes up to which rows that were counted are broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def if_few(df: DataFrame, row_bytes: int = 48) -> DataFrame:
+    """df, to be broadcast if its rows, counted here, take up to BROADCAST_BYTES in memory; else as it is."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

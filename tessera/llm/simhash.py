@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_written, id_and_text, passing, table, written
+from tessera.llm.common import drop_written, id_and_text, if_few, passing, table, written
 
 #: Runs of one key up to this length are compared offset by offset, longer ones walked.
 _SHORT_RUN = 8
@@ -366,7 +366,9 @@ def shingle_sets(texts: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame
                 sets = [_shingle_hashes(t, shingle).view(np.int64) for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "h"])
 
-    return written(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h array<long>"), "shingles")
+    # Few texts are wanted as a rule; a broadcast of their nodes leaves the texts where they are.
+    few = if_few(written(wanted, "wanted"))
+    return written(texts.join(few, "node", "left_semi").select("node", "text").mapInArrow(shingles, "node long, h array<long>"), "shingles")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
@@ -633,9 +635,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     more = run_links(found, shingle_sets(texts, found.select("node").distinct(), wide_shingle), least)
                 tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
                 labels = components(written(tree.unionByName(more), "links"))
-        keep += [full, nodes, labels]
-    group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
-    return full.join(group.select(F.col("first.row").alias(row)), row, "left_semi").drop(row, prints)
+        group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
+        # What goes is less than what stays, and its numbers alone are moved if they are few.
+        gone = written(small.select("row").join(group.select("first.row"), "row", "left_anti").withColumnRenamed("row", row), "gone")
+        keep += [full, gone]
+    return full.join(if_few(gone), row, "left_anti").drop(row, prints)
 
 
 def _with_prints(docs: DataFrame, text_col: str, name: str, shingle: int, wide_shingle: int, width: int, seed: int) -> DataFrame:
