@@ -18,7 +18,7 @@ buckets by the n-grams' hashes (a chunk names an n-gram once, so a frequent one
 the chunks that asked, and a chunk is scored with the part of the automaton that its own texts can reach. Buckets
 hold about BUCKET_BYTES and shuffles have as many partitions as that takes, so tasks stay as large whatever the
 input. What a chunk asks of a bucket is one row, and there is none if it asks nothing, so rows never outnumber the
-chunks' n-grams. N-grams of a bucket are told apart by _HASH_BYTES bytes of a hash.
+chunks' n-grams. N-grams of a bucket are told apart by _HASH_BITS bits of a hash, sent as differences in order.
 
 Null and empty texts are the end token alone. A text longer than a chunk is not cut: it ends the chunk that it
 joins, which is larger by that much. Repeated rows and repeated ids count and score row by row; a null id counts as
@@ -41,10 +41,10 @@ from tessera.llm.common import drop_written, id_and_text, remainder, table, writ
 #: Tokens after which a chunk is closed.
 CHUNK_TOKENS = 1_000_000
 #: Bytes of requests that a bucket should hold, and of a token's requests, on average.
-BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 10
-#: Bytes of an n-gram's hash that are sent: the low ones, as the high ones choose the bucket. Two of a bucket's million
-#: or so share them once in a hundred million times.
-_HASH_BYTES = 6
+BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 6
+#: Bits of an n-gram's hash that are sent: the low ones, as the high ones choose the bucket. One n-gram in some 400,000
+#: shares them with another one of its bucket.
+_HASH_BITS = 40
 #: The end token among words, which hold no line feed.
 _END = b"\n"
 _CHUNKS = "chunk long, n_tokens long, docs binary, ids binary, words binary"
@@ -67,6 +67,16 @@ class _Numbers(dict):
         return n
 
 
+def _squeezed(ids: np.ndarray) -> bytes:
+    """Word numbers, their bytes of one weight side by side, compressed: most have two bytes that matter or fewer."""
+    return pa.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueezed(raw: bytes, n: int) -> np.ndarray:
+    data = pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+
+
 def chunks(rows: DataFrame) -> DataFrame:
     """Chunks of rows (doc_id, trains, text): docs packs (doc_id, its null flag, trains, tokens), ids has the
     word numbers of one text after another, each ended by 0, and words the hash of each number's word."""
@@ -84,7 +94,7 @@ def chunks(rows: DataFrame) -> DataFrame:
             nonlocal numbers, docs, ids, size, chunk
             packed = np.array(docs, np.int64).reshape(-1, 4).tobytes()
             words = np.fromiter((digest(w) for w in numbers), np.uint64, len(numbers))
-            out = _arrow([chunk, size, packed, np.concatenate(ids).tobytes(), words.tobytes()], _CHUNKS)
+            out = _arrow([chunk, size, packed, _squeezed(np.concatenate(ids)), words.tobytes()], _CHUNKS)
             numbers, docs, ids, size, chunk = _Numbers({_END: 0}), [], [], 0, chunk + 1
             return out
 
@@ -119,21 +129,31 @@ class Chunk:
     def __init__(self, docs: bytes, ids: bytes, words: bytes):
         d = np.frombuffer(docs, np.int64).reshape(-1, 4)
         self.doc_ids, self.null, self.trains, self.lengths = d[:, 0], d[:, 1].astype(bool), d[:, 2].astype(bool), d[:, 3]
-        self.ids = np.frombuffer(ids, np.int32).astype(np.int64)
+        self.ids = _unsqueezed(ids, int(self.lengths.sum()))
         self.words = np.frombuffer(words, np.uint64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        v, trains = len(self.words), np.repeat(self.trains, self.lengths)
+        v, self.in_training = len(self.words), np.repeat(self.trains, self.lengths)
         before = np.concatenate([[0], self.ids[:-1]])  # each text starts in the state that the end token leads to
-        self.pairs, pair = np.unique(before * v + self.ids, return_inverse=True)
+        #: The distinct pairs, and for each token that of the word before it and itself.
+        self.pairs, self.pair = np.unique(before * v + self.ids, return_inverse=True)
+        self.ones, self.twos = self._count(self.ids, v), self._count(self.pair, len(self.pairs))
+
+    def _count(self, which: np.ndarray, n: int, of: slice | np.ndarray = slice(None)) -> np.ndarray:
+        return np.bincount(which[self.in_training[of]], minlength=n)
+
+    def with_triples(self) -> Chunk:
+        v = len(self.words)
         later = np.ones(len(self.ids), bool)
         later[self.starts] = False  # a text's first word has one word before it, the end
-        third = np.flatnonzero(later)
-        self.triples, triple = np.unique(pair[third - 1] * v + self.ids[third], return_inverse=True)
+        #: The tokens that end a triple, the distinct triples, and for each such token its triple.
+        self.third = np.flatnonzero(later)
+        self.triples, self.triple = np.unique(self.pair[self.third - 1] * v + self.ids[self.third], return_inverse=True)
         # The pairs that a triple begins and ends with.
         self.begin = self.triples // v
-        self.inner = np.searchsorted(self.pairs, self.pairs[self.begin] % v * v + self.triples % v)
-        count = lambda which, of, n: np.bincount(which[of], minlength=n)
-        self.ones, self.twos, self.threes = count(self.ids, trains, v), count(pair, trains, len(self.pairs)), count(triple, trains[third], len(self.triples))
+        self.inner = np.empty(len(self.triples), np.int64)
+        self.inner[self.triple] = self.pair[self.third]
+        self.threes = self._count(self.triple, len(self.triples), self.third)
+        return self
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Of the words and the pairs."""
@@ -148,20 +168,20 @@ class Chunk:
 
 
 def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, bounds): the hashes of bucket b are hashes[order[bounds[b]:bounds[b + 1]]]."""
-    of = (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-    order = np.argsort(of, kind="stable")
-    return order, np.searchsorted(of[order], np.arange(buckets + 1))
+    """(order, bounds): the hashes of bucket b are hashes[order[bounds[b]:bounds[b + 1]]], by what is sent of them."""
+    of = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort((of << np.uint64(_HASH_BITS)) | (hashes & np.uint64((1 << _HASH_BITS) - 1)))
+    return order, np.searchsorted(of[order], np.arange(buckets + 1, dtype=np.uint64))
 
 
 def _packed(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].tobytes()
+    """What is sent of hashes in order: the differences, in as many bytes each as the largest needs."""
+    low = hashes & np.uint64((1 << _HASH_BITS) - 1)
+    return _narrow(np.diff(low, prepend=np.uint64(0)))
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // _HASH_BYTES, 8), np.uint8)
-    out[:, :_HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH_BYTES)
-    return out.view("<u8").ravel()
+    return np.cumsum(_wide(raw))
 
 
 def _narrow(counts: np.ndarray) -> bytes:
@@ -231,7 +251,7 @@ def counted(each: DataFrame, answers: DataFrame, buckets: int, parts: int) -> Da
 
     def add(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         row, numbers = left.to_pylist()[0], right.column("bucket").to_pylist()
-        c = Chunk(row["docs"], row["ids"], row["words"])
+        c = Chunk(row["docs"], row["ids"], row["words"]).with_triples()
         ones, twos = (_answered(h, buckets, numbers, right.column(k).to_pylist()) for h, k in zip(c.hashes(), ("words", "pairs"), strict=True))
         at, hashes = c.elsewhere(twos & 1 > 0)
         order, bounds = _by_bucket(hashes, buckets)
@@ -263,35 +283,42 @@ class Automaton:
         p1 = np.where(ones > 0, (ones - d) / n, d * v / n) if n else np.ones(size)
         head, last = c.pairs // size, c.pairs % size
         p2 = (twos + k2 * p1[last]) / (ones[head] + k2)
-        begin, inner, end = c.begin, c.inner, c.triples % size
-        p3 = (threes + k3 * p2[inner]) / (twos[begin] + k3)
+        p3 = (threes + k3 * p2[c.inner]) / (twos[c.begin] + k3)
         self.size, self.start = size, 1 if ones[0] else 0
         # Failure arcs, by state; the state without history has none.
-        self.failure = np.concatenate([[0], np.zeros(size, np.int64), np.where(ones[last] > 0, 1 + last, 0)]).tolist()
-        self.failure_weight = np.log10(np.concatenate([[1.0], k2 / (ones + k2), k3 / (twos + k3)])).tolist()
-        # Arcs of all words from the first state, of seen pairs and of seen triples from the others. An arc leads to
-        # the longest history that is known; after the end of a text that is the end alone.
+        self.failure = np.concatenate([[0], np.zeros(size, np.int64), np.where(ones[last] > 0, 1 + last, 0)])
+        self.failure_weight = np.log10(np.concatenate([[1.0], k2 / (ones + k2), k3 / (twos + k3)]))
+        # Arcs: of every word from the state without history, of seen pairs from words, of seen triples from pairs.
+        self.arcs = [np.ones(size, bool), twos > 0, threes > 0]
+        self.weight = [np.log10(p) for p in (p1, p2, p3)]
+        # An arc leads to the longest known history, which the last two words decide; after a text's end that is the end alone.
         one = np.where(ones > 0, 1 + np.arange(size), 0)
-        two = np.where(last == 0, one[0], np.where(twos > 0, 1 + size + np.arange(len(c.pairs)), one[last]))
-        seen2, seen3 = twos > 0, threes > 0
-        keys = np.concatenate([np.arange(size), (1 + head[seen2]) * size + last[seen2], (1 + size + begin[seen3]) * size + end[seen3]])
-        self.weight = np.log10(np.concatenate([p1, p2[seen2], p3[seen3]])).tolist()
-        self.target = np.concatenate([one, two[seen2], two[inner[seen3]]]).tolist()
-        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
-
-    def read(self, text: list[int]) -> float:
-        """The summed weight of a text's path, left to right; the words are the chunk's numbers."""
-        arc, weight, target, failure, failure_weight, size = self.arcs.get, self.weight, self.target, self.failure, self.failure_weight, self.size
-        state, total = self.start, 0.0
-        for word in text:
-            taken = arc(state * size + word)
-            while taken is None:
-                total += failure_weight[state]
-                state = failure[state]
-                taken = arc(state * size + word)
-            total += weight[taken]
-            state = target[taken]
-        return total
+        self.target = np.where(last == 0, one[0], np.where(twos > 0, 1 + size + np.arange(len(c.pairs)), one[last]))
+
+    def read(self, c: Chunk) -> np.ndarray:
+        """The summed weight of the path of each of the chunk's texts, read from left to right.
+
+        The state that a token is read in is the target of the arc that the token before it took. Then failure arcs
+        are followed from there, for all tokens that find none of their own, until each has one.
+        """
+        state = np.concatenate([[self.start], self.target[c.pair[:-1]]])
+        state[c.starts] = self.start
+        level = np.where(state > self.size, 2, np.minimum(state, 1))
+        arc = [c.ids, c.pair, np.zeros(len(c.ids), np.int64)]  # the arc that a token would take at each level
+        arc[2][c.third] = c.triple
+        total = np.zeros(len(state))
+        for at in (2, 1):
+            here = np.flatnonzero(level == at)
+            has = self.arcs[at][arc[at][here]]
+            taken, failed = here[has], here[~has]
+            total[taken] += self.weight[at][arc[at][taken]]
+            level[taken] = -1
+            total[failed] += self.failure_weight[state[failed]]
+            state[failed] = self.failure[state[failed]]
+            level[failed] = np.minimum(state[failed], 1)
+        rest = np.flatnonzero(level == 0)
+        total[rest] += self.weight[0][arc[0][rest]]
+        return np.add.reduceat(total, c.starts)
 
 
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -318,13 +345,12 @@ def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: t
     def score(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         model = json.loads(packed)
         row = left.to_pylist()[0]
-        c = Chunk(row["docs"], row["ids"], row["words"])
+        c = Chunk(row["docs"], row["ids"], row["words"]).with_triples()
         ones, twos = _wide(row["ones"]), _wide(row["twos"])
         at, hashes = c.elsewhere(twos & 1 > 0)
         counts = (ones >> 1, twos >> 1, c.threes.copy())
         counts[2][at] = _answered(hashes, buckets, right.column("bucket").to_pylist(), right.column("triples").to_pylist()) >> 1
-        automaton = Automaton(c, counts, model, smoothing)
-        path = [automaton.read(c.ids[a : a + m].tolist()) for a, m in zip(c.starts.tolist(), c.lengths.tolist())]
+        path = Automaton(c, counts, model, smoothing).read(c)
         base = np.log10((counts[0] + 0.5) / (model["n"] + 0.5 * (model["v"] + 1)))
         known, base = (np.add.reduceat(x[c.ids], c.starts) for x in ((counts[0] > 0).astype(np.int64), base))
         cols = [

@@ -1,7 +1,7 @@
 import math
+import random
 import zlib
 from collections import Counter
-from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -57,28 +57,82 @@ def test_against_brute_force(spark, monkeypatch, size):
     same(got, plain(rows))
 
 
+def chunk(texts, trains):
+    ids = np.array([w for t in texts for w in t])
+    docs = np.array([(k, 0, kept, len(t)) for k, (t, kept) in enumerate(zip(texts, trains))])
+    return lm.Chunk(docs.astype(np.int64).tobytes(), lm._squeezed(ids), np.arange(100, 100 + ids.max() + 1, dtype=np.uint64).tobytes()).with_triples()
+
+
+class Walk:
+    """The automaton as it is drawn: dictionaries of arcs, one state at a time."""
+
+    def __init__(self, corpus, size, k2, k3, d):
+        c = Counter()
+        for t in corpus:
+            c.update((w,) for w in t)
+            c.update(zip([0, *t], t))
+            c.update(zip([0, *t], t, t[1:]))
+        n, v = sum(x for g, x in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+        p1 = lambda w: (c[w,] - d) / n if c[w,] else d * v / n
+        p2 = lambda h, w: (c[h, w] + k2 * p1(w)) / (c[h,] + k2)
+        known = lambda *g: () if not g else g if c[g] else known(*g[1:])
+        self.start = known(0)
+        self.arcs = {((), w): (p1(w), known(w)) for w in range(size)}
+        for g in c:
+            if len(g) == 2:
+                self.arcs[g[:1], g[1]] = (p2(*g), known(0) if g[1] == 0 else g)
+            if len(g) == 3:
+                self.arcs[g[:2], g[2]] = ((c[g] + k3 * p2(*g[1:])) / (c[g[:2]] + k3), known(0) if g[2] == 0 else g[1:])
+        self.failure = {g: (k2 / (c[g] + k2) if len(g) == 1 else k3 / (c[g] + k3), known(*g[1:])) for g in c if len(g) < 3}
+
+    def read(self, text, state=None):
+        state, total, states = self.start if state is None else state, 1.0, []
+        for w in text:
+            states.append(state)
+            while (state, w) not in self.arcs:
+                weight, state = self.failure[state]
+                total *= weight
+            weight, state = self.arcs[state, w]
+            total *= weight
+        return total, states
+
+
+def test_paths_are_those_of_the_automaton():
+    rng = random.Random(4)
+    texts = [[rng.randrange(1, 9) for _ in range(rng.randrange(12))] + [0] for _ in range(60)]
+    trains = [k % 4 > 0 for k in range(60)]
+    c = chunk(texts, trains)
+    size = len(c.words)
+    n, v = int(c.ones.sum()), int((c.ones > 0).sum())
+    walk = Walk([t for t, kept in zip(texts, trains) if kept], size, 2.0, 1.5, 0.6)
+    a = lm.Automaton(c, (c.ones, c.twos, c.threes), {"n": n, "v": v, "discount": 0.6}, (2.0, 1.5))
+    assert np.allclose(10 ** a.read(c), [walk.read(t)[0] for t in texts], rtol=1e-9)
+    # The states carried are the longest known histories, and failure arcs lead to shorter ones.
+    named = lambda s: () if s == 0 else (s - 1,) if s <= size else divmod(int(c.pairs[s - 1 - size]), size)
+    states = np.concatenate([[a.start], a.target[c.pair[:-1]]])
+    states[c.starts] = a.start
+    assert [named(int(s)) for s in states] == [s for t in texts for s in walk.read(t)[1]]
+    assert {len(named(int(s))) for s in states} == {1, 2}
+    for s in set(states.tolist()):
+        assert named(int(a.failure[s])) == walk.failure[named(s)][1] and abs(10 ** a.failure_weight[s] - walk.failure[named(s)][0]) < 1e-12
+
+
 def test_probabilities_sum_to_one_in_every_state():
-    """Over all words after each history, the unknown word once; the state carried on is the longest known history."""
-    texts = [[1, 2, 3, 0], [1, 0], [1, 0], [2, 3, 1, 0]]  # word 0 ends a text, word 4 is unknown
-    size, ones, twos, threes = 5, Counter(), Counter(), Counter()
-    for t in texts:
-        ones.update(t)
-        twos.update(zip([0, *t], t))
-        threes.update(zip([0, *t], t, t[1:]))
-    pairs, triples = np.arange(size * size), np.arange(size**3)
-    counts = (np.array([ones[k] for k in range(size)]), np.array([twos[divmod(k, size)] for k in pairs]), np.array([threes[k // size**2, k // size % size, k % size] for k in triples]))
-    all_of = SimpleNamespace(pairs=pairs, triples=triples, begin=triples // size, inner=triples % size**2)
-    a = lm.Automaton(all_of, counts, {"n": 12, "v": 4, "discount": 0.6}, (2.0, 1.5))
-    for state in [*range(1 + size), *(1 + size + k for k in pairs if k % size)]:
-        a.start = state
-        assert abs(sum(10 ** a.read([w]) for w in range(size)) - 1) < 1e-9
-    assert a.failure[1 + size + 1] == 2 and a.failure[2] == 0  # (0, 1) -> 1 -> no history
-    follow = lambda state, w: a.target[a.arcs[state * size + w]]
-    assert follow(1, 1) == 1 + size + 1 and follow(1 + size + 1, 2) == 1 + size + size + 2 and follow(1 + size + 1, 0) == 1 and follow(0, 4) == 0
-    a.start = 1
-    # After (0, 1) the word 1 was never seen, nor after 1: two failure arcs lead to the words alone.
-    p1 = (4 - 0.6) / 12
-    assert abs(10 ** a.read([1, 1]) - ((3 + 2 * p1) / 6) * (1.5 / 4.5) * (2 / 6) * p1) < 1e-12
+    """Over all words after each history, the unknown word once."""
+    walk = Walk([[1, 2, 3, 0], [1, 0], [1, 0], [2, 3, 1, 0]], 5, 2.0, 1.5, 0.6)
+    for state in [(), *(g for g in walk.failure if len(g) == 1 or g[1])]:
+        assert abs(sum(walk.read([w], state)[0] for w in range(5)) - 1) < 1e-9
+
+
+def test_numbers_and_hashes_come_back():
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 100_000, 5000)
+    assert (lm._unsqueezed(lm._squeezed(ids), 5000) == ids).all() and lm._unsqueezed(lm._squeezed(ids[:0]), 0).size == 0
+    hashes = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2)
+    order, bounds = lm._by_bucket(hashes, 7)
+    for b in range(7):
+        mine = hashes[order[bounds[b] : bounds[b + 1]]]
+        assert (lm._unpacked(lm._packed(mine)).astype(np.uint64) == (mine & np.uint64(2**40 - 1))).all() and len(mine) > 300
 
 
 def test_chunks_and_buckets_do_not_matter(spark, monkeypatch):
