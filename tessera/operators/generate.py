@@ -225,13 +225,13 @@ def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | N
     """(key, result) of each (key, prompt) as it comes, with at most the pool's capacity of requests at a time.
 
     Prompts are taken only as places get free, so a slow answer holds up no other one. After ``seconds`` no
-    more are taken; those taken are still waited for. Each result costs one wake-up, whatever waits.
+    more are taken, but one at least is; those taken are still waited for. Each result costs one wake-up, whatever waits.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     loop, finished, held = asyncio.new_event_loop(), asyncio.Queue(), set()
     loop.set_default_executor(ThreadPoolExecutor(max_workers=max(1, pool.limit)))  # a blocking client needs a thread a request
-    began, more = time.monotonic(), True
+    began, more, taken = time.monotonic(), True, 0
 
     async def one(key: Any, prompt: str) -> None:
         try:
@@ -243,10 +243,12 @@ def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | N
     try:
         while True:
             while more and len(held) < pool.capacity():
-                following = next(prompts, None)
-                if following is None or seconds is not None and time.monotonic() - began > seconds:
+                late = seconds is not None and taken > 0 and time.monotonic() - began > seconds
+                following = None if late else next(prompts, None)
+                if following is None:
                     more = False
                     break
+                taken += 1
                 task = loop.create_task(one(*following))
                 held.add(task)
                 task.add_done_callback(held.discard)
