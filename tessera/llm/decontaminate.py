@@ -40,17 +40,20 @@ def _gram_hashes(k: int) -> str:
     return f"case when size(wh) >= {k} then transform(sequence(0, size(wh) - {k}), i -> xxhash64({parts})) else array() end"
 
 
+def _leftmost_least(w: int) -> str:
+    """The place of the leftmost least of kh[i] to kh[i + w - 1]: the first that no later one is less than."""
+    whens = []
+    for j in range(w - 1):
+        rest = [f"kh[i + {m}]" for m in range(j + 1, w)]
+        whens.append(f"when kh[i + {j}] <= {f'least({chr(44).join(rest)})' if len(rest) > 1 else rest[0]} then i + {j}")
+    return f"case {' '.join(whens)} else i + {w - 1} end" if whens else "i"
+
+
 def _winnowed(rows: DataFrame, k: int, w: int) -> DataFrame:
     """Adds wh, kh (k-gram hashes) and, for each window of w of them, pick: the kept k-gram's place."""
     rows = rows.withColumn("wh", F.expr("transform(words, x -> xxhash64(x))"))
     rows = rows.withColumn("kh", F.expr(_gram_hashes(k)))
-    return rows.withColumn(
-        "pick",
-        F.expr(
-            f"""case when size(kh) >= {w} then transform(sequence(0, size(kh) - {w}),
-                i -> i - 1 + cast(array_position(slice(kh, i + 1, {w}), array_min(slice(kh, i + 1, {w}))) as int)) else array() end"""
-        ),
-    )
+    return rows.withColumn("pick", F.expr(f"case when size(kh) >= {w} then transform(sequence(0, size(kh) - {w}), i -> {_leftmost_least(w)}) else array() end"))
 
 
 def span_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", span: int = 8, k: int = 4) -> DataFrame:
