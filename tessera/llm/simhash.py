@@ -11,8 +11,9 @@ minimum labels with pointer jumping on written tables.
 Similar texts: at a Jaccard similarity of 0.8 of their five-word shingles, fingerprints differ in about 15
 percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore works in two passes.
 The first one links wide fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's
-hash, that agree on two of six blocks of the first word; most members of a dense group become one label. It only
-saves work: what it misses or drops is left to the second pass.
+hash, that agree on two of six blocks of the first word, and each text to the nearest one in each of its bands
+(below); most members of a dense group become one label. It only saves work: what it misses or drops is left to the
+second pass.
 
 Blocks that find nearly all pairs at 0.8 would be too short to tell texts apart in a large corpus. The second
 pass takes keys that do both: _BANDS keys of _BAND_ROWS min-hashes each of the shingles, of which a pair at a
@@ -620,21 +621,19 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             twin = nodes.join(of_wide.select("wide", "of"), "wide").select(F.col("node").alias("a"), F.col("of").alias("b")).where("a <> b")
             each = of_wide.select(F.col("of").alias("node"), "size", "wide", "bands")
             edges = edges.unionByName(twin)
-            pairs = written(wide_links(each.withColumn("label", F.col("node")), [0], width, max_share), "pairs")
-            edges = edges.unionByName(similar(pairs, texts, least, wide_shingle))
+            alone = each.withColumn("label", F.col("node"))
+            # Beside what the blocks find, each text's nearest partner in each band: groups are one label each by then.
+            near = band_runs(alone, least, nearest=True).select("a", "b", F.lit(1.0).alias("share"))
+            pairs = wide_links(alone, [0], width, max_share).unionByName(near).groupBy("a", "b").agg(F.min("share").alias("share"))
+            edges = edges.unionByName(similar(written(pairs, "pairs"), texts, least, wide_shingle))
         labels = components(written(edges, "links"))
         if width:
-            # The second pass only has to link what the first one has not. Its first round takes each text's nearest partner
-            # of another label, so that groups are one label each before the second takes all pairs of different ones.
-            for nearest in (True, False):
-                known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
-                found = written(band_runs(known, least, nearest), "runs")
-                if nearest:
-                    more = similar(found.withColumn("share", F.lit(1.0)), texts, least, wide_shingle)
-                else:
-                    more = run_links(found, shingle_sets(texts, found.select("node").distinct(), wide_shingle), least)
-                tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
-                labels = components(written(tree.unionByName(more), "links"))
+            # The last round only has to link what those before have not.
+            known = written(each.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "wide", "bands"), "known")
+            members = written(band_runs(known, least, nearest=False), "runs")
+            more = run_links(members, shingle_sets(texts, members.select("node").distinct(), wide_shingle), least)
+            tree = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b")
+            labels = components(written(tree.unionByName(more), "links"))
         group = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("first").alias("first"))
         # What goes is less than what stays, and its numbers alone are moved if they are few.
         gone = written(small.select("row").join(group.select("first.row"), "row", "left_anti").withColumnRenamed("row", row), "gone")
