@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import drop_written, id_and_text, remainder, table, written
 
 #: Tokens after which a chunk is closed.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: Bytes of requests that a bucket should hold, and of a token's requests, on average.
 BUCKET_BYTES, _TOKEN_BYTES = 16 << 20, 6
 #: Bits of an n-gram's hash that are sent: the low ones, as the high ones choose the bucket. One n-gram in some 400,000
@@ -67,6 +67,17 @@ class _Numbers(dict):
         return n
 
 
+def _shortened(words: np.ndarray) -> bytes:
+    """The low six bytes of words' hashes: enough to tell words apart, and what most of a chunk's size depends on."""
+    return words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _lengthened(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _squeezed(ids: np.ndarray) -> bytes:
     """Word numbers, their bytes of one weight side by side, compressed: most have two bytes that matter or fewer."""
     return pa.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
@@ -94,7 +105,7 @@ def chunks(rows: DataFrame) -> DataFrame:
             nonlocal numbers, docs, ids, size, chunk
             packed = np.array(docs, np.int64).reshape(-1, 4).tobytes()
             words = np.fromiter((digest(w) for w in numbers), np.uint64, len(numbers))
-            out = _arrow([chunk, size, packed, _squeezed(np.concatenate(ids)), words.tobytes()], _CHUNKS)
+            out = _arrow([chunk, size, packed, _squeezed(np.concatenate(ids)), _shortened(words)], _CHUNKS)
             numbers, docs, ids, size, chunk = _Numbers({_END: 0}), [], [], 0, chunk + 1
             return out
 
@@ -130,7 +141,7 @@ class Chunk:
         d = np.frombuffer(docs, np.int64).reshape(-1, 4)
         self.doc_ids, self.null, self.trains, self.lengths = d[:, 0], d[:, 1].astype(bool), d[:, 2].astype(bool), d[:, 3]
         self.ids = _unsqueezed(ids, int(self.lengths.sum()))
-        self.words = np.frombuffer(words, np.uint64)
+        self.words = _lengthened(words)
         self.starts = np.cumsum(self.lengths) - self.lengths
         v, self.in_training = len(self.words), np.repeat(self.trains, self.lengths)
         before = np.concatenate([[0], self.ids[:-1]])  # each text starts in the state that the end token leads to
@@ -158,7 +169,7 @@ class Chunk:
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """Of the words and the pairs."""
         v = len(self.words)
-        return self.words, _mixed(self.words[self.pairs // v], self.words[self.pairs % v])
+        return _mixed(self.words, self.words), _mixed(self.words[self.pairs // v], self.words[self.pairs % v] + np.uint64(1))
 
     def elsewhere(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, hashes) of the triples that can occur in other chunks: both of their pairs do."""

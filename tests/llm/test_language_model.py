@@ -60,7 +60,7 @@ def test_against_brute_force(spark, monkeypatch, size):
 def chunk(texts, trains):
     ids = np.array([w for t in texts for w in t])
     docs = np.array([(k, 0, kept, len(t)) for k, (t, kept) in enumerate(zip(texts, trains))])
-    return lm.Chunk(docs.astype(np.int64).tobytes(), lm._squeezed(ids), np.arange(100, 100 + ids.max() + 1, dtype=np.uint64).tobytes()).with_triples()
+    return lm.Chunk(docs.astype(np.int64).tobytes(), lm._squeezed(ids), lm._shortened(np.arange(100, 100 + ids.max() + 1, dtype=np.uint64))).with_triples()
 
 
 class Walk:
@@ -128,6 +128,8 @@ def test_numbers_and_hashes_come_back():
     rng = np.random.default_rng(2)
     ids = rng.integers(0, 100_000, 5000)
     assert (lm._unsqueezed(lm._squeezed(ids), 5000) == ids).all() and lm._unsqueezed(lm._squeezed(ids[:0]), 0).size == 0
+    words = rng.integers(0, 2**63, 50).astype(np.uint64)
+    assert (lm._lengthened(lm._shortened(words)) == words & np.uint64(2**48 - 1)).all()
     hashes = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2)
     order, bounds = lm._by_bucket(hashes, 7)
     for b in range(7):
