@@ -566,6 +566,8 @@ def test_load_run(spark, tmp_path):
     figures = loadtest.report(spark.read.parquet(f"{tmp_path}/done"))
     assert figures["total"] == 20 and figures["failed"] == 10 and figures["port_success"] == {7000: 10, 7001: 0} and figures["rps"] > 0
     assert loadtest.report(spark.read.parquet(f"{tmp_path}/done").where("false"))["rps"] == 0.0
+    again = loadtest.run(spark, config.Settings("/i", "/o", ports="7000-7001", concurrency=4), 20, 100, client)
+    assert again["total"] == 20 and again["port_failed"] == {7000: 0, 7001: 10}
 
 
 def test_process_listing(tmp_path):
