@@ -205,6 +205,16 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
+def _told(counts: np.ndarray) -> bytes:
+    """Counts, compressed: most are alike."""
+    raw = _narrow(counts)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _heard(raw: bytes) -> np.ndarray:
+    return _wide(pa.decompress(raw[4:], decompressed_size=int.from_bytes(raw[:4], "little"), codec="zstd", asbytes=True))
+
+
 def ask(each: DataFrame, buckets: int) -> DataFrame:
     """What each chunk asks of each bucket: its words and pairs there, and how often its training texts hold them."""
 
@@ -217,7 +227,7 @@ def ask(each: DataFrame, buckets: int) -> DataFrame:
                     row = [b, number]
                     for h, n, order, bounds in kinds:
                         mine = order[bounds[b] : bounds[b + 1]]
-                        row += [_packed(h[mine]), _narrow(n[mine])]
+                        row += [_packed(h[mine]), _told(n[mine])]
                     yield _arrow(row, _ASKED)
 
     return each.mapInArrow(rows, _ASKED)
@@ -234,13 +244,13 @@ def totals(asked: DataFrame, kinds: tuple[str, ...], buckets: int) -> DataFrame:
         back, stats = [], None
         for kind in kinds:
             keys = [_unpacked(k) for k in rows[kind]]
-            counts = np.concatenate([_wide(c) for c in rows[f"{kind}_n"]])
+            counts = np.concatenate([_heard(c) for c in rows[f"{kind}_n"]])
             found, which = np.unique(np.concatenate(keys), return_inverse=True)
             sums = np.bincount(which, counts, len(found)).astype(np.int64)
             stats = stats or [int(sums.sum()), int((sums > 0).sum()), int((sums == 1).sum()), int((sums == 2).sum())]
             answer = 2 * sums + (np.bincount(which) > 1)
             of_row = np.split(answer[which], np.cumsum([len(k) for k in keys])[:-1])
-            back.append(pa.array([_narrow(x) for x in of_row], pa.binary()))
+            back.append(pa.array([_told(x) for x in of_row], pa.binary()))
         n = len(rows["chunk"])
         once = [pa.array([v] + [0] * (n - 1), pa.int64()) for v in stats]
         return pa.Table.from_arrays([pa.array(rows["chunk"], pa.int64()), pa.array(rows["bucket"], pa.int32()), *back, *once], names=[k.split()[0] for k in schema.split(", ")])
@@ -253,7 +263,7 @@ def _answered(hashes: np.ndarray, buckets: int, numbers: list[int], counts: list
     order, bounds = _by_bucket(hashes, buckets)
     out = np.zeros(len(hashes), np.int64)
     for b, raw in zip(numbers, counts, strict=True):
-        out[order[bounds[b] : bounds[b + 1]]] = _wide(raw)
+        out[order[bounds[b] : bounds[b + 1]]] = _heard(raw)
     return out
 
 
@@ -269,9 +279,9 @@ def counted(each: DataFrame, answers: DataFrame, buckets: int, parts: int) -> Da
         asked = []
         for b in np.flatnonzero(np.diff(bounds)).tolist():
             mine = order[bounds[b] : bounds[b + 1]]
-            asked.append({"bucket": b, "triples": _packed(hashes[mine]), "triples_n": _narrow(c.threes[at[mine]])})
+            asked.append({"bucket": b, "triples": _packed(hashes[mine]), "triples_n": _told(c.threes[at[mine]])})
         kind = pa.list_(pa.struct([("bucket", pa.int32()), ("triples", pa.binary()), ("triples_n", pa.binary())]))
-        columns = [pa.array([row["chunk"]], pa.int64()), *(pa.array([v], pa.binary()) for v in (row["docs"], row["ids"], row["words"], _narrow(ones), _narrow(twos))), pa.array([asked], kind)]
+        columns = [pa.array([row["chunk"]], pa.int64()), *(pa.array([v], pa.binary()) for v in (row["docs"], row["ids"], row["words"], _told(ones), _told(twos))), pa.array([asked], kind)]
         return pa.Table.from_arrays(columns, names=["chunk", "docs", "ids", "words", "ones", "twos", "asked"])
 
     return _with_answers(each, answers.select("chunk", "bucket", "words", "pairs"), parts).applyInArrow(add, _COUNTED)
@@ -357,7 +367,7 @@ def log_probabilities(docs: DataFrame, held_out_remainder: int = 1, smoothing: t
         model = json.loads(packed)
         row = left.to_pylist()[0]
         c = Chunk(row["docs"], row["ids"], row["words"]).with_triples()
-        ones, twos = _wide(row["ones"]), _wide(row["twos"])
+        ones, twos = _heard(row["ones"]), _heard(row["twos"])
         at, hashes = c.elsewhere(twos & 1 > 0)
         counts = (ones >> 1, twos >> 1, c.threes.copy())
         counts[2][at] = _answered(hashes, buckets, right.column("bucket").to_pylist(), right.column("triples").to_pylist()) >> 1
