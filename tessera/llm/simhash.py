@@ -12,12 +12,13 @@ Similar texts: at a Jaccard similarity of 0.8 of their five-word shingles, finge
 percent of their bits, far more than blocks of 64 bits can bear. deduplicate() therefore works in two passes.
 The first one links wide fingerprints, ``width`` words of 64 bits from as many mixes of each distinct shingle's
 hash, that agree on two of six blocks of the first word, and each text to the nearest one in each of its bands
-(below); most members of a dense group become one label. It only saves work: what it misses or drops is left to the
-second pass.
+(below); most members of a dense group become one label. It only saves work: its links count only between texts that
+share a band, which the second pass would link too, so neither the width of its keys nor the length of their runs
+changes what is linked, and what it misses or drops is left to the second pass.
 
 Blocks that find nearly all pairs at 0.8 would be too short to tell texts apart in a large corpus. The second
 pass takes keys that do both: _BANDS keys of _BAND_ROWS min-hashes each of the shingles, of which a pair at a
-similarity of 0.8 shares none once in 13,000 times, at 0.85 once in a million. All pairs of a key's texts with
+similarity of 0.8 shares none once in 30,000 times, at 0.85 once in four millions. All pairs of a key's texts with
 different labels are compared by size and by 128 bits of the wide fingerprints; no pair of the key is left out.
 Bits only rule a pair out where it differs in more of them than four deviations beyond a similarity of 0.8, which at
 0.8 happens once in 30,000 times, and are not asked for texts of fewer than _LEAST_SKETCHED shingles. The members of a
@@ -302,7 +303,9 @@ def _nearest_walk(x: np.ndarray, y: np.ndarray, label: np.ndarray, most: int) ->
 
 def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float) -> DataFrame:
     """(a, b, share): links between the nodes of prints (node, label: long, wide: array of 64-bit words) by keys
-    of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already."""
+    of the given words, at most max_share of whose bits differ. Nodes of one label are taken to be linked already.
+    The links that a key's run gives depend on the run's length and on the count of prints; where prints has the column
+    bands, only those of nodes that share a band are returned, all of which band_runs() finds at any size."""
 
     picks = 2 if prints.count() <= _TEXTS_A_KEY << 22 else 3
 
@@ -348,9 +351,11 @@ def wide_links(prints: DataFrame, words: list[int], width: int, max_share: float
             yield of(*held)
 
     pairs = keyed.mapInArrow(walk, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"))
+    banded = "bands" in prints.columns
+    side = lambda n: prints.select(F.col("node").alias(n), F.col("wide").alias(f"w{n}"), *[F.col("bands").alias(f"k{n}")] * banded)
     differ = F.aggregate(F.zip_with("wa", "wb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("ka", "kb") if banded else F.lit(True))
+    return both.select("a", "b", (differ / (64 * width)).alias("share")).where(F.col("share") <= max_share)
 
 
 #: Up to this share of 512 differing bits texts are similar beyond doubt (0.8 would be six deviations off).
@@ -385,7 +390,7 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> D
 
 
 #: Keys of a text in the second pass, and the min-hashes that make up each.
-_BANDS, _BAND_ROWS = 24, 5
+_BANDS, _BAND_ROWS = 26, 5
 #: Differing bits of 128 beyond which a pair is ruled out, and the shingles from which bits are asked.
 _LOOSE_BITS, _LEAST_SKETCHED = 36, 32
 

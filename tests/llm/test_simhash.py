@@ -343,3 +343,18 @@ def test_longer_keys_of_wide_fingerprints(spark, monkeypatch):
         monkeypatch.setattr(simhash, "_TEXTS_A_KEY", bound)
         found.append({(r.a, r.b) for r in simhash.wide_links(df, [0, 1], 8, 0.2).collect()})
     assert found[1] and all(sum((p ^ q) & (2**64 - 1) != 0 and ((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(wide[a], wide[b])) <= 102 for f in found for a, b in f)
+
+
+def test_links_of_wide_fingerprints_are_those_of_bands(spark, monkeypatch):
+    """Whatever the length of keys and runs, no link comes that the bands don't give at any size."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join("x" if j == 9 * k else w for j, w in enumerate(base)) for k in range(40)]
+    texts = [(k, k, simhash.wide_fingerprint(t), simhash.band_keys(simhash._shingle_hashes(t, 5))) for k, t in enumerate(texts)]
+    alone = [(k, n, w, bands if k % 2 else [k]) for k, n, w, bands in texts]  # as if every second text shared no band
+    df = spark.createDataFrame(alone, "node long, label long, wide array<long>, bands array<long>")
+    for texts_a_key, short in ((64, 16), (0, 16), (64, 64), (64, 2)):
+        monkeypatch.setattr(simhash, "_TEXTS_A_KEY", texts_a_key)
+        monkeypatch.setattr(simhash, "_SHORT_WIDE_RUN", short)
+        found = {(r.a, r.b) for r in simhash.wide_links(df, [0, 1], 8, 0.2).collect()}
+        assert all(set(alone[a][3]) & set(alone[b][3]) for a, b in found)
