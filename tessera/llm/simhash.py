@@ -439,17 +439,24 @@ def _run_pairs(label: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray
             yield int(order[i]), order[others[good]], bits[good]
 
 
-#: Texts of a key that are compared in one group; a longer run is split, and its parts meet two by two.
-_GROUP = 4096
+#: Texts of a key that are compared in one group, and their shingles unless it is one text; a longer run is split, and
+#: its parts meet two by two.
+_GROUP, _GROUP_SHINGLES = 4096, 1 << 21
+#: Holders of shingles that are counted at a time.
+_HOLDERS = 1 << 20
 
 
-def _parts(n: int, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(part, places): the places of a run of n, dealt over groups so that any two places share one."""
-    blocks = -(-n // _GROUP)
+def _parts(n: int, places: np.ndarray, size: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, places): the places of a run of n, dealt over groups so that any two places share one. size: the
+    shingles of each place."""
+    of = places // _GROUP
+    if size is not None and len(size):
+        before = np.cumsum(size) - size
+        of = np.unique(of * (int(before[-1]) // _GROUP_SHINGLES + 1) + before // _GROUP_SHINGLES, return_inverse=True)[1]
+    blocks = int(of.max(initial=0)) + 1
     if blocks == 1:
         yield 0, places
         return
-    of = places // _GROUP
     for b in range(blocks):
         for c in range(b + 1, blocks):
             mine = places[(of == b) | (of == c)]
@@ -478,7 +485,8 @@ def band_runs(known: DataFrame, least: float, nearest: bool) -> DataFrame:
         near = np.zeros(len(node), bool)
         for i, others, _ in _run_pairs(label, size, x, y, least):
             near[i] = near[others] = True
-        for part, mine in _parts(len(node), np.flatnonzero(near)):
+        places = np.flatnonzero(near)
+        for part, mine in _parts(len(node), places, size[places]):
             if len(mine) > 1:
                 yield [key[mine], np.full(len(mine), part), node[mine], label[mine]]
 
@@ -535,16 +543,23 @@ def _group_links(label: np.ndarray, sets: list[np.ndarray], least: float) -> lis
 
     values, count = np.unique(label, return_counts=True)
     largest, links_ = values[np.argmax(count)], []
+    joined = label.copy()  # of each text, what its label has been joined to
     for i in np.flatnonzero(label != largest).tolist():
+        if (joined == joined[i]).all():
+            break
         n, first = lengths[of[i]], starts[of[i]]
-        # The holders of each of the text's shingles, one after another.
-        at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-        both = np.bincount(holders[at], minlength=len(sets))
-        near = (both >= least * (size[i] + size - both) - 1e-9) & (label != label[i]) & (both > 0)
+        # The holders of each of the text's shingles, one after another, so many shingles at a time.
+        both, cuts = np.zeros(len(sets), np.int64), np.cumsum(n) // _HOLDERS
+        for k in np.split(np.arange(len(n)), np.flatnonzero(np.diff(cuts)) + 1):
+            m = n[k]
+            at = np.repeat(first[k] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(int(m.sum()))
+            both += np.bincount(holders[at], minlength=len(sets))
+        near = (both >= least * (size[i] + size - both) - 1e-9) & (joined != joined[i]) & (both > 0)
         for j in np.flatnonzero(near).tolist():
             p, q = root(int(label[i])), root(int(label[j]))
             if p != q:
                 tied[p] = q
+                joined[(joined == joined[i]) | (joined == joined[j])] = q
                 links_.append((i, j))
     return links_
 

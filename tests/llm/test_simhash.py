@@ -358,3 +358,32 @@ def test_links_of_wide_fingerprints_are_those_of_bands(spark, monkeypatch):
         monkeypatch.setattr(simhash, "_SHORT_WIDE_RUN", short)
         found = {(r.a, r.b) for r in simhash.wide_links(df, [0, 1], 8, 0.2).collect()}
         assert all(set(alone[a][3]) & set(alone[b][3]) for a, b in found)
+
+
+def test_groups_of_long_texts_stay_small():
+    """A family of long texts: its groups are bounded by their shingles, and one is compared in little memory."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(-(2**63), 2**63, 20_000)
+    sets = []
+    for _ in range(60):
+        own = base.copy()
+        own[rng.choice(len(base), 900, replace=False)] = rng.integers(-(2**63), 2**63, 900)
+        sets.append(np.sort(own))
+    size = np.array([len(h) for h in sets] * 40)
+    parts = list(simhash._parts(len(size), np.arange(len(size)), size))
+    assert all(size[mine].sum() <= 2 * (simhash._GROUP_SHINGLES + size.max()) for _, mine in parts)
+    met = np.zeros((len(size), len(size)), bool)
+    for _, mine in parts:
+        met[np.ix_(mine, mine)] = True
+    assert met.all() and len({part for part, _ in parts}) == len(parts)
+    assert len(simhash._group_links(np.arange(len(sets)), sets, 0.8)) == len(sets) - 1
+
+
+def test_holders_are_counted_in_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    sets = [np.sort(rng.choice(200, int(rng.integers(20, 190)), replace=False)) for _ in range(40)]
+    sets += [np.sort(np.concatenate([s[2:], [300 + k]])) for k, s in enumerate(sets)]
+    label = np.arange(len(sets))
+    want = simhash._group_links(label, sets, 0.8)
+    monkeypatch.setattr(simhash, "_HOLDERS", 50)
+    assert simhash._group_links(label, sets, 0.8) == want and len(want) >= 40
