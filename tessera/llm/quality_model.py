@@ -1,10 +1,12 @@
 """Quality classifier: a Bradley-Terry ranking of documents.
 
 Labelled documents of class 1 are preferred to those of class 0. Scores are linear in a text's
-features, w.x, and the chance that a beats b is the logistic function of w.(x_a - x_b); w minimises the
-logistic loss over preference pairs with a small quadratic penalty (Newton steps, on the driver, on a
-bounded sample). A document is accepted if its score reaches the quantile of the training scores that
-parts the classes best there. score = sigmoid(slope * (w.x - cut) + logit(threshold)), so that the
+features, w.x, and the chance that a beats b is the logistic function of w.(x_a - x_b); w minimises the mean
+logistic loss over all preference pairs of all labelled documents outside the held-out fifth, with a small quadratic
+penalty, by Newton steps. Pairs are never formed: the loss and its derivatives are sums of smooth functions of the
+difference of two scores, which are read off at Chebyshev nodes (to some 1e-11), so a step is two passes over the
+written features, in time in proportion to the documents, and the driver gets sums only. A document is accepted if its
+score reaches the quantile of the training scores that parts the classes best there. score = sigmoid(slope * (w.x - cut) + logit(threshold)), so that the
 public threshold stands at that quantile; it rises with w.x.
 
 Features come from the whole text alone: counts of signs, capitals, repeats and lengths, then the words and
@@ -12,7 +14,7 @@ the three-byte sequences of the text, each hashed into _WORD_BUCKETS and _GRAM_B
 their shares, so that what marks a class is learnt and not only listed. Nulls and empty texts have features and a
 score; a very long text costs time in proportion. Rows of labels with a null id or a label other than 0 and 1
 teach nothing; repeated label rows count once (the lower label wins), repeated documents of one id too. Without
-both classes in the sample every score is 0.5. Repeated rows keep a row each; an empty table gives no rows; ties
+both classes every score is 0.5. Repeated rows keep a row each; an empty table gives no rows; ties
 have one score. Other columns are ignored.
 """
 
@@ -21,21 +23,17 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import id_and_text, remainder, table
+from tessera.llm.common import id_and_text, if_few, passing, remainder, table, written
 
-#: Bound of the sample the ranking is fitted on: labelled documents, those with the smallest hashes of their ids.
-SAMPLE_DOCUMENTS = 2000
-#: Preference pairs drawn from the sample (seeded).
-SAMPLE_PAIRS = 20_000
 _SYMBOLS = b"#*$%&|<>"
 N_COUNTS, _WORD_BUCKETS, _GRAM_BUCKETS = 12, 256, 256
 N_FEATURES = N_COUNTS + _WORD_BUCKETS + _GRAM_BUCKETS
@@ -101,14 +99,85 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, threshold: float = 0.3, pairs: int = SAMPLE_PAIRS, penalty: float = 3e-3, seed: int = 0) -> Model:
-    """The ranking learnt from feature rows x of labels y (0 and 1)."""
-    good, bad = x[y == 1], x[y == 0]
-    if not len(good) or not len(bad):
-        return Model(np.zeros(x.shape[1]), 0.0, 0.0, 0.5)  # accepts everything
+#: Chebyshev nodes of a cell of scores, two wide, and what takes polynomials' values there to weights of the nodes.
+_NODES = np.cos(np.pi * (np.arange(16) + 0.5) / 16)
+_TO_NODES = np.linalg.inv(np.polynomial.chebyshev.chebvander(_NODES, 15))
+
+#: By class and cell: sums over its documents.
+Sums = dict[tuple[int, int], np.ndarray]
+
+
+def _cells(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each score and its weights of the cell's nodes."""
+    cell = np.floor((s + 1) / 2).astype(np.int64)
+    return cell, np.polynomial.chebyshev.chebvander(s - 2 * cell, 15) @ _TO_NODES
+
+
+def _linear(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Of a row the same number whatever rows are beside it."""
+    return np.einsum("ij,j->i", x, w)
+
+
+def _masses(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> Sums:
+    """By class and cell: the weights of the nodes."""
+    cell, at = _cells(_linear(x, w))
+    return {(c, k): at[(y == c) & (cell == k)].sum(axis=0) for c, k in sorted(set(zip(y.tolist(), cell.tolist())))}
+
+
+def _moments(x: np.ndarray, y: np.ndarray, w: np.ndarray, slopes: Sums) -> Sums:
+    """By class and cell the features at the nodes; at (-1, 0) the gradient's sum, at (-2, 0) that of the squares in the
+    Hessian. slopes: by class and cell, first and second derivatives at the nodes, over all of the other class."""
+    cell, at = _cells(_linear(x, w))
+    out, first, second = {}, np.zeros(len(y)), np.zeros(len(y))
+    for c, k in sorted(set(zip(y.tolist(), cell.tolist()))):
+        mine = (y == c) & (cell == k)
+        out[c, k] = at[mine].T @ x[mine]
+        first[mine], second[mine] = (at[mine] @ slopes[c, k].T).T
+    out[-1, 0] = x.T @ np.where(y == 1, first, -first)
+    out[-2, 0] = (x * second[:, None]).T @ x
+    return out
+
+
+def _all_pairs(masses: Callable[[np.ndarray], Sums], moments: Callable[[np.ndarray, Sums], Sums], width: int, penalty: float) -> np.ndarray:
+    """The weights that minimise the loss over all pairs, from sums over all documents."""
+    places = lambda sums, c: np.concatenate([2 * k + _NODES for _, k in sorted(q for q in sums if q[0] == c)])
+    stacked = lambda sums, c: np.concatenate([sums[q] for q in sorted(sums) if q[0] == c])
+
+    def loss(sums: Sums, w: np.ndarray) -> float:
+        good, bad = stacked(sums, 1), stacked(sums, 0)
+        return float(good @ np.logaddexp(0, places(sums, 0) - places(sums, 1)[:, None]) @ bad) / (good.sum() * bad.sum()) + penalty / 2 * w @ w
+
+    w = np.zeros(width)
+    sums = masses(w)
+    now = loss(sums, w)
+    for _ in range(60):
+        good, bad = stacked(sums, 1), stacked(sums, 0)
+        p = 1 / (1 + np.exp(places(sums, 1)[:, None] - places(sums, 0)))  # that the bad one wins
+        curve, n = p * (1 - p), good.sum() * bad.sum()
+        by_class = {1: np.stack([p @ bad, curve @ bad]), 0: np.stack([good @ p, good @ curve])}
+        slopes = {q: by_class[c][:, at : at + 16] for c in (0, 1) for at, q in zip(range(0, 1 << 30, 16), sorted(q for q in sums if q[0] == c))}
+        found = moments(w, slopes)
+        cross = stacked(found, 1).T @ curve @ stacked(found, 0)
+        step = np.linalg.solve((found[-2, 0] - cross - cross.T) / n + penalty * np.eye(width), found[-1, 0] / n - penalty * w)
+        if np.abs(step).max() < 1e-6:
+            w = w + step
+            break
+        t = 1.0
+        while True:
+            sums = masses(w + t * step)
+            then = loss(sums, w + t * step)
+            if then <= now + 1e-12 or t < 1e-6:
+                break
+            t /= 2
+        w, now = w + t * step, then
+    return np.round(w, 9)  # sums that were added in another order give the same weights
+
+
+def _drawn_pairs(good: np.ndarray, bad: np.ndarray, pairs: int, penalty: float, seed: int) -> np.ndarray:
+    """The weights that minimise the loss over so many drawn pairs."""
     rng = np.random.default_rng(seed)
     d = good[rng.integers(0, len(good), pairs)] - bad[rng.integers(0, len(bad), pairs)]
-    w = np.zeros(x.shape[1])
+    w = np.zeros(d.shape[1])
     loss = lambda w: np.logaddexp(0, -d @ w).mean() + penalty / 2 * w @ w
     for _ in range(60):
         p = 1 / (1 + np.exp(d @ w))
@@ -119,43 +188,111 @@ def fit(x: np.ndarray, y: np.ndarray, threshold: float = 0.3, pairs: int = SAMPL
         w = w + t * step
         if np.abs(t * step).max() < 1e-6:
             break
+    return w
+
+
+def fit(x: np.ndarray, y: np.ndarray, threshold: float = 0.3, pairs: int | None = None, penalty: float = 3e-3, seed: int = 0) -> Model:
+    """The ranking learnt from feature rows x of labels y (0 and 1): from all pairs, or from so many drawn ones."""
+    good, bad = x[y == 1], x[y == 0]
+    if not len(good) or not len(bad):
+        return Model(np.zeros(x.shape[1]), 0.0, 0.0, 0.5)  # accepts everything
+    if pairs is None:
+        w = _all_pairs(lambda w: _masses(x, y, w), lambda w, slopes: _moments(x, y, w, slopes), x.shape[1], penalty)
+    else:
+        w = _drawn_pairs(good, bad, pairs, penalty, seed)
     # The quantile of the training scores at which balanced accuracy is highest; between two scores, its middle.
-    s = x @ w
+    s = _linear(x, w)
     order = np.argsort(s, kind="stable")
-    low = np.cumsum(y[order] == 0) / len(bad)
-    high = 1 - np.cumsum(y[order] == 1) / len(good)
-    k = int(np.argmax(np.where(np.append(np.diff(s[order]) > 0, True), low + high, -1)))
+    gain = np.cumsum(y[order] == 0) * len(good) - np.cumsum(y[order] == 1) * len(bad)
+    k = int(np.argmax(np.where(np.append(np.diff(s[order]) > 0, True), gain, -(2**62))))
     after = s[order][min(k + 1, len(s) - 1)]
-    cut = (s[order][k] + after) / 2
-    return Model(w, float(cut), float(4 / max(s.std(), 1e-9)), threshold)
+    return _model(w, (s[order][k] + after) / 2, s.std(), threshold)
+
 
+def _model(w: np.ndarray, cut: float, deviation: float, threshold: float) -> Model:
+    return Model(w, float(cut), float(f"{4 / max(deviation, 1e-9):.9g}"), threshold)
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", limit: int = SAMPLE_DOCUMENTS) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``limit`` labelled documents outside the held-out fifth.
 
-    docs: doc_id, text. The sample is the ``limit`` smallest hashes of ids, half from each class, so it is
-    the same however the tables are laid out; the few chosen ids are then looked up in docs.
+def examples(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> DataFrame:
+    """(y, x: the features' bytes) of all labelled documents outside the held-out fifth; written.
+
+    docs: doc_id, text. Rows that repeat an id count once, those with the least features.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("y")).where("y in (0, 1) and doc_id is not null")
     known = known.where(remainder(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.min("y").cast("int").alias("y"))
-    picked = None
-    for label in (0, 1):
-        some = known.where(F.col("y") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit // 2)
-        picked = some if picked is None else picked.unionByName(some)
-    # At most ``limit`` pairs of integers by construction.
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text").mapInArrow(_sample_features, "doc_id long, y int, x array<double>")
-    # Rows that repeat an id count once, those with the same features.
-    found = {}
-    for r in rows.groupBy("doc_id", "y").agg(F.min("x").alias("x")).collect():
-        found[r.doc_id] = (r.y, r.x)
-    keys = sorted(found)
-    return np.array([found[k][1] for k in keys], float).reshape(len(keys), N_FEATURES), np.array([found[k][0] for k in keys], int)
-
-
-def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = written(docs.join(if_few(known), "doc_id").select("doc_id", "y", "text").mapInArrow(_example_features, "doc_id long, y int, x binary"), "features")
+    twice = written(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return rows.select("y", "x")
+    few = if_few(twice)
+    once = rows.join(few, "doc_id", "left_semi").groupBy("doc_id", "y").agg(F.min("x").alias("x")).select("y", "x")
+    return written(rows.join(few, "doc_id", "left_anti").select("y", "x").unionByName(once), "examples")
+
+
+def _example_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = [features(t) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+        for k in range(0, batch.num_rows, 200):
+            some = batch.slice(k, 200)
+            x = [features(t).tobytes() for t in some.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(x, pa.binary())], names=["doc_id", "y", "x"])
+
+
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Feature rows and labels, some thousands at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 4000):
+            some = batch.slice(k, 4000)
+            yield np.frombuffer(b"".join(some.column(1).to_pylist()), np.float64).reshape(-1, N_FEATURES), some.column(0).to_numpy()
+
+
+#: Tasks that send their sums to the driver, some megabytes each, at most.
+_SUMS = 64
+
+
+def _summed(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray], Sums]) -> Sums:
+    """Sums over all feature rows."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine: Sums = {}
+        for x, y in _matrices(batches):
+            for q, v in of(x, y).items():
+                mine[q] = mine[q] + v if q in mine else v
+        keys = sorted(mine)
+        yield pa.RecordBatch.from_arrays([pa.array([q[0] for q in keys], pa.int64()), pa.array([q[1] for q in keys], pa.int64()), pa.array([mine[q].tobytes() for q in keys], pa.binary()), pa.array([list(mine[q].shape) for q in keys], pa.list_(pa.int64()))], names=["c", "k", "v", "shape"])
+
+    total: Sums = {}
+    tasks = min(_SUMS, rows.sparkSession.sparkContext.defaultParallelism)
+    for r in rows.coalesce(tasks).mapInArrow(each, "c long, k long, v binary, shape array<long>").collect():
+        v = np.frombuffer(r.v, np.float64).reshape(r.shape)
+        total[r.c, r.k] = total[r.c, r.k] + v if (r.c, r.k) in total else v
+    return total
+
+
+def fit_all(rows: DataFrame, threshold: float = 0.3, penalty: float = 3e-3) -> Model:
+    """fit() of all pairs, where the feature rows (y, x) are a table: weights, cut and deviation of all of them."""
+    n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    if len(n) < 2:
+        return Model(np.zeros(N_FEATURES), 0.0, 0.0, 0.5)
+    w = _all_pairs(lambda w: _summed(rows, lambda x, y: _masses(x, y, w)), lambda w, slopes: _summed(rows, lambda x, y: _moments(x, y, w, slopes)), N_FEATURES, penalty)
+
+    def linear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, y in _matrices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(_linear(x, w)), pa.array(y.astype(np.int32))], names=["s", "y"])
+
+    scores = written(rows.mapInArrow(linear, "s double, y int"), "scores")
+    deviation = scores.agg(F.stddev_pop("s")).first()[0]
+    # Gains within a range of scores, the ranges' totals before it being the same for all of them.
+    gain = F.when(F.col("y") == 0, F.lit(n[1])).otherwise(F.lit(-n[0])).cast("long")
+    kinds = scores.groupBy("s").agg(F.sum(gain).alias("gain")).repartitionByRange("s").withColumn("part", F.spark_partition_id())
+    kinds = kinds.withColumn("sum", F.sum("gain").over(Window.partitionBy("part").orderBy("s")))
+    ranges = kinds.groupBy("part").agg(F.min("s").alias("least"), F.sum("gain").alias("all"), F.max(F.struct(F.col("sum"), (-F.col("s")).alias("s"))).alias("best")).orderBy("least").collect()
+    before, best = 0, None
+    for r in ranges:
+        if best is None or before + r.best["sum"] > best[0]:
+            best = before + r.best["sum"], -r.best["s"]
+        before += r["all"]
+    after = scores.where(F.col("s") > best[1]).agg(F.min("s")).first()[0]
+    return _model(w, (best[1] + (best[1] if after is None else after)) / 2, deviation, threshold)
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
@@ -166,7 +303,8 @@ def _scores(model: Model, texts: pa.Array) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Model:
     rows = id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return fit(*sample(rows, labels), threshold=threshold)
+    with passing([]):
+        return fit_all(examples(rows, labels), threshold)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -122,3 +122,34 @@ def test_words_alone_can_tell_classes_apart(spark):
 def test_a_very_long_text_takes_time_in_proportion():
     began = time.time()
     assert np.isfinite(m.features("some words of a long text, and more! " * 100_000)).all() and time.time() - began < 5
+
+
+def test_fit_of_all_pairs_is_the_minimum_of_their_loss():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 3)) * 4
+    y = (x[:, 0] + rng.normal(size=60) > 2).astype(int)
+    d = (x[y == 1][:, None] - x[y == 0]).reshape(-1, 3)
+    w = m.fit(x, y).weights
+    assert np.abs(3e-3 * w - (d / (1 + np.exp(d @ w))[:, None]).mean(axis=0)).max() < 1e-8
+
+
+def test_all_labelled_documents_teach(spark):
+    """Beyond any sample's size: the model is that of all rows, and what only a few of them show is learnt."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for k in range(4000):
+        good = k % 8 != 0
+        mark = [] if good else ["zzz"] if k % 400 == 0 else ["###", "***"]
+        rows.append((k, " ".join([rng.choice(["rain", "river", "lamp", "stone"]) for _ in range(12)] + mark), "en", 1, "x", 2.5))
+        labels.append((k, int(good), 0))
+    rows += [(7, "another text of the same id", "en", 1, "x", 2.5), (11, rows[11][1], "en", 1, "x", 2.5)]
+    got = m.train(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    teach = {i: y for i, y, _ in labels if zlib.crc32(str(i).encode()) % 5}
+    least = {}
+    for i, t, *_ in rows:
+        if i in teach:
+            least[i] = min(least.get(i, b"\xff"), m.features(t).tobytes())
+    assert len(least) > 3000
+    want = m.fit(np.array([np.frombuffer(least[i]) for i in sorted(least)]), np.array([teach[i] for i in sorted(least)]))
+    assert np.abs(got.weights - want.weights).max() < 2e-9 and abs(got.cut - want.cut) < 1e-6 and abs(got.slope / want.slope - 1) < 1e-6
+    assert got.threshold == want.threshold == 0.3
