@@ -224,14 +224,15 @@ async def _one(pool: Pool, prompt: str) -> dict[str, Any]:
 def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | None = None) -> Iterator[tuple[Any, dict[str, Any]]]:
     """(key, result) of each (key, prompt) as it comes, with at most the pool's capacity of requests at a time.
 
-    Prompts are taken only as places get free, so a slow answer holds up no other one. After ``seconds`` no
+    Prompts are taken only as places get free, so a slow answer holds up no other one. A result keeps its place until
+    it is given out, so answers that come faster than they are read don't pile up. After ``seconds`` no
     more are taken, but one at least is; those taken are still waited for. Each result costs one wake-up, whatever waits.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     loop, finished, held = asyncio.new_event_loop(), asyncio.Queue(), set()
     loop.set_default_executor(ThreadPoolExecutor(max_workers=max(1, pool.limit)))  # a blocking client needs a thread a request
-    began, more, taken = time.monotonic(), True, 0
+    began, more, taken, given = time.monotonic(), True, 0, 0
 
     async def one(key: Any, prompt: str) -> None:
         try:
@@ -242,7 +243,7 @@ def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | N
 
     try:
         while True:
-            while more and len(held) < pool.capacity():
+            while more and taken - given < pool.capacity():
                 late = seconds is not None and taken > 0 and time.monotonic() - began > seconds
                 following = None if late else next(prompts, None)
                 if following is None:
@@ -252,9 +253,10 @@ def in_flight(pool: Pool, prompts: Iterator[tuple[Any, str]], seconds: float | N
                 task = loop.create_task(one(*following))
                 held.add(task)
                 task.add_done_callback(held.discard)
-            if not held and finished.empty():
+            if taken == given:
                 return
             key, result = loop.run_until_complete(finished.get())
+            given += 1
             if isinstance(result, BaseException):
                 raise result
             yield key, result

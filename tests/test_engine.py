@@ -455,6 +455,23 @@ def test_time_of_a_partition_follows_its_prompts():
         list(generate.in_flight(generate.Pool(["u", "v"], Gone(), 4, gone, no_sleep), iter([(k, "p") for k in range(9)])))
 
 
+def test_answers_faster_than_they_are_read_do_not_pile_up():
+    asked = []
+
+    def prompts():
+        for k in range(5000):
+            asked.append(k)
+            yield k, str(k)
+
+    for limit in (1, 5):
+        asked.clear()
+        most, given = 0, []
+        for key, _ in generate.in_flight(generate.Pool(["u"], generate.MockClient(), limit), prompts()):
+            given.append(key)
+            most = max(most, len(asked) - len(given))
+        assert sorted(given) == list(range(5000)) and most <= limit
+
+
 def test_verdicts_that_take_too_long(spark):
     import time
 
