@@ -185,3 +185,55 @@ def test_broken_private_tests_are_no_failure_of_the_judge():
 
 def test_large_outputs_do_not_block():
     assert sandbox.run_tests({"inputs": ["1"], "outputs": ["x" * 3_000_000], "fn_name": None, "source": "s"}, "print('x' * 3000000)")["status"] == "pass"
+
+
+def test_programs_share_an_interpreters_start_and_nothing_else(monkeypatch):
+    import os
+    import signal
+    import subprocess
+    import time
+
+    started = []
+
+    class Counted(subprocess.Popen):
+        def __init__(self, *args, **more):
+            started.append(args)
+            super().__init__(*args, **more)
+
+    monkeypatch.setattr(subprocess, "Popen", Counted)
+    monkeypatch.setattr(sandbox, "_IDLE", {}, raising=False)
+    leaves = "import json, builtins\njson.left = builtins.left = 1\nopen('left', 'w').write('x')"
+    finds = "import json, builtins, os\nassert not hasattr(json, 'left') and not hasattr(builtins, 'left') and os.listdir('.') == []"
+    assert [sandbox.run_program(p) for p in (leaves, finds) * 10] == ["pass"] * 20
+    assert len(started) == 1
+    draws = {sandbox.run_tests({"inputs": ["", ""], "outputs": ["", ""], "fn_name": None, "source": "s"}, "print(random.random())")["detail"]["output"] for _ in range(3)}
+    assert len(draws) == 3  # each has a random state of its own
+
+    # One that ended while it was idle, or with a job, is replaced.
+    (idle,) = sandbox._IDLE[os.getpid()]
+    idle.process.kill()
+    idle.process.wait()
+    assert sandbox.run_program("assert True") == "pass" and len(started) == 2
+    assert sandbox.run_program("import os, signal\nsignal.pidfd_send_signal(os.pidfd_open(os.getppid()), 9)") == "failed"
+    assert sandbox.run_program("assert True") == "pass" and len(started) == 3
+
+    # What is broken off from outside leaves no child.
+    def ring(*_):
+        raise KeyboardInterrupt
+
+    def runners():
+        lines = subprocess.run(["ps", "-eo", "args"], capture_output=True, text=True).stdout.splitlines()
+        return sum(a.split()[1:] == ["-I", "-B", sandbox._RUNNER] for a in lines)
+
+    before = signal.signal(signal.SIGALRM, ring)
+    signal.setitimer(signal.ITIMER_REAL, 1.0)
+    (idle,), before_it = sandbox._IDLE[os.getpid()], runners()
+    try:
+        sandbox.run_program("while True: pass", 10)
+    except KeyboardInterrupt:
+        pass
+    finally:
+        signal.signal(signal.SIGALRM, before)
+    assert idle.process.poll() == 0 and sandbox._IDLE[os.getpid()] == []
+    time.sleep(0.2)
+    assert runners() == before_it - 1
