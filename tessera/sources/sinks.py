@@ -99,7 +99,7 @@ def append_records(records: DataFrame, output_dir: str, segment_bytes: int = 4 <
     """Append records to the stream of all and the correct ones to theirs, then their keys to the index, as one batch.
 
     records must be read from files, not recomputed: both streams and the index then agree. Files hold about
-    segment_bytes of JSON.
+    segment_bytes of JSON, compressed: most of a record are names of keys.
     """
     spark, name = records.sparkSession, batch or uuid.uuid4().hex
     if name in committed(spark, output_dir):
@@ -114,7 +114,7 @@ def append_records(records: DataFrame, output_dir: str, segment_bytes: int = 4 <
 
 
 def _segments(rows: DataFrame, path: str, per_file: int, retries: int = 1) -> None:
-    retried(retries, lambda: rows.write.mode("overwrite").option("maxRecordsPerFile", per_file).option("ignoreNullFields", "false").json(path))
+    retried(retries, lambda: rows.write.mode("overwrite").option("maxRecordsPerFile", per_file).option("ignoreNullFields", "false").option("compression", "gzip").json(path))
 
 
 def replace_records(records: DataFrame, output_dir: str, stream: str = "all", segment_bytes: int = 4 << 20) -> None:

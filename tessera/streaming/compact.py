@@ -53,11 +53,12 @@ def read_manifest(spark: SparkSession, output_dir: str, stream: str) -> DataFram
 
 
 def _figures(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(segment, records and token figures) of segment files. A blank line is no record."""
+    """(segment, records, bytes of text and token figures) of segment files. A blank line is no record."""
     lines = spark.read.text(paths).select(F.col("_metadata.file_name").alias("segment"), "value").where("trim(value) <> ''")
     tokens = {f: F.get_json_object("value", f"$.{f}").try_cast("long") for f in TOKEN_FIELDS}
     return lines.groupBy("segment").agg(
         F.count(F.lit(1)).alias("records"),
+        F.sum(F.octet_length("value") + 1).alias("text_bytes"),
         *[F.count(v).alias(f"{f}_count") for f, v in tokens.items()],
         *[F.coalesce(F.sum(v), F.lit(0)).alias(f"{f}_sum") for f, v in tokens.items()],
     )
@@ -101,6 +102,10 @@ def compact(spark: SparkSession, output_dir: str, stream: str = "correct", targe
     figures = {r["segment"]: r.asDict() for r in _figures(spark, paths).collect()} if found else {}
     blank = {"records": 0} | {f"{f}_{k}": 0 for f in TOKEN_FIELDS for k in ("count", "sum")}
     new = [blank | figures.get(name, {}) | {"segment": name, "bytes": size} for _, name, size in found]
+    for r in new:  # shards are measured by the text in them, compressed or not
+        text_bytes = r.pop("text_bytes", 0)
+        if r["segment"].endswith(".gz"):
+            r["bytes"] = text_bytes
     if new:
         batch = uuid.uuid4().hex
         numbers = pack_sizes([r["bytes"] for r in new], target_bytes)

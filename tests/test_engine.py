@@ -455,6 +455,27 @@ def test_time_of_a_partition_follows_its_prompts():
         list(generate.in_flight(generate.Pool(["u", "v"], Gone(), 4, gone, no_sleep), iter([(k, "p") for k in range(9)])))
 
 
+def test_segments_are_compressed_and_shards_measured_by_their_text(spark, tmp_path):
+    import gzip
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(4000).select(F.lit("/d/a.parquet").alias("source_file"), F.col("id").alias("source_row"), F.lit(0).cast("long").alias("rollout_index"), (F.col("id") % 2 == 0).alias("is_correct"), F.lit("math").alias("judge_type")).coalesce(1)
+    rows.write.parquet(f"{tmp_path}/rows")
+    sinks.append_records(spark.read.parquet(f"{tmp_path}/rows"), str(tmp_path), 4 << 20)
+    made = jobs.rebuild_correct(spark, str(tmp_path))
+    assert (made["scanned_records"], made["written_records"], made["index_keys"]) == (4000, 2000, 4000)
+    texts = {}
+    for stream in ("all", "correct"):
+        files = sinks.segment_files(spark, str(tmp_path), stream)
+        texts[stream] = [len(gzip.open(path.removeprefix("file:")).read()) for path, _, _ in files]
+        assert 5 * sum(size for _, _, size in files) < sum(texts[stream])
+    done = compact.compact(spark, str(tmp_path), "all", 2 * max(texts["all"]))
+    assert done["total_records"] == 4000 and done["shards_written_this_run"] == len(set(compact.pack_sizes(texts["all"], 2 * max(texts["all"])))) > 1
+    assert sorted(r.bytes for r in compact.read_manifest(spark, str(tmp_path), "all").collect()) == sorted(texts["all"])
+    assert sinks.read_records(spark, str(tmp_path), "all").count() == 4000 and sinks.read_records(spark, str(tmp_path), "correct").count() == 2000
+
+
 def test_answers_faster_than_they_are_read_do_not_pile_up():
     asked = []
 
